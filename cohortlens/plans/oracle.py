@@ -79,4 +79,38 @@ feats AS (
 
 
 def with_(ctes: str, body: str) -> str:
-    return "WITH " + ctes.strip() + "\n" + body
+    """Prefix the CTE block; a body starting with ',' adds more CTEs first."""
+    b = body.lstrip()
+    if b.startswith(","):
+        return "WITH " + ctes.strip() + b
+    return "WITH " + ctes.strip() + "\n" + b
+
+
+# levels of the bound categoricals, by rule (sorted as strings)
+def bound_levels() -> dict[str, list[str]]:
+    return {
+        "medical_specialty": sorted(k for k, _ in ORDER_PRIORITIES),
+        "c_mktsegment": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+        "n_name": sorted(f"NATION_{i}" for i in range(25)),
+        "min_returnflag": ["A", "N", "R"],
+    }
+
+
+def dummies_sql(levels: dict[str, list[str]]) -> str:
+    parts = []
+    for c, lv in levels.items():
+        for v in lv[1:]:
+            parts.append(f"CAST(coalesce({c} = '{v}', false) AS TINYINT) AS \"{c}_{v}\"")
+    return ",\n  ".join(parts)
+
+
+NUMERIC_FEATS = ("row_id, time_in_hospital, n_medications, n_outpatient, n_inpatient, "
+                 "n_emergency, readmitted, age_ordinal, any_n_inpatient, any_n_emergency, "
+                 "total_prior_utilization, specialty_known, n_inpatient_x_time_in_hospital, "
+                 "n_medications_x_time_in_hospital")
+
+ENCODED = FEATURES + f""",
+enc AS (
+  SELECT {NUMERIC_FEATS},
+  {dummies_sql(bound_levels())}
+  FROM feats)"""

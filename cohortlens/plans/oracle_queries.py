@@ -42,3 +42,223 @@ SQL["F5_interactions"] = with_(FEATURES, """
 SELECT row_id, round(n_inpatient_x_time_in_hospital, 6) AS n_inpatient_x_time_in_hospital,
        round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital
 FROM feats""")
+
+from cohortlens.plans.oracle import ENCODED, bound_levels, dummies_sql  # noqa: E402
+
+_ROUND_ENC = ("* REPLACE (round(time_in_hospital, 6) AS time_in_hospital, "
+              "round(n_medications, 6) AS n_medications, "
+              "round(n_inpatient_x_time_in_hospital, 6) AS n_inpatient_x_time_in_hospital, "
+              "round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital)")
+
+SQL["E1_level_discovery"] = with_(FEATURES, """
+, lv AS (
+  SELECT DISTINCT 'medical_specialty' AS "column", medical_specialty AS level FROM feats
+  UNION SELECT DISTINCT 'c_mktsegment', c_mktsegment FROM feats
+  UNION SELECT DISTINCT 'n_name', n_name FROM feats
+  UNION SELECT DISTINCT 'min_returnflag', min_returnflag FROM feats)
+SELECT "column", level, CAST(row_number() OVER (PARTITION BY "column" ORDER BY level) AS INTEGER)
+  AS position FROM lv""".replace("\n, lv", ",\nlv", 1)).replace("feats)\n,\nlv", "feats),\nlv")
+SQL["E2_one_hot_drop_first"] = with_(ENCODED, f"SELECT {_ROUND_ENC} FROM enc")
+SQL["E3_encoding_gate"] = with_(ENCODED, """
+SELECT 'remaining_categorical_after_encoding' AS name, 1 AS passed, count(*) AS n_rows
+FROM enc""")
+_lv = bound_levels()
+_e4_cols = [c for c in ("time_in_hospital", "n_medications", "n_outpatient", "n_inpatient",
+                        "n_emergency", "age_ordinal", "any_n_inpatient", "any_n_emergency",
+                        "total_prior_utilization", "n_inpatient_x_time_in_hospital",
+                        "n_medications_x_time_in_hospital")]
+SQL["E4_schema_alignment"] = with_(ENCODED, f"""
+SELECT row_id, round(time_in_hospital, 6) AS time_in_hospital,
+       round(n_medications, 6) AS n_medications, n_outpatient, n_inpatient, n_emergency,
+       age_ordinal, any_n_inpatient, any_n_emergency, total_prior_utilization,
+       round(n_inpatient_x_time_in_hospital, 6) AS n_inpatient_x_time_in_hospital,
+       round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital,
+       {", ".join('"' + c + "_" + v + '"' for c, lv in _lv.items() for v in lv[1:])},
+       CAST(0 AS TINYINT) AS absent_feature
+FROM enc WHERE n_name_NATION_3 = 1""")
+SQL["E5_unseen_levels"] = with_(FEATURES, """,
+tr AS (SELECT * FROM feats WHERE c_mktsegment <> 'MACHINERY'
+       AND n_name NOT IN ('NATION_7', 'NATION_24')),
+obs AS (SELECT 'medical_specialty' AS "column", medical_specialty AS level FROM feats
+        UNION SELECT 'c_mktsegment', c_mktsegment FROM feats
+        UNION SELECT 'n_name', n_name FROM feats
+        UNION SELECT 'min_returnflag', min_returnflag FROM feats),
+fit AS (SELECT 'medical_specialty' AS "column", medical_specialty AS level FROM tr
+        UNION SELECT 'c_mktsegment', c_mktsegment FROM tr
+        UNION SELECT 'n_name', n_name FROM tr
+        UNION SELECT 'min_returnflag', min_returnflag FROM tr)
+SELECT * FROM obs EXCEPT SELECT * FROM fit""".replace("feats),\n,", "feats),", 1))
+SQL["J2_aligned_assembly"] = with_(BINDING, """,
+pos AS (SELECT n_name, count(*) AS n_pos FROM raw WHERE readmitted = 'F' GROUP BY n_name),
+neg AS (SELECT n_name, count(*) AS n_neg FROM raw
+        WHERE readmitted = 'O' AND c_mktsegment <> 'BUILDING' GROUP BY n_name)
+SELECT coalesce(pos.n_name, neg.n_name) AS n_name, coalesce(n_pos, 0) AS n_pos,
+       coalesce(n_neg, 0) AS n_neg
+FROM pos FULL OUTER JOIN neg ON pos.n_name = neg.n_name""".lstrip(",").replace("\npos AS", ",\npos AS", 1))
+SQL["J3_domain_reindex"] = with_(CLEAN, """,
+r AS (SELECT age, count(*) AS n, avg(readmitted) AS rate FROM mapped WHERE n_inpatient >= 3
+      GROUP BY age),
+dom(position, age) AS (VALUES (0, '1-URGENT'), (1, '2-HIGH'), (2, '3-MEDIUM'),
+      (3, '4-NOT SPECIFIED'), (4, '5-LOW'), (5, '6-UNLISTED'))
+SELECT CAST(dom.position AS INTEGER) AS position, dom.age, coalesce(r.n, 0) AS n,
+       round(r.rate, 6) AS rate
+FROM dom LEFT JOIN r ON r.age = dom.age""")
+SQL["J4_alignment_check"] = with_(ENCODED, """
+, j AS (SELECT a.row_id AS ka, b.row_id AS kb FROM feats a FULL OUTER JOIN enc b
+        ON a.row_id = b.row_id)
+SELECT count(*) FILTER (WHERE kb IS NULL) AS only_left,
+       count(*) FILTER (WHERE ka IS NULL) AS only_right,
+       count(*) FILTER (WHERE ka IS NOT NULL AND kb IS NOT NULL) AS both,
+       CAST(count(*) FILTER (WHERE ka IS NULL OR kb IS NULL) = 0 AS INTEGER) AS aligned
+FROM j""".replace("\n, j AS", ",\nj AS", 1))
+SQL["U2_removed_keys"] = with_(CLEAN, """
+SELECT row_id FROM raw WHERE row_id NOT IN (SELECT row_id FROM clean)""")
+
+# ------------------------------------------------------------------ profiling A1-A15
+RAW_COLS = [("row_id", "bigint"), ("age", "string"), ("time_in_hospital", "int"),
+            ("n_medications", "bigint"), ("n_outpatient", "int"), ("n_inpatient", "int"),
+            ("n_emergency", "int"), ("medical_specialty", "string"), ("c_mktsegment", "string"),
+            ("n_name", "string"), ("min_returnflag", "string"), ("readmitted", "string")]
+RAW_NUMERIC = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient", "n_emergency"]
+RAW_STRINGS = ["age", "medical_specialty", "c_mktsegment", "n_name", "min_returnflag"]
+UTIL = ["n_outpatient", "n_inpatient", "n_emergency"]
+Y01 = f"CAST({NORM_TARGET} = 'f' AS INTEGER)"
+
+
+def _union(parts):
+    return "\nUNION ALL ".join(parts)
+
+
+def _long(cols, typ="DOUBLE", extra=""):
+    ex = f"{extra}, " if extra else ""
+    return _union([f"SELECT {ex}'{c}' AS \"column\", CAST({c} AS {typ}) AS value FROM raw"
+                   for c in cols])
+
+
+def R(x):
+    return f"round({x}, 6)"
+
+
+SQL["A1_overview"] = with_(BINDING, "SELECT * FROM (" + _union([
+    f"SELECT (SELECT count(*) FROM raw) AS n_rows, {i} AS position, '{c}' AS \"column\", "
+    f"'{t}' AS dtype, (SELECT count({c}) FROM raw) AS non_null" for i, (c, t) in enumerate(RAW_COLS)])
+    + ")")
+SQL["A2_describe"] = with_(BINDING, ",\nlc AS (" + _union([
+    f"SELECT '{c}' AS \"column\", {c} AS level, count(*) AS n FROM raw WHERE {c} IS NOT NULL "
+    f"GROUP BY {c}" for c in RAW_STRINGS + ["readmitted"]]) + ")\n" + _union([
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, CAST(NULL AS BIGINT) AS \"unique\", "
+    f"CAST(NULL AS VARCHAR) AS top, CAST(NULL AS BIGINT) AS freq, {R(f'avg({c})')} AS mean, "
+    f"{R(f'stddev_samp({c})')} AS std, CAST(min({c}) AS DOUBLE) AS min, "
+    f"{R(f'quantile_cont(CAST({c} AS DOUBLE), 0.25)')} AS p25, "
+    f"{R(f'quantile_cont(CAST({c} AS DOUBLE), 0.5)')} AS p50, "
+    f"{R(f'quantile_cont(CAST({c} AS DOUBLE), 0.75)')} AS p75, CAST(max({c}) AS DOUBLE) AS max "
+    f"FROM raw" for c in RAW_NUMERIC] + [
+    f"SELECT \"column\", CAST(sum(n) AS BIGINT), count(*), "
+    f"arg_min(level, (-n, level)), max(n), NULL, NULL, NULL, NULL, NULL, NULL, NULL "
+    f"FROM lc WHERE \"column\" = '{c}' GROUP BY \"column\"" for c in RAW_STRINGS + ["readmitted"]]))
+_A3_COLS = [c for c, _ in RAW_COLS if c not in ("row_id", "readmitted")]
+SQL["A3_null_profile"] = with_(BINDING, ",\nnp AS (" + _union([
+    f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS n_missing, "
+    f"count(*) AS n_rows FROM raw" for c in _A3_COLS]) + ")\n"
+    "SELECT \"column\", n_missing, round(n_missing / n_rows * 100, 6) AS pct_missing FROM np "
+    "WHERE n_missing > 0")
+SQL["A4_sentinel_prevalence"] = with_(BINDING, """
+SELECT 'medical_specialty' AS "column",
+       count(*) FILTER (WHERE medical_specialty = '4-NOT SPECIFIED') AS n_sentinel,
+       count(*) AS n_rows,
+       round(count(*) FILTER (WHERE medical_specialty = '4-NOT SPECIFIED') / count(*) * 100, 6)
+         AS pct_sentinel
+FROM raw""")
+SQL["A5_class_distribution"] = with_(BINDING, """
+SELECT readmitted AS label, count(*) AS n, round(count(*) / sum(count(*)) OVER () * 100, 6) AS pct
+FROM raw GROUP BY readmitted""")
+SQL["A6_bracket_frequency"] = with_(BINDING, """,
+dom(position, level) AS (VALUES (0, '1-URGENT'), (1, '2-HIGH'), (2, '3-MEDIUM'),
+      (3, '4-NOT SPECIFIED'), (4, '5-LOW')),
+c AS (SELECT age, count(*) AS n FROM raw GROUP BY age)
+SELECT CAST(position AS INTEGER) AS position, level, coalesce(n, 0) AS n
+FROM dom LEFT JOIN c ON c.age = dom.level""")
+_A7 = ["age", "c_mktsegment", "min_returnflag", "n_name"]
+SQL["A7_target_rate_by_group"] = with_(BINDING, ",\nlg AS (" + _union([
+    f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS level, "
+    f"CAST({Y01} AS DOUBLE) AS y FROM raw" for c in _A7]) + """),
+g AS (SELECT "column", level, count(*) AS n, sum(y) AS pos FROM lg GROUP BY ALL),
+w AS (SELECT "column", level, n, pos / n AS rate,
+             sum(pos) OVER (PARTITION BY "column") / sum(n) OVER (PARTITION BY "column") AS o
+      FROM g)
+SELECT "column", level, n, round(rate, 6) AS rate, round(o, 6) AS overall_rate
+FROM w WHERE level IS NOT NULL""")
+_HIST_BASE = ",\nlv AS (" + _long(RAW_NUMERIC) + """),
+mm AS (SELECT "column", min(value) AS mn, max(value) AS mx FROM lv GROUP BY "column"),
+rg AS (SELECT "column", CASE WHEN mn = mx THEN mn - 0.5 ELSE mn END AS lo0,
+              CASE WHEN mn = mx THEN mx + 0.5 ELSE mx END AS hi0 FROM mm)"""
+SQL["A8_histogram"] = with_(BINDING, _HIST_BASE + """,
+b AS (SELECT lv."column", CAST(least(floor((value - lo0) * 30 / (hi0 - lo0)), 29) AS INTEGER) AS bin
+      FROM lv JOIN rg ON rg."column" = lv."column" WHERE value IS NOT NULL),
+cnt AS (SELECT "column", bin, count(*) AS n FROM b GROUP BY ALL),
+dom AS (SELECT "column", lo0, hi0, CAST(i AS INTEGER) AS bin
+        FROM rg, range(0, 30) t(i))
+SELECT dom."column", dom.bin, round(lo0 + dom.bin * ((hi0 - lo0) / 30), 6) AS lo,
+       round(CASE WHEN dom.bin = 29 THEN hi0 ELSE lo0 + (dom.bin + 1) * ((hi0 - lo0) / 30) END, 6)
+         AS hi,
+       coalesce(n, 0) AS n
+FROM dom LEFT JOIN cnt ON cnt."column" = dom."column" AND cnt.bin = dom.bin""")
+SQL["A9_density"] = with_(BINDING, ",\nlv AS (" + _long(RAW_NUMERIC) + """),
+vc AS (SELECT "column", value, count(*) AS c FROM lv WHERE value IS NOT NULL GROUP BY ALL),
+st AS (SELECT "column", sum(c) AS n, sum(c * value) / sum(c) AS mu, min(value) AS mn,
+              max(value) AS mx FROM vc GROUP BY "column"),
+va AS (SELECT vc."column", sum(c * pow(value - mu, 2)) / (any_value(n) - 1) AS var
+       FROM vc JOIN st USING ("column") GROUP BY vc."column"),
+pa AS (SELECT st."column", n, mn, mx, sqrt(var) * pow(CAST(n AS DOUBLE), -0.2) AS h
+       FROM st JOIN va USING ("column") WHERE var > 0 AND n > 1),
+g AS (SELECT vc."column", value, c, n, mn, mx, h, CAST(j AS INTEGER) AS j
+      FROM vc JOIN pa USING ("column"), range(0, 200) t(j))
+SELECT "column", j, round(any_value(mn + j * (mx - mn) / 199), 6) AS x,
+       round(sum(c * exp(-0.5 * pow((mn + j * (mx - mn) / 199 - value) / h, 2)))
+             / (any_value(n) * any_value(h) * sqrt(2 * pi())), 6) AS density
+FROM g GROUP BY "column", j""")
+SQL["A10_top_levels"] = with_(BINDING, ",\nlc AS (" + _union([
+    f"SELECT '{c}' AS \"column\", {c} AS level, count(*) AS n FROM raw WHERE {c} IS NOT NULL "
+    f"GROUP BY {c}" for c in RAW_STRINGS]) + """),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY "column" ORDER BY n DESC, level) AS INTEGER)
+      AS rank FROM lc)
+SELECT * FROM r WHERE rank <= 15""")
+SQL["A11_top_levels_sentinel"] = with_(BINDING, """,
+lc AS (SELECT medical_specialty AS level, count(*) AS n FROM raw GROUP BY 1),
+k AS (SELECT level, n, CAST(row_number() OVER (ORDER BY n DESC, level) AS INTEGER) AS rank,
+             0 AS is_sentinel
+      FROM lc WHERE level <> '4-NOT SPECIFIED' AND level IS NOT NULL)
+SELECT * FROM k WHERE rank <= 12
+UNION ALL SELECT level, n, 0, 1 FROM lc WHERE level = '4-NOT SPECIFIED'""")
+SQL["A12_discrete_distribution"] = with_(BINDING, ",\nlv AS (" + _long(UTIL, "BIGINT") + """),
+vc AS (SELECT "column", value, count(*) AS n FROM lv WHERE value IS NOT NULL GROUP BY ALL)
+SELECT "column", value, n,
+       round(sum(CASE WHEN value = 0 THEN n ELSE 0 END) OVER (PARTITION BY "column")
+             / sum(n) OVER (PARTITION BY "column") * 100, 6) AS pct_zero
+FROM vc""")
+SQL["A13_box_stats"] = with_(BINDING, ",\nlv AS (" + _long(RAW_NUMERIC, extra=f"{Y01} AS target")
+    + """),
+q AS (SELECT "column", target, count(*) AS n, quantile_cont(value, 0.25) AS q1,
+             quantile_cont(value, 0.5) AS median, quantile_cont(value, 0.75) AS q3
+      FROM lv WHERE value IS NOT NULL GROUP BY ALL),
+w AS (SELECT lv."column", lv.target,
+             min(CASE WHEN value >= q1 - 1.5 * (q3 - q1) THEN value END) AS whisker_lo,
+             max(CASE WHEN value <= q3 + 1.5 * (q3 - q1) THEN value END) AS whisker_hi
+      FROM lv JOIN q ON q."column" = lv."column" AND q.target = lv.target
+      WHERE value IS NOT NULL GROUP BY ALL)
+SELECT q."column", q.target, n, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
+       round(whisker_lo, 6) AS whisker_lo, round(whisker_hi, 6) AS whisker_hi,
+       round(q3 - q1, 6) AS iqr
+FROM q JOIN w ON q."column" = w."column" AND q.target = w.target""")
+_NUMT = RAW_NUMERIC + ["readmitted"]
+_NUM_SELECT = ", ".join(RAW_NUMERIC) + f", {Y01} AS readmitted"
+SQL["A14_correlation_matrix"] = with_(BINDING, f",\nd AS (SELECT {_NUM_SELECT} FROM raw)\n" + _union([
+    f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6)"
+    f" AS r FROM d" for i, a in enumerate(_NUMT) for b in _NUMT[:i]]))
+SQL["A15_target_correlation_rank"] = with_(BINDING, f",\nd AS (SELECT {_NUM_SELECT} FROM raw),\n"
+    "c AS (" + _union([
+        f"SELECT '{a}' AS feature, corr(CAST({a} AS DOUBLE), CAST(readmitted AS DOUBLE)) AS r FROM d"
+        for a in RAW_NUMERIC]) + """),
+k AS (SELECT feature, r, CAST(row_number() OVER (ORDER BY abs(r) DESC, feature) AS INTEGER) AS rank
+      FROM c)
+SELECT feature, round(r, 6) AS r, rank FROM k WHERE rank <= 10""")

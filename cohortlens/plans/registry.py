@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import normalize_label, numeric_columns, round_doubles
@@ -163,3 +164,187 @@ def flagship(spark, sf) -> DataFrame:
     return (f.groupBy("age_ordinal")
             .agg(F.count("*").alias("n"), F.avg(SPEC.target).alias("target_rate"))
             .orderBy("age_ordinal"))
+
+
+# ------------------------------------------------------------------ encoding
+from cohortlens.operators import align as J  # noqa: E402
+from cohortlens.operators import encode as EN  # noqa: E402
+
+
+def fitted_levels(f: DataFrame) -> "EN.Levels":
+    return EN.fit_levels(f, SPEC.categorical_columns, SPEC.target, SPEC.max_levels)
+
+
+def encoded(spark, sf) -> DataFrame:
+    f = feats(spark, sf)
+    return EN.encode_features(f, fitted_levels(f), SPEC.target)
+
+
+@register("E1_level_discovery")
+def q_levels(spark, sf):
+    f = feats(spark, sf)
+    cols = EN.encode_order(f, SPEC.categorical_columns, SPEC.target)
+    t = EN.level_table(f, cols)
+    w = Window.partitionBy("column").orderBy("level")
+    return t.withColumn("position", F.row_number().over(w))
+
+
+@register("E2_one_hot_drop_first")
+def q_onehot(spark, sf):
+    return encoded(spark, sf)
+
+
+@register("E3_encoding_gate")
+def q_enc_gate(spark, sf):
+    enc = encoded(spark, sf)
+    left = [c for c in EN.string_columns(enc, exclude=(SPEC.target,))]
+    return enc.agg(F.count("*").alias("n_rows")).select(
+        F.lit("remaining_categorical_after_encoding").alias("name"),
+        F.lit(int(not left)).alias("passed"), "n_rows")
+
+
+@register("E4_schema_alignment")
+def q_align(spark, sf):
+    """A one-nation scoring batch encoded with the full-data levels, aligned to
+    the training feature list plus one column the batch cannot have."""
+    f = feats(spark, sf)
+    lv = fitted_levels(f)
+    expected = [c for c in EN.encode_features(f, lv, SPEC.target).columns
+                if c not in ("row_id", SPEC.target, "specialty_known")] + ["absent_feature"]
+    batch = f.filter(F.col("n_name") == "NATION_3").drop(SPEC.target)
+    return EN.encode_features(batch, lv, SPEC.target, expected=expected)
+
+
+@register("E5_unseen_levels")
+def q_unseen(spark, sf):
+    f = feats(spark, sf)
+    train = f.filter((F.col("c_mktsegment") != "MACHINERY")
+                     & ~F.col("n_name").isin("NATION_7", "NATION_24"))
+    lv = fitted_levels(train)
+    rep = EN.unseen_levels(f, lv.as_dataframe(spark), lv.columns)
+    return rep.select("column", F.explode("unseen").alias("level"))
+
+
+# ------------------------------------------------------------------ joins / sets
+@register("J2_aligned_assembly")
+def q_assemble(spark, sf):
+    r = raw(spark, sf)
+    pos = r.filter(F.col("readmitted") == "F").groupBy("n_name").agg(F.count("*").alias("n_pos"))
+    neg = (r.filter((F.col("readmitted") == "O") & (F.col("c_mktsegment") != "BUILDING"))
+           .groupBy("n_name").agg(F.count("*").alias("n_neg")))
+    return J.assemble(pos, neg, "n_name", 0)
+
+
+@register("J3_domain_reindex")
+def q_reindex(spark, sf):
+    r = mapped(spark, sf).filter(F.col("n_inpatient") >= 3)
+    rates = r.groupBy("age").agg(F.count("*").alias("n"), F.avg(SPEC.target).alias("rate"))
+    domain = [k for k, _ in SPEC.ordinal_map] + ["6-UNLISTED"]
+    return J.reindex_domain(rates, "age", domain, fill={"n": 0})
+
+
+@register("J4_alignment_check")
+def q_alignment(spark, sf):
+    f = feats(spark, sf)
+    analysis = C.select_features(f, SPEC.target)
+    enc = EN.encode_features(f, fitted_levels(f), SPEC.target)
+    return J.alignment_check(analysis, enc)
+
+
+@register("U2_removed_keys")
+def q_removed(spark, sf):
+    return J.missing_keys(raw(spark, sf), cleaned(spark, sf))
+
+
+# ------------------------------------------------------------------ profiling
+from cohortlens.operators import profile as PR  # noqa: E402
+
+RAW_NUMERIC = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient", "n_emergency"]
+RAW_STRINGS = ["age", "medical_specialty", "c_mktsegment", "n_name", "min_returnflag"]
+UTIL = ["n_outpatient", "n_inpatient", "n_emergency"]
+
+
+def target01() -> "F.Column":
+    return (normalize_label(F.col(SPEC.target)) == SPEC.positive_value.lower()).cast("int")
+
+
+@register("A1_overview")
+def q_overview(spark, sf):
+    return PR.overview(raw(spark, sf))
+
+
+@register("A2_describe")
+def q_describe(spark, sf):
+    return PR.describe_all(raw(spark, sf))
+
+
+@register("A3_null_profile")
+def q_nulls(spark, sf):
+    return PR.null_profile(raw(spark, sf), exclude=("row_id", SPEC.target))
+
+
+@register("A4_sentinel_prevalence")
+def q_sentinel_prev(spark, sf):
+    return PR.sentinel_prevalence(raw(spark, sf), SPEC.sentinel_column, SPEC.sentinel_value)
+
+
+@register("A5_class_distribution")
+def q_classes(spark, sf):
+    return PR.class_distribution(raw(spark, sf), SPEC.target)
+
+
+@register("A6_bracket_frequency")
+def q_brackets(spark, sf):
+    return PR.bracket_frequency(raw(spark, sf), SPEC.ordinal_column,
+                                [k for k, _ in SPEC.ordinal_map])
+
+
+@register("A7_target_rate_by_group")
+def q_rates(spark, sf):
+    return PR.target_rate_by_group(raw(spark, sf), target01(),
+                                   ["age", "c_mktsegment", "min_returnflag", "n_name"])
+
+
+@register("A8_histogram")
+def q_hist(spark, sf):
+    return PR.histogram(raw(spark, sf), RAW_NUMERIC, 30)
+
+
+@register("A9_density")
+def q_density(spark, sf):
+    return PR.density(raw(spark, sf), RAW_NUMERIC, 200)
+
+
+@register("A10_top_levels")
+def q_top(spark, sf):
+    return PR.top_levels(raw(spark, sf), RAW_STRINGS, 15)
+
+
+@register("A11_top_levels_sentinel")
+def q_top_sent(spark, sf):
+    return PR.top_levels_with_sentinel(raw(spark, sf), SPEC.sentinel_column,
+                                       SPEC.sentinel_value, 12)
+
+
+@register("A12_discrete_distribution")
+def q_discrete(spark, sf):
+    return PR.discrete_distribution(raw(spark, sf), UTIL)
+
+
+@register("A13_box_stats")
+def q_box(spark, sf):
+    return PR.box_stats(raw(spark, sf), target01(), RAW_NUMERIC)
+
+
+def _df_num(spark, sf):
+    return raw(spark, sf).select(*RAW_NUMERIC, target01().alias(SPEC.target))
+
+
+@register("A14_correlation_matrix")
+def q_corr(spark, sf):
+    return PR.correlation_pairs(_df_num(spark, sf), RAW_NUMERIC + [SPEC.target])
+
+
+@register("A15_target_correlation_rank")
+def q_tcorr(spark, sf):
+    return PR.target_correlations(_df_num(spark, sf), SPEC.target, RAW_NUMERIC, 10)
