@@ -114,3 +114,69 @@ enc AS (
   SELECT {NUMERIC_FEATS},
   {dummies_sql(bound_levels())}
   FROM feats)"""
+
+
+def _quota_ctes(name: str, src: str, n_col: str, frac: str) -> str:
+    """Largest-remainder quotas over the per-class table ``src(s, n_col)``."""
+    return f"""
+{name}0 AS (SELECT s, {n_col} AS n, sum({n_col}) OVER () AS nn,
+            CAST(ceil(CAST({frac} AS DOUBLE) * sum({n_col}) OVER ()) AS BIGINT) AS k FROM {src}),
+{name}1 AS (SELECT s, n, k, (k * n) // nn AS f, (k * n) % nn AS r FROM {name}0),
+{name} AS (SELECT s, n, f + CASE WHEN row_number() OVER (ORDER BY r DESC, s)
+                              <= k - sum(f) OVER () THEN 1 ELSE 0 END AS q FROM {name}1)"""
+
+
+SEED = SPEC.seed
+VAL_FRAC = repr(SPEC.val_size / (1.0 - SPEC.test_size))
+
+SPLIT = FEATURES + f""",
+hh AS (SELECT *, md5(CAST(row_id AS VARCHAR) || ':{SEED}') AS h FROM feats),
+rk AS (SELECT *, row_number() OVER (PARTITION BY readmitted ORDER BY h, row_id) AS rnk FROM hh),
+cc AS (SELECT readmitted AS s, count(*) AS n FROM feats GROUP BY readmitted),
+{_quota_ctes("qt", "cc", "n", repr(SPEC.test_size))},
+rest AS (SELECT s, n - q AS rn FROM qt),
+{_quota_ctes("qv", "rest", "rn", VAL_FRAC)},
+sp AS (SELECT rk.*, CASE WHEN rnk <= qt.q THEN 'test' WHEN rnk <= qt.q + qv.q THEN 'val'
+                         ELSE 'train' END AS split,
+              CASE WHEN rnk <= qt.q THEN rnk WHEN rnk <= qt.q + qv.q THEN rnk - qt.q
+                   ELSE rnk - qt.q - qv.q END AS split_rank
+       FROM rk JOIN qt ON qt.s = rk.readmitted JOIN qv ON qv.s = rk.readmitted)"""
+
+SURROGATES = {
+    "surrogate_a": "((row_id * 7919) % 700 + label * 300) / CAST(1000.0 AS DOUBLE)",
+    "surrogate_b": "((row_id * 104729) % 800 + label * 200) / CAST(1000.0 AS DOUBLE)",
+    "surrogate_c": "((row_id * 31337) % 950 + label * 50) / CAST(1000.0 AS DOUBLE)",
+}
+
+SCORED = SPLIT + """,
+lab AS (SELECT row_id, split, CAST(readmitted AS INTEGER) AS label FROM sp),
+sc AS (""" + "\n  UNION ALL ".join(
+    f"SELECT '{m}' AS model, split, row_id, label, {e} AS score FROM lab"
+    for m, e in SURROGATES.items()) + ")"
+
+DIST = SCORED + """,
+ds AS (SELECT model, split, score, CAST(sum(label) AS BIGINT) AS pos,
+              CAST(sum(1 - label) AS BIGINT) AS neg FROM sc GROUP BY ALL),
+dsa AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS above_pos, coalesce(sum(neg) OVER w, 0) AS above_neg,
+               sum(pos) OVER g AS P, sum(neg) OVER g AS N
+        FROM ds WINDOW w AS (PARTITION BY model, split ORDER BY score DESC
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                       g AS (PARTITION BY model, split))"""
+
+
+def confusion_sql(src: str, t: str) -> str:
+    return f"""SELECT model, split,
+  count(*) FILTER (WHERE NOT (score >= {t}) AND label = 0) AS tn,
+  count(*) FILTER (WHERE score >= {t} AND label = 0) AS fp,
+  count(*) FILTER (WHERE NOT (score >= {t}) AND label = 1) AS fn,
+  count(*) FILTER (WHERE score >= {t} AND label = 1) AS tp
+FROM {src} GROUP BY model, split"""
+
+
+def sdiv(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / ({b}) END"
+
+
+TMETRICS = (f"{sdiv('tp + tn', 'tp + tn + fp + fn')} AS accuracy, {sdiv('tp', 'tp + fp')} AS precision, "
+            f"{sdiv('tp', 'tp + fn')} AS recall, {sdiv('2 * tp', '2 * tp + fp + fn')} AS f1, "
+            f"{sdiv('tn', 'tn + fp')} AS specificity")

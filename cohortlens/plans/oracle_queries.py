@@ -262,3 +262,200 @@ SQL["A15_target_correlation_rank"] = with_(BINDING, f",\nd AS (SELECT {_NUM_SELE
 k AS (SELECT feature, r, CAST(row_number() OVER (ORDER BY abs(r) DESC, feature) AS INTEGER) AS rank
       FROM c)
 SELECT feature, round(r, 6) AS r, rank FROM k WHERE rank <= 10""")
+
+# ------------------------------------------------------------------ splits, metrics, threshold
+from cohortlens.plans.oracle import (DIST, SCORED, SPLIT, SPEC, TMETRICS, confusion_sql,  # noqa: E402
+                                     sdiv)
+
+SQL["K1_stratified_split"] = with_(SPLIT, """
+SELECT row_id, readmitted, split, CAST(split_rank AS BIGINT) AS split_rank FROM sp""")
+SQL["K2_fold_column"] = with_(SPLIT, """
+SELECT row_id, CAST((split_rank - 1) % 5 AS INTEGER) AS fold FROM sp WHERE split = 'train'""")
+SQL["K3_calibration_subsplit"] = with_(SPLIT, f""",
+v AS (SELECT * FROM sp WHERE split = 'val'),
+vr AS (SELECT *, row_number() OVER (PARTITION BY readmitted ORDER BY h, row_id) AS vrnk FROM v),
+vc AS (SELECT readmitted AS s, count(*) AS n FROM v GROUP BY readmitted),
+{__import__("cohortlens.plans.oracle", fromlist=["_quota_ctes"])._quota_ctes("qe", "vc", "n", "0.3")}
+SELECT row_id, CASE WHEN vrnk <= qe.q THEN 'calib_eval' ELSE 'calib_fit' END AS part
+FROM vr JOIN qe ON qe.s = vr.readmitted""")
+SQL["K4_uniform_sample"] = with_(SPLIT, """
+SELECT row_id FROM sp WHERE split = 'val' ORDER BY h, row_id LIMIT 500""")
+SQL["K5_split_profile"] = with_(SPLIT, """
+SELECT split, count(*) AS n, round(avg(CAST(readmitted AS DOUBLE)), 6) AS pos_rate FROM sp
+GROUP BY split""")
+SQL["V1_confusion_matrix"] = with_(SCORED, confusion_sql("sc", "0.5"))
+SQL["V2_threshold_metrics"] = with_(SCORED, f""",
+cm AS ({confusion_sql("sc", "0.5")})
+SELECT model, split, tn, fp, fn, tp, {TMETRICS.replace(" AS ", "##").replace(", ", ",,")}
+FROM cm""".replace("##", " AS ").replace(",,", ", "))
+SQL["V3_brier"] = with_(SCORED, """
+SELECT model, split, round(avg(pow(score - label, 2)), 6) AS brier FROM sc GROUP BY model, split""")
+SQL["V4_V5_roc_auc_average_precision"] = with_(DIST, """
+SELECT model, split, round(sum(neg * (above_pos + pos / 2.0)) / (any_value(P) * any_value(N)), 6)
+         AS roc_auc,
+       round(sum(pos * ((above_pos + pos) / (above_pos + pos + above_neg + neg))) / any_value(P), 6)
+         AS pr_auc
+FROM dsa GROUP BY model, split""")
+SQL["V6_roc_curve"] = with_(DIST, """
+SELECT model, split, score AS threshold, round((above_neg + neg) / N, 6) AS fpr,
+       round((above_pos + pos) / P, 6) AS tpr FROM dsa""")
+SQL["V7_pr_curve"] = with_(DIST, """
+SELECT model, split, score AS threshold,
+       round((above_pos + pos) / (above_pos + pos + above_neg + neg), 6) AS precision,
+       round((above_pos + pos) / P, 6) AS recall, round(P / (P + N), 6) AS prevalence FROM dsa""")
+_EDGES = [f"CAST({float(e)!r} AS DOUBLE)" for e in __import__("numpy").linspace(0.0, 1.0, 11)[1:-1]]
+_BIN = " + ".join(f"CAST(score > {e} AS INTEGER)" for e in _EDGES)
+SQL["V8_reliability_curve"] = with_(SCORED, f"""
+SELECT model, split, {_BIN} AS bin, round(avg(score) + 1e-12, 6) AS mean_score,
+       round(avg(CAST(label AS DOUBLE)), 6) AS frac_pos, count(*) AS n
+FROM sc GROUP BY ALL""")
+
+
+def _class_report(src_ctes, cm_sql):
+    return with_(src_ctes, f""",
+cm AS ({cm_sql}),
+per AS (
+  SELECT model, split, '0' AS class, {sdiv('tn', 'tn + fn')} AS precision,
+         {sdiv('tn', 'tn + fp')} AS recall, {sdiv('2 * tn', '2 * tn + fn + fp')} AS f1,
+         tn + fp AS support FROM cm
+  UNION ALL
+  SELECT model, split, '1', {sdiv('tp', 'tp + fp')}, {sdiv('tp', 'tp + fn')},
+         {sdiv('2 * tp', '2 * tp + fp + fn')}, tp + fn FROM cm),
+av AS (
+  SELECT model, split, 'macro avg' AS class, avg(precision) AS precision, avg(recall) AS recall,
+         avg(f1) AS f1, sum(support) AS support FROM per GROUP BY model, split
+  UNION ALL
+  SELECT model, split, 'weighted avg', sum(precision * support) / sum(support),
+         sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support)
+  FROM per GROUP BY model, split)
+SELECT model, split, class, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, CAST(support AS BIGINT) AS support
+FROM (SELECT * FROM per UNION ALL SELECT * FROM av)""")
+
+
+SQL["V9_class_report"] = _class_report(SCORED, confusion_sql("sc", "0.5"))
+_EVAL = DIST + f""",
+rm AS (SELECT model, split, sum(neg * (above_pos + pos / 2.0)) / (any_value(P) * any_value(N)) AS roc_auc,
+              sum(pos * ((above_pos + pos) / (above_pos + pos + above_neg + neg))) / any_value(P)
+                AS pr_auc FROM dsa GROUP BY model, split),
+cm AS ({confusion_sql("sc", "0.5")}),
+tm AS (SELECT model, split, {TMETRICS} FROM cm),
+br AS (SELECT model, split, avg(pow(score - label, 2)) AS brier FROM sc GROUP BY model, split),
+ev AS (SELECT rm.model, rm.split, roc_auc, pr_auc, accuracy, precision, recall, f1, specificity,
+              brier FROM rm JOIN tm USING (model, split) JOIN br USING (model, split))"""
+SQL["V10_model_comparison"] = with_(_EVAL, """
+SELECT model, round(roc_auc, 4) AS roc_auc, round(pr_auc, 4) AS pr_auc, round(accuracy, 4) AS accuracy,
+       round(precision, 4) AS precision, round(recall, 4) AS recall, round(f1, 4) AS f1,
+       round(specificity, 4) AS specificity, round(brier, 4) AS brier
+FROM ev WHERE split = 'val'""")
+SQL["V11_best_model"] = with_(_EVAL, """
+SELECT arg_min(model, (-roc_auc, model)) AS best_model, round(max(roc_auc), 6) AS best_value
+FROM ev WHERE split = 'val'""")
+SQL["V12_metric_long_form"] = with_(_EVAL, """
+SELECT model, metric, round(value, 6) AS value FROM (
+  SELECT model, 'roc_auc' AS metric, roc_auc AS value FROM ev WHERE split = 'val'
+  UNION ALL SELECT model, 'pr_auc', pr_auc FROM ev WHERE split = 'val'
+  UNION ALL SELECT model, 'precision', precision FROM ev WHERE split = 'val'
+  UNION ALL SELECT model, 'recall', recall FROM ev WHERE split = 'val'
+  UNION ALL SELECT model, 'f1', f1 FROM ev WHERE split = 'val'
+  UNION ALL SELECT model, 'no_skill', avg(CAST(label AS DOUBLE)) FROM sc WHERE split = 'val'
+            GROUP BY model)""")
+SQL["V13_val_vs_test"] = with_(_EVAL.replace(confusion_sql("sc", "0.5"), confusion_sql("sc", "0.35")),
+                               """
+SELECT model, split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(brier, 6) AS brier
+FROM ev WHERE split IN ('val', 'test')""")
+
+_GRID = [f"CAST({float(t)!r} AS DOUBLE)" for t in __import__("numpy").linspace(0.05, 0.95, 19)]
+_B = " + ".join(f"CAST(score >= {t} AS INTEGER)" for t in _GRID)
+_GRID_CASE = "CASE b " + " ".join(f"WHEN {i + 1} THEN {t}" for i, t in enumerate(_GRID)) + " END"
+_SWEEP = SCORED + f""",
+cnt AS (SELECT model, split, {_B} AS b, sum(label) AS pos, sum(1 - label) AS neg FROM sc GROUP BY ALL),
+tot AS (SELECT model, split, sum(pos) AS P, sum(neg) AS N FROM cnt GROUP BY model, split),
+dom AS (SELECT model, split, P, N, CAST(b AS INTEGER) AS b FROM tot, range(1, 20) t(b)),
+fl AS (SELECT dom.model, dom.split, dom.b, P, N, coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg
+       FROM dom LEFT JOIN cnt ON cnt.model = dom.model AND cnt.split = dom.split AND cnt.b = dom.b),
+cum AS (SELECT model, split, b, P, N,
+               sum(pos) OVER (PARTITION BY model, split ORDER BY b DESC
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp,
+               sum(neg) OVER (PARTITION BY model, split ORDER BY b DESC
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fp
+        FROM fl),
+sw AS (SELECT model, split, round({_GRID_CASE}, 3) AS threshold,
+              {sdiv('tp', 'tp + fp')} AS precision, {sdiv('tp', 'P')} AS recall,
+              {sdiv('2 * tp', 'tp + P + fp')} AS f1, {sdiv('N - fp', 'N')} AS specificity,
+              {sdiv('tp + N - fp', 'P + N')} AS accuracy FROM cum)"""
+SQL["T6_threshold_sweep"] = with_(_SWEEP, """
+SELECT model, split, threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(accuracy, 6) AS accuracy
+FROM sw""")
+SQL["T7_threshold_choice"] = with_(_SWEEP, """,
+hs AS (SELECT *, max(CAST(recall >= 0.8 AS INTEGER)) OVER (PARTITION BY model, split) AS has FROM sw),
+ky AS (SELECT model, split, threshold,
+              CASE WHEN has = 1 THEN (CASE WHEN recall >= 0.8 THEN precision END) ELSE f1 END AS k,
+              CASE WHEN has = 1 THEN 'max_precision_at_recall' ELSE 'max_f1' END AS rule FROM hs),
+r AS (SELECT *, row_number() OVER (PARTITION BY model, split ORDER BY k DESC, threshold) AS rn
+      FROM ky WHERE k IS NOT NULL)
+SELECT model, split, threshold, rule FROM r WHERE rn = 1""")
+SQL["T8_sweep_long_form"] = with_(_SWEEP, """
+SELECT model, split, threshold, metric, round(value, 6) AS value FROM (
+  SELECT model, split, threshold, 'precision' AS metric, precision AS value FROM sw
+  UNION ALL SELECT model, split, threshold, 'recall', recall FROM sw
+  UNION ALL SELECT model, split, threshold, 'f1', f1 FROM sw
+  UNION ALL SELECT model, split, threshold, 'specificity', specificity FROM sw)""")
+SQL["M11_threshold_predict"] = with_(SCORED, """
+SELECT model, split, row_id, CAST(score >= 0.35 AS INTEGER) AS prediction FROM sc""")
+SQL["M12_constant_baseline"] = _class_report(SPLIT + """,
+sc AS (SELECT 'always_positive' AS model, split, row_id, CAST(readmitted AS INTEGER) AS label,
+              CAST(1.0 AS DOUBLE) AS score FROM sp WHERE split = 'val')""",
+                                             confusion_sql("sc", "0.5"))
+
+_AN_NUM = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient", "n_emergency",
+           "age_ordinal", "any_n_inpatient", "any_n_emergency", "total_prior_utilization",
+           "specialty_known", "n_inpatient_x_time_in_hospital", "n_medications_x_time_in_hospital"]
+_GRP = SCORED + """,
+ag AS (SELECT sc.row_id,
+              CASE WHEN score >= 0.35 AND label = 1 THEN 'TP'
+                   WHEN NOT (score >= 0.35) AND label = 0 THEN 'TN'
+                   WHEN score >= 0.35 AND label = 0 THEN 'FP' ELSE 'FN' END AS "group",
+              f.* EXCLUDE (row_id, readmitted)
+       FROM sc JOIN feats f ON f.row_id = sc.row_id
+       WHERE model = 'surrogate_a' AND split = 'val'),
+gd(position, "group") AS (VALUES (0, 'TP'), (1, 'TN'), (2, 'FP'), (3, 'FN'))"""
+SQL["J1_index_lookup"] = with_(_GRP, 'SELECT row_id, "group", age_ordinal, n_name FROM ag')
+SQL["U1_union_groups"] = with_(_GRP, """
+SELECT row_id, age_ordinal, total_prior_utilization, "group" FROM ag""")
+SQL["R1_error_groups"] = with_(_GRP, """,
+c AS (SELECT "group", count(*) AS n FROM ag GROUP BY 1)
+SELECT CAST(position AS INTEGER) AS position, gd."group", coalesce(n, 0) AS n,
+       round(coalesce(n, 0) / sum(coalesce(n, 0)) OVER (), 6) AS share
+FROM gd LEFT JOIN c ON c."group" = gd."group\"""")
+SQL["R2_group_means"] = with_(_GRP, """,
+m AS (SELECT "group", count(*) AS n, """ + ", ".join(
+    f"avg({c}) AS mean_{c}" for c in _AN_NUM) + """ FROM ag GROUP BY 1)
+SELECT CAST(position AS INTEGER) AS position, gd."group", coalesce(n, 0) AS n, """ + ", ".join(
+    f"round(mean_{c}, 6) AS mean_{c}" for c in _AN_NUM) + """
+FROM gd LEFT JOIN m ON m."group" = gd."group\"""")
+SQL["R3_group_distributions"] = with_(_GRP, ",\nlg AS (" + "\n  UNION ALL ".join(
+    f"SELECT \"group\", '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ag" for c in _AN_NUM)
+    + """)
+SELECT "group", feature, count(value) AS n, round(min(value), 6) AS min,
+       round(quantile_cont(value, 0.25), 6) AS q1, round(quantile_cont(value, 0.5), 6) AS median,
+       round(quantile_cont(value, 0.75), 6) AS q3, round(max(value), 6) AS max
+FROM lg GROUP BY ALL""")
+SQL["R4_scatter_grid"] = with_(_GRP, """
+SELECT "group", age_ordinal, total_prior_utilization, count(*) AS n FROM ag GROUP BY ALL""")
+SQL["R5_fp_fn_profile"] = with_(_GRP, ",\nlg AS (" + "\n  UNION ALL ".join(
+    f"SELECT '{c}' AS feature, avg(CASE WHEN \"group\" = 'FP' THEN CAST({c} AS DOUBLE) END) AS fp_mean, "
+    f"avg(CASE WHEN \"group\" = 'FN' THEN CAST({c} AS DOUBLE) END) AS fn_mean, "
+    f"avg(CAST({c} AS DOUBLE)) AS overall_mean FROM ag" for c in _AN_NUM) + """)
+SELECT feature, round(fp_mean, 6) AS fp_mean, round(fn_mean, 6) AS fn_mean,
+       round(overall_mean, 6) AS overall_mean, round(fp_mean / nullif(overall_mean, 0), 6) AS fp_ratio,
+       round(fn_mean / nullif(overall_mean, 0), 6) AS fn_ratio FROM lg""")
+SQL["R6_category_share"] = with_(_GRP, """,
+c AS (SELECT n_name AS level, count(*) FILTER (WHERE "group" = 'FP') AS fp,
+             count(*) FILTER (WHERE "group" = 'FN') AS fn
+      FROM ag WHERE "group" IN ('FP', 'FN') GROUP BY 1)
+SELECT level, round(coalesce(fp / sum(fp) OVER (), 0), 6) AS fp_share,
+       round(coalesce(fn / sum(fn) OVER (), 0), 6) AS fn_share FROM c""")

@@ -348,3 +348,219 @@ def q_corr(spark, sf):
 @register("A15_target_correlation_rank")
 def q_tcorr(spark, sf):
     return PR.target_correlations(_df_num(spark, sf), SPEC.target, RAW_NUMERIC, 10)
+
+
+# ------------------------------------------------------------------ splits (K1-K5)
+from cohortlens.operators import errors as ER  # noqa: E402
+from cohortlens.operators import metrics as ME  # noqa: E402
+from cohortlens.operators import split as SP  # noqa: E402
+from cohortlens.operators import threshold as TH  # noqa: E402
+
+ERROR_THRESHOLD = 0.35
+
+
+def split_frame(spark, sf) -> DataFrame:
+    return SP.stratified_split(feats(spark, sf), SPEC.target, seed=SPEC.seed,
+                               test_size=SPEC.test_size, val_size=SPEC.val_size,
+                               stratify=SPEC.stratify)
+
+
+def surrogate_models() -> dict:
+    """Deterministic score expressions (identical doubles in any engine)."""
+    rid, y = F.col("row_id"), F.col(SPEC.target).cast("int")
+    return {
+        "surrogate_a": ((rid * 7919) % 700 + y * 300) / F.lit(1000.0),
+        "surrogate_b": ((rid * 104729) % 800 + y * 200) / F.lit(1000.0),
+        "surrogate_c": ((rid * 31337) % 950 + y * 50) / F.lit(1000.0),
+    }
+
+
+def scored(spark, sf) -> DataFrame:
+    return ME.score_table(split_frame(spark, sf), surrogate_models(), SPEC.target)
+
+
+@register("K1_stratified_split")
+def q_split(spark, sf):
+    return split_frame(spark, sf).select("row_id", SPEC.target, "split", "split_rank")
+
+
+@register("K2_fold_column")
+def q_folds(spark, sf):
+    return SP.fold_column(split_frame(spark, sf), SPEC.cv_folds).where(
+        F.col("split") == "train").select("row_id", "fold")
+
+
+@register("K3_calibration_subsplit")
+def q_calib_split(spark, sf):
+    val = split_frame(spark, sf).where(F.col("split") == "val")
+    return SP.two_way_split(val, SPEC.target, SPEC.calib_eval_size, seed=SPEC.seed).select(
+        "row_id", "part")
+
+
+@register("K4_uniform_sample")
+def q_sample(spark, sf):
+    val = split_frame(spark, sf).where(F.col("split") == "val")
+    return SP.uniform_sample(val, 500, seed=SPEC.seed).select("row_id")
+
+
+@register("K5_split_profile")
+def q_split_profile(spark, sf):
+    return SP.split_profile(split_frame(spark, sf), SPEC.target)
+
+
+# ------------------------------------------------------------------ evaluation
+@register("V1_confusion_matrix")
+def q_confusion(spark, sf):
+    return ME.confusion(scored(spark, sf), 0.5)
+
+
+@register("V2_threshold_metrics")
+def q_tmetrics(spark, sf):
+    return ME.threshold_metrics(scored(spark, sf), 0.5)
+
+
+@register("V3_brier")
+def q_brier(spark, sf):
+    return ME.brier(scored(spark, sf))
+
+
+@register("V4_V5_roc_auc_average_precision")
+def q_auc(spark, sf):
+    return ME.ranking_metrics(scored(spark, sf))
+
+
+@register("V6_roc_curve")
+def q_roc(spark, sf):
+    return ME.roc_curve(scored(spark, sf))
+
+
+@register("V7_pr_curve")
+def q_pr(spark, sf):
+    return ME.pr_curve(scored(spark, sf))
+
+
+@register("V8_reliability_curve")
+def q_reliability(spark, sf):
+    r = ME.reliability_curve(scored(spark, sf), 10)
+    # bin means of k/1000 scores can sit exactly on a 6th-decimal tie; nudge past it
+    # so both engines round the same way (comparison presentation only)
+    return r.withColumn("mean_score", F.col("mean_score") + F.lit(1e-12))
+
+
+@register("V9_class_report")
+def q_class_report(spark, sf):
+    return ME.class_report(scored(spark, sf), 0.5)
+
+
+def _evaluated(spark, sf):
+    return ME.evaluate(scored(spark, sf), 0.5)
+
+
+@register("V10_model_comparison")
+def q_compare(spark, sf):
+    return ME.compare_models(_evaluated(spark, sf), "val")
+
+
+@register("V11_best_model")
+def q_best(spark, sf):
+    return ME.best_model(_evaluated(spark, sf), "roc_auc", "val")
+
+
+@register("V12_metric_long_form")
+def q_metric_long(spark, sf):
+    s = scored(spark, sf)
+    return ME.metrics_long(ME.evaluate(s, 0.5), s, "val")
+
+
+@register("V13_val_vs_test")
+def q_val_test(spark, sf):
+    return ME.split_comparison(scored(spark, sf), ERROR_THRESHOLD)
+
+
+# ------------------------------------------------------------------ threshold
+@register("T6_threshold_sweep")
+def q_sweep(spark, sf):
+    grid = TH.threshold_grid(SPEC.sweep_min, SPEC.sweep_max, SPEC.sweep_step)
+    return TH.threshold_sweep(scored(spark, sf), grid)
+
+
+@register("T7_threshold_choice")
+def q_choice(spark, sf):
+    grid = TH.threshold_grid(SPEC.sweep_min, SPEC.sweep_max, SPEC.sweep_step)
+    return TH.choose_threshold(TH.threshold_sweep(scored(spark, sf), grid), SPEC.optimize_by,
+                               SPEC.recall_target)
+
+
+@register("T8_sweep_long_form")
+def q_sweep_long(spark, sf):
+    return TH.sweep_long(TH.threshold_sweep(scored(spark, sf)))
+
+
+@register("M11_threshold_predict")
+def q_predict(spark, sf):
+    s = scored(spark, sf)
+    return s.select("model", "split", "row_id",
+                    (F.col("score") >= F.lit(ERROR_THRESHOLD)).cast("int").alias("prediction"))
+
+
+@register("M12_constant_baseline")
+def q_constant(spark, sf):
+    s = split_frame(spark, sf).where(F.col("split") == "val")
+    const = ME.score_table(s, {"always_positive": F.lit(1.0)}, SPEC.target)
+    return ME.class_report(const, 0.5)
+
+
+# ------------------------------------------------------------------ errors
+def analysis_groups(spark, sf) -> DataFrame:
+    s = scored(spark, sf).where((F.col("model") == "surrogate_a") & (F.col("split") == "val"))
+    grouped = ER.with_groups(s, ERROR_THRESHOLD).select("row_id", "group")
+    return J.lookup(grouped, C.select_features(feats(spark, sf), SPEC.target))
+
+
+ANALYSIS_NUMERIC = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient",
+                    "n_emergency", "age_ordinal", "any_n_inpatient", "any_n_emergency",
+                    "total_prior_utilization", "specialty_known", "n_inpatient_x_time_in_hospital",
+                    "n_medications_x_time_in_hospital"]
+
+
+@register("J1_index_lookup")
+def q_lookup(spark, sf):
+    return analysis_groups(spark, sf).select("row_id", "group", "age_ordinal", "n_name")
+
+
+@register("U1_union_groups")
+def q_union(spark, sf):
+    g = analysis_groups(spark, sf).select("row_id", "group", "age_ordinal",
+                                          "total_prior_utilization")
+    frames = {k: g.where(F.col("group") == k).drop("group") for k in ER.GROUPS}
+    return J.stack_groups(frames, "group")
+
+
+@register("R1_error_groups")
+def q_groups(spark, sf):
+    return ER.group_sizes(analysis_groups(spark, sf))
+
+
+@register("R2_group_means")
+def q_group_means(spark, sf):
+    return ER.group_means(analysis_groups(spark, sf), ANALYSIS_NUMERIC)
+
+
+@register("R3_group_distributions")
+def q_group_dist(spark, sf):
+    return ER.group_distributions(analysis_groups(spark, sf), ANALYSIS_NUMERIC)
+
+
+@register("R4_scatter_grid")
+def q_scatter(spark, sf):
+    return ER.scatter_grid(analysis_groups(spark, sf), "age_ordinal", "total_prior_utilization")
+
+
+@register("R5_fp_fn_profile")
+def q_fpfn(spark, sf):
+    return ER.fp_fn_profile(analysis_groups(spark, sf), ANALYSIS_NUMERIC)
+
+
+@register("R6_category_share")
+def q_cat_share(spark, sf):
+    return ER.category_share(analysis_groups(spark, sf), "n_name")
