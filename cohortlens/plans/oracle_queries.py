@@ -538,3 +538,8 @@ SELECT * EXCLUDE ("medical_specialty_4-NOT SPECIFIED")
                   round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital),
        "medical_specialty_4-NOT SPECIFIED" AS "medical_specialty_4-NOT_SPECIFIED"
 FROM enc""")
+SQL["M2_class_weights"] = with_(SPLIT, """,
+tr AS (SELECT row_id, readmitted FROM sp WHERE split = 'train'),
+cw AS (SELECT readmitted, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight
+       FROM tr GROUP BY readmitted)
+SELECT row_id, tr.readmitted, round(weight, 6) AS weight FROM tr JOIN cw USING (readmitted)""")

@@ -694,3 +694,153 @@ def q_freshness(spark, sf):
                                                 outputs_exist=False)),
              "; ".join(MF.freshness_reasons(None, current, outputs_exist=False)))]
     return spark.createDataFrame(rows, "case string, n_reasons int, reasons string")
+
+
+# ------------------------------------------------------------------ models
+from cohortlens.operators import attribution as XA  # noqa: E402
+from cohortlens.operators import models as MD  # noqa: E402
+from cohortlens.plans import modeling as PM  # noqa: E402
+
+
+def _mf(spark, sf):
+    return PM.binding_modeling_frame(spark, sf, SPEC)
+
+
+@register("M2_class_weights")
+def q_weights(spark, sf):
+    train = split_frame(spark, sf).where(F.col("split") == "train")
+    return MD.with_class_weights(train, SPEC.target).select("row_id", SPEC.target, "weight")
+
+
+@register("M1_M3_logistic_regression")
+def q_lr(spark, sf):
+    mf = _mf(spark, sf)
+    return PM.score_splits(mf, PM.fit_model(mf, "LogisticRegression"), "LogisticRegression")
+
+
+@register("M4_random_forest")
+def q_rf(spark, sf):
+    mf = _mf(spark, sf)
+    return PM.score_splits(mf, PM.fit_model(mf, "RandomForest"), "RandomForest")
+
+
+@register("M5_gradient_boosting")
+def q_gb(spark, sf):
+    mf = _mf(spark, sf)
+    return PM.score_splits(mf, PM.fit_model(mf, "GradientBoosting"), "GradientBoosting")
+
+
+@register("M6_cross_validation")
+def q_cv(spark, sf):
+    mf = _mf(spark, sf)
+    train = mf.frame.where(F.col("split") == "train")
+    per = MD.cross_validate("LogisticRegression", train, mf.features, SPEC.target,
+                            SPEC.lr_params, "fold", SPEC.cv_folds, SPEC.seed)
+    return per
+
+
+@register("M9_M10_evaluate_baselines")
+def q_baselines(spark, sf):
+    """Fit LR and RF as configured, score val, evaluate (V2-V5) per model."""
+    mf = _mf(spark, sf)
+    parts = [PM.score_splits(mf, PM.fit_model(mf, n), n, ("val",))
+             for n in ("LogisticRegression", "RandomForest")]
+    return ME.evaluate(parts[0].unionByName(parts[1]), 0.5)
+
+
+@register("M13_feature_importance")
+def q_importance(spark, sf):
+    mf = _mf(spark, sf)
+    return MD.feature_importance(PM.fit_model(mf, "RandomForest"), mf.features, 20)
+
+
+# ------------------------------------------------------------------ calibration (T1-T5), S9
+def _calibrated(spark, sf):
+    mf = _mf(spark, sf)
+    base = PM.fit_model(mf, "LogisticRegression")
+    cal, table = PM.calibrated_model(mf, base, "LogisticRegression")
+    return mf, base, cal, table
+
+
+@register("T1_T2_T4_calibration_choice")
+def q_calibration(spark, sf):
+    return _calibrated(spark, sf)[3]
+
+
+@register("T3_calibrated_scoring")
+def q_calibrated_scores(spark, sf):
+    mf, _, cal, _ = _calibrated(spark, sf)
+    return PM.calibrated_scores(mf, cal)
+
+
+@register("T5_calibrated_vs_raw")
+def q_cal_vs_raw(spark, sf):
+    mf, base, cal, _ = _calibrated(spark, sf)
+    raw_s = PM.score_splits(mf, base, "raw", ("val",))
+    cal_s = PM.calibrated_scores(mf, cal, ("val",)).withColumn("model", F.lit("calibrated"))
+    both = raw_s.unionByName(cal_s)
+    return ME.ranking_metrics(both).join(ME.brier(both), ["model", "split"])
+
+
+@register("S9_model_save_load")
+def q_model_io(spark, sf):
+    from cohortlens.operators.calibrate import CalibratedModel
+    mf, _, cal, _ = _calibrated(spark, sf)
+    path = AR.artifact_dir(spark, "model")
+    cal.threshold = ERROR_THRESHOLD
+    cal.save(path)
+    loaded = CalibratedModel.load(path)
+    a = PM.calibrated_scores(mf, cal).select("row_id", F.col("score").alias("a"))
+    b = PM.calibrated_scores(mf, loaded).select("row_id", F.col("score").alias("b"))
+    return a.join(b, "row_id").agg(F.count(F.lit(1)).alias("n"),
+                                   F.max(F.abs(F.col("a") - F.col("b"))).alias("max_abs_diff"),
+                                   F.lit(loaded.method).alias("method"),
+                                   F.lit(loaded.threshold).alias("threshold"))
+
+
+# ------------------------------------------------------------------ attribution
+SHAP_ROWS, SHAP_BACKGROUND, SHAP_PERMUTATIONS = 500, 100, 10
+
+
+_PHI_CACHE: dict = {}
+
+
+def _phi(spark, sf):
+    """X1 once per (session, data): the phi table is checkpointed and shared by X1-X5."""
+    k = (id(spark), spark.sparkContext.applicationId, sf)
+    if k not in _PHI_CACHE:
+        from cohortlens.session import cut_lineage
+        mf, _, cal, _ = _calibrated(spark, sf)
+        val = mf.frame.where(F.col("split") == "val")
+        phi, base = XA.explain(cal, val, mf.features, SHAP_ROWS, SHAP_BACKGROUND,
+                               SHAP_PERMUTATIONS, SPEC.seed)
+        _PHI_CACHE.clear()
+        _PHI_CACHE[k] = (mf, cal, cut_lineage(phi), base)
+    return _PHI_CACHE[k]
+
+
+@register("X1_shapley_values")
+def q_shap(spark, sf):
+    return _phi(spark, sf)[2]
+
+
+@register("X2_global_importance")
+def q_shap_importance(spark, sf):
+    return XA.global_importance(_phi(spark, sf)[2], 20)
+
+
+@register("X3_impact_distribution")
+def q_shap_dist(spark, sf):
+    return XA.impact_distribution(_phi(spark, sf)[2])
+
+
+@register("X4_dependence_pairs")
+def q_shap_dep(spark, sf):
+    return XA.dependence_pairs(_phi(spark, sf)[2], 4)
+
+
+@register("X5_row_breakdown")
+def q_shap_rows(spark, sf):
+    mf, _, phi, base = _phi(spark, sf)
+    first = SP.uniform_sample(mf.frame.where(F.col("split") == "val"), 3, seed=SPEC.seed)
+    return XA.row_breakdown(phi, base, first)
