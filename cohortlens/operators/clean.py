@@ -24,12 +24,19 @@ ROW_ID = "row_id"
 
 
 # ---------------------------------------------------------------- P1-P3 target
-def target_mapping_expr(spec: Spec) -> Column:
-    """P1/P2 as one expression: normalised label -> 1 / 0 (tinyint), else null."""
+def target_mapping_expr(spec: Spec, guard: bool = True) -> Column:
+    """P1/P2 as one expression: normalised label -> 1 / 0 (tinyint).
+
+    With ``guard`` a null or unknown label fails the job where it is met
+    (``raise_error``), so validation costs no extra pass over the data.
+    """
     pos, neg = _check_mapping_config(spec)
     norm = normalize_label(F.col(spec.target))
+    bad = F.raise_error(F.concat(F.lit(f"Unexpected or missing target label in '{spec.target}': "),
+                                 F.coalesce(F.col(spec.target).cast("string"), F.lit("NULL"))))
+    other = bad if guard else F.lit(None)
     return (F.when(norm == pos, F.lit(1)).when(norm == neg, F.lit(0))
-            .otherwise(F.lit(None)).cast("tinyint"))
+            .otherwise(other).cast("tinyint"))
 
 
 def _check_mapping_config(spec: Spec) -> tuple[str, str]:
@@ -71,15 +78,22 @@ def check_target(df: DataFrame, spec: Spec) -> None:
                          f"Expected only '{pos}' or '{neg}' (case/whitespace-insensitive).")
 
 
-def map_target(df: DataFrame, spec: Spec, validate: bool = True) -> DataFrame:
-    """Text labels -> tinyint 0/1; numeric 0/1 -> tinyint."""
+def map_target(df: DataFrame, spec: Spec, validate: bool = False) -> DataFrame:
+    """Text labels -> tinyint 0/1; numeric 0/1 -> tinyint.
+
+    Bad labels always fail the job (in-plan guard). ``validate=True`` adds the
+    eager aggregate check that reports the count and up to five sorted samples.
+    """
     t = spec.target
     if t not in df.columns:
         return df
     if validate:
         check_target(df, spec)
     if isinstance(df.schema[t].dataType, NUMERIC_TYPES):
-        mapped = F.col(t).cast("tinyint")
+        c = F.col(t)
+        mapped = F.when(c.isin(0, 1), c).otherwise(F.raise_error(F.concat(
+            F.lit(f"Target '{t}' must contain only 0/1 when numeric, found: "),
+            F.coalesce(c.cast("string"), F.lit("NULL"))))).cast("tinyint")
     else:
         mapped = target_mapping_expr(spec)
     return df.withColumn(t, mapped)
@@ -208,9 +222,16 @@ def validate_schema(df: DataFrame, spec: Spec) -> None:
 
 
 def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
-               validate: bool = True, imputer: Imputer | None = None,
-               exact_median: bool = True) -> tuple[DataFrame, CleanFit]:
-    """Compose P1-P12. Pass a fitted ``imputer`` to clean a scoring batch."""
+               validate: bool = False, imputer: Imputer | None = None,
+               exact_median: bool = True,
+               materialize_mode: str | None = "checkpoint") -> tuple[DataFrame, CleanFit]:
+    """Compose P1-P12. Pass a fitted ``imputer`` to clean a scoring batch.
+
+    The deduplicated frame is the stage boundary: it is materialised once
+    (``materialize_mode``) and the fit passes (null counts, medians/modes) and
+    the returned frame all read it, instead of replaying scan + joins + dedupe.
+    """
+    from cohortlens.session import materialize
     if require_target or spec.target in df.columns:
         df = map_target(df, spec, validate=validate)
     df = drop_columns(df, spec.drop_columns)
@@ -218,6 +239,7 @@ def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
     if require_target:
         validate_schema(df, spec)
     if imputer is None:
+        df = materialize(df, materialize_mode)
         skip = (spec.target, ROW_ID)
         cols = numeric_columns(df, exclude=skip) + string_columns(df, exclude=skip)
         counts = null_counts(df, cols)

@@ -51,8 +51,9 @@ def stratified_split(df: DataFrame, label: str, key: str = "row_id", seed: int =
 
     test = ceil(test_size * n); val = ceil(val_size / (1 - test_size) * rest).
     """
+    counts = df.groupBy((F.col(label) if stratify else F.lit(0)).alias("__s")).agg(
+        F.count(F.lit(1)).alias("__n"))
     r = ranked(df, label, key, seed, stratify)
-    counts = r.groupBy("__s").agg(F.count(F.lit(1)).alias("__n"))
     test = class_quotas(counts, "__s", "__n", F.ceil(F.lit(float(test_size)) * F.col("__total")))
     test = test.select("__s", "__n", F.col("quota").alias("__qt"))
     rest = test.select("__s", (F.col("__n") - F.col("__qt")).alias("__rest"), "__qt")
@@ -82,8 +83,9 @@ def two_way_split(df: DataFrame, label: str, frac: float, key: str = "row_id", s
                   names: tuple[str, str] = ("calib_fit", "calib_eval"),
                   stratify: bool = True) -> DataFrame:
     """K3: stratified two-part split; ``names[1]`` gets ceil(frac * n) rows."""
+    counts = df.groupBy((F.col(label) if stratify else F.lit(0)).alias("__s")).agg(
+        F.count(F.lit(1)).alias("__n"))
     r = ranked(df, label, key, seed, stratify)
-    counts = r.groupBy("__s").agg(F.count(F.lit(1)).alias("__n"))
     q = class_quotas(counts, "__s", "__n", F.ceil(F.lit(float(frac)) * F.col("__total")))
     out = r.join(F.broadcast(q.select("__s", F.col("quota").alias("__q"))), "__s")
     return out.withColumn("part", F.when(F.col("__rank") <= F.col("__q"), names[1])

@@ -360,9 +360,11 @@ ERROR_THRESHOLD = 0.35
 
 
 def split_frame(spark, sf) -> DataFrame:
-    return SP.stratified_split(feats(spark, sf), SPEC.target, seed=SPEC.seed,
-                               test_size=SPEC.test_size, val_size=SPEC.val_size,
-                               stratify=SPEC.stratify)
+    """Features + split, materialised: every metric branch reads it, none replays it."""
+    from cohortlens.session import materialize
+    return materialize(SP.stratified_split(feats(spark, sf), SPEC.target, seed=SPEC.seed,
+                                           test_size=SPEC.test_size, val_size=SPEC.val_size,
+                                           stratify=SPEC.stratify))
 
 
 def surrogate_models() -> dict:

@@ -52,3 +52,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
+    """Stage boundary for a frame that several actions or branches reuse.
+
+    ``checkpoint`` writes it to the shared checkpoint folder and cuts the
+    lineage (an executor loss re-reads the files instead of replaying the
+    upstream joins); ``persist`` keeps it in executor memory/disk; ``None``
+    leaves the plan lazy.
+    """
+    if mode == "checkpoint":
+        return cut_lineage(df)
+    if mode == "persist":
+        from pyspark import StorageLevel
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    return df
