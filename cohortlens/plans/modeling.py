@@ -26,6 +26,7 @@ class ModelingFrame:
     frame: DataFrame
     features: list[str]
     spec: Spec
+    artifacts: object = None      # FeatureArtifacts: fitted imputer and levels
 
 
 def modeling_frame(raw: DataFrame, spec: Spec, checkpoint: bool = True) -> ModelingFrame:
@@ -35,7 +36,7 @@ def modeling_frame(raw: DataFrame, spec: Spec, checkpoint: bool = True) -> Model
     frame = fold_column(split, spec.cv_folds)
     if checkpoint:
         frame = cut_lineage(frame)
-    return ModelingFrame(frame, art.feature_columns, spec)
+    return ModelingFrame(frame, art.feature_columns, spec, art)
 
 
 def params_for(name: str, spec: Spec) -> dict:

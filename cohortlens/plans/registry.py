@@ -846,3 +846,15 @@ def q_shap_rows(spark, sf):
     mf, _, phi, base = _phi(spark, sf)
     first = SP.uniform_sample(mf.frame.where(F.col("split") == "val"), 3, seed=SPEC.seed)
     return XA.row_breakdown(phi, base, first)
+
+
+# ------------------------------------------------------------------ streaming scoring
+@register("ST1_stream_scoring")
+def q_stream(spark, sf):
+    """Fit on the batch tables, then score the orders file stream (stream-static joins)."""
+    from cohortlens.streaming.scoring import order_stream, run_to_table, score_frame
+    mf, _, cal, _ = _calibrated(spark, sf)
+    art = mf.artifacts
+    scored = score_frame(order_stream(spark, sf), SPEC, art.fit.imputer, art.levels,
+                         mf.features, cal)
+    return run_to_table(scored, f"scoring-{abs(hash((sf, spark.sparkContext.applicationId)))}")
