@@ -62,3 +62,10 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
 def seeded_hash(key: Column, seed: int) -> Column:
     """Portable deterministic order key: md5 of ``key:seed`` (same in DuckDB)."""
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
+
+
+def quartiles(c, exact: bool = True):
+    """[q1, median, q3]: exact (linear interpolation, memory per distinct value)
+    or ``percentile_approx`` (bounded memory) for high-cardinality data at scale."""
+    probs = [0.25, 0.5, 0.75]
+    return F.percentile(c, probs) if exact else F.percentile_approx(c, probs, 10_000)

@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.exprs import quartiles
 from cohortlens.operators.split import uniform_sample
 
 
@@ -95,11 +96,11 @@ def global_importance(phi: DataFrame, top_n: int = 20) -> DataFrame:
     return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
 
-def impact_distribution(phi: DataFrame) -> DataFrame:
+def impact_distribution(phi: DataFrame, exact: bool = True) -> DataFrame:
     """Per-feature phi quantiles and the phi-value correlation (beeswarm data)."""
     return phi.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("phi").alias("phi_min"),
-        F.percentile("phi", [0.25, 0.5, 0.75]).alias("phi_q"), F.max("phi").alias("phi_max"),
+        quartiles(F.col("phi"), exact).alias("phi_q"), F.max("phi").alias("phi_max"),
         F.corr("value", "phi").alias("value_phi_corr"))
 
 

@@ -163,13 +163,29 @@ def null_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
+EXACT_MEDIAN_MAX_DISTINCT = 1_000_000
+
+
+def column_stats(df: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
+    """One aggregate: missing count and approximate distinct count per column."""
+    if not cols:
+        return {}, {}
+    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n_{i}") for i, c in enumerate(cols)],
+                 *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
+    return ({c: int(row[f"n_{i}"]) for i, c in enumerate(cols)},
+            {c: int(row[f"d_{i}"]) for i, c in enumerate(cols)})
+
+
 def fit_imputer(df: DataFrame, target: str | None, key: str = ROW_ID,
-                counts: dict[str, int] | None = None, exact_median: bool = True) -> Imputer:
+                counts: dict[str, int] | None = None, exact_median: bool = True,
+                distinct: dict[str, int] | None = None) -> Imputer:
     """Medians of numeric and modes of string columns that have nulls.
 
-    Median is exact (``median``); ``exact_median=False`` switches to
-    ``percentile_approx`` for very high-cardinality doubles. Mode ties resolve
-    to the lowest value (deterministic).
+    The exact median keeps one counter per distinct value in the final merge,
+    which is cheap for count-like columns but not for continuous ones: a column
+    whose distinct estimate exceeds ``EXACT_MEDIAN_MAX_DISTINCT`` (or every
+    column with ``exact_median=False``) uses ``percentile_approx`` (bounded
+    memory). Mode ties resolve to the lowest value (deterministic).
     """
     skip = {c for c in (target, key) if c}
     num = numeric_columns(df, exclude=tuple(skip))
@@ -180,9 +196,11 @@ def fit_imputer(df: DataFrame, target: str | None, key: str = ROW_ID,
     if not num_fill and not str_fill:
         return Imputer()
     aggs = []
+    distinct = distinct or {}
     for c in num_fill:
         v = F.when(~is_missing(df, c), F.col(c).cast("double"))
-        aggs.append((F.median(v) if exact_median else F.percentile_approx(v, 0.5)).alias(c))
+        exact = exact_median and distinct.get(c, 0) <= EXACT_MEDIAN_MAX_DISTINCT
+        aggs.append((F.median(v) if exact else F.percentile_approx(v, 0.5, 100_000)).alias(c))
     for c in str_fill:
         aggs.append(F.mode(F.col(c), True).alias(c))
     row = df.agg(*aggs).first()
@@ -242,8 +260,9 @@ def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
         df = materialize(df, materialize_mode)
         skip = (spec.target, ROW_ID)
         cols = numeric_columns(df, exclude=skip) + string_columns(df, exclude=skip)
-        counts = null_counts(df, cols)
-        imputer = fit_imputer(df, spec.target, counts=counts, exact_median=exact_median)
+        counts, distinct = column_stats(df, cols)
+        imputer = fit_imputer(df, spec.target, counts=counts, exact_median=exact_median,
+                              distinct=distinct)
     else:
         counts = {}
     return imputer.transform(df), CleanFit(imputer, counts)

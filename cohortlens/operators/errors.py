@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortlens.functions.exprs import quartiles
 from cohortlens.operators.align import reindex_domain
 
 GROUPS = ["TP", "TN", "FP", "FN"]
@@ -38,14 +39,14 @@ def group_means(grouped: DataFrame, columns: list[str]) -> DataFrame:
     return reindex_domain(g, "group", GROUPS, fill={"n": 0})
 
 
-def group_distributions(grouped: DataFrame, columns: list[str]) -> DataFrame:
+def group_distributions(grouped: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Per (group, feature): n, min, quartiles, max (violin + inner box data)."""
     long = grouped.select("group", F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in columns])))
     q = long.groupBy("group", "feature").agg(
         F.count("value").alias("n"), F.min("value").alias("min"),
-        F.percentile("value", [0.25, 0.5, 0.75]).alias("__q"), F.max("value").alias("max"))
+        quartiles(F.col("value"), exact).alias("__q"), F.max("value").alias("max"))
     return q.select("group", "feature", "n", "min", F.col("__q")[0].alias("q1"),
                     F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"), "max")
 

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import is_missing, numeric_columns, string_columns
+from cohortlens.functions.exprs import is_missing, numeric_columns, quartiles, string_columns
 
 
 def _inline(rows: list[Column]) -> Column:
@@ -40,14 +40,14 @@ def overview(df: DataFrame) -> DataFrame:
         for i, (c, t) in enumerate((f.name, f.dataType) for f in df.schema.fields)]))
 
 
-def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
     """Numeric half of A2 in one wide aggregate; quartiles exact (linear)."""
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 F.percentile(x, [0.25, 0.5, 0.75]).alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+                 quartiles(x, exact).alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     return wide.select(_inline([
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
@@ -76,13 +76,13 @@ def describe_strings(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def describe_all(df: DataFrame, exclude=("row_id",)) -> DataFrame:
+def describe_all(df: DataFrame, exclude=("row_id",), exact: bool = True) -> DataFrame:
     """A2: count, unique, top, freq, mean, std, min, quartiles, max per column."""
     num = numeric_columns(df, exclude=exclude)
     strs = string_columns(df, exclude=exclude)
     parts = []
     if num:
-        parts.append(describe_numeric(df, num).select(
+        parts.append(describe_numeric(df, num, exact).select(
             "column", "count", F.lit(None).cast("bigint").alias("unique"),
             F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
             "mean", "std", "min", "p25", "p50", "p75", "max"))
@@ -183,14 +183,27 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     return dom.join(counts, ["column", "bin"], "left").fillna(0, subset=["n"])
 
 
-def density(df: DataFrame, columns: list[str], grid: int = 200) -> DataFrame:
+def density(df: DataFrame, columns: list[str], grid: int = 200,
+            max_points: int = 1 << 16) -> DataFrame:
     """Gaussian KDE (Scott bandwidth, sample std) on ``grid`` points over [min, max].
 
     Works from pre-aggregated (column, value, count) rows, so the kernel sum
-    costs distinct-values x grid, independent of the row count.
+    costs distinct-values x grid, independent of the row count. A column with
+    more than ``max_points`` distinct values is first binned to ``max_points``
+    equal-width bins (binned KDE), keeping the work bounded.
     """
     vals = unpivot_values(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
     vc = vals.groupBy("column", "value").agg(F.count("*").alias("c"))
+    card = vc.groupBy("column").agg(F.count("*").alias("__d"), F.min("value").alias("__lo"),
+                                    F.max("value").alias("__hi"))
+    wide = card.where(F.col("__d") > max_points)       # one row per column: broadcast
+    width = (F.col("__hi") - F.col("__lo")) / max_points
+    binned = (vc.join(F.broadcast(wide), "column", "left")
+              .select("column", F.when(F.col("__d").isNull(), F.col("value"))
+                      .otherwise(F.col("__lo") + (F.least(F.floor((F.col("value") - F.col("__lo"))
+                                                                   / width), F.lit(max_points - 1))
+                                                  + 0.5) * width).alias("value"), "c"))
+    vc = binned.groupBy("column", "value").agg(F.sum("c").alias("c"))
     st = vc.groupBy("column").agg(
         F.sum("c").alias("n"),
         (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("mu"),
@@ -220,12 +233,13 @@ def top_levels(df: DataFrame, columns: list[str], k: int = 15) -> DataFrame:
 
 
 def top_levels_with_sentinel(df: DataFrame, column: str, sentinel: str, k: int = 12) -> DataFrame:
-    """Top-k known levels by count plus the sentinel bar."""
+    """Top-k known levels by count plus the sentinel bar (distributed top-k)."""
     lc = df.groupBy(F.col(column).alias("level")).agg(F.count("*").alias("n"))
-    known = (lc.where((F.col("level") != sentinel) & F.col("level").isNotNull())
-             .withColumn("rank", F.row_number().over(
-                 Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "level")))
-             .where(F.col("rank") <= k).withColumn("is_sentinel", F.lit(0)))
+    top = (lc.where((F.col("level") != sentinel) & F.col("level").isNotNull())
+           .orderBy(F.desc("n"), "level").limit(k))
+    known = top.withColumn("rank", F.row_number().over(
+        Window.partitionBy(F.lit(0)).orderBy(F.desc("n"), "level")))   # over k rows
+    known = known.withColumn("is_sentinel", F.lit(0))
     sent = lc.where(F.col("level") == sentinel).select(
         "level", "n", F.lit(0).alias("rank"), F.lit(1).alias("is_sentinel"))
     return known.unionByName(sent)
@@ -242,12 +256,12 @@ def discrete_distribution(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 # ------------------------------------------------------------------ A13 box statistics
-def box_stats(df: DataFrame, target: Column, columns: list[str]) -> DataFrame:
+def box_stats(df: DataFrame, target: Column, columns: list[str], exact: bool = True) -> DataFrame:
     """Quartiles, 1.5*IQR fences and whisker ends per (feature, target)."""
     long = (unpivot_values(df, columns, extra=[target.alias("target")])
             .where(F.col("value").isNotNull()))
     q = long.groupBy("column", "target").agg(
-        F.count("*").alias("n"), F.percentile("value", [0.25, 0.5, 0.75]).alias("q"))
+        F.count("*").alias("n"), quartiles(F.col("value"), exact).alias("q"))
     q = q.select("column", "target", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     fences = q.select("column", "target",

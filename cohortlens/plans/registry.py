@@ -9,14 +9,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import normalize_label, numeric_columns, round_doubles
 from cohortlens.operators import clean as C
 from cohortlens.operators import features as FE
+from cohortlens.operators import align as J
+from cohortlens.operators import attribution as XA
+from cohortlens.operators import encode as EN
+from cohortlens.operators import errors as ER
+from cohortlens.operators import metrics as ME
+from cohortlens.operators import models as MD
+from cohortlens.operators import profile as PR
+from cohortlens.operators import quality as QA
+from cohortlens.operators import split as SP
+from cohortlens.operators import threshold as TH
+from cohortlens.plans import modeling as PM
+from cohortlens.sources import artifacts as AR
+from cohortlens.sources import csv as CSV
+from cohortlens.sources import manifest as MF
 from cohortlens.sources.binding import documents_labelled_frame, orders_patient_frame
+from cohortlens.sources.tables import table_path
 from cohortlens.spec import orders_binding_spec
 
 SPEC = orders_binding_spec()
@@ -167,8 +181,6 @@ def flagship(spark, sf) -> DataFrame:
 
 
 # ------------------------------------------------------------------ encoding
-from cohortlens.operators import align as J  # noqa: E402
-from cohortlens.operators import encode as EN  # noqa: E402
 
 
 def fitted_levels(f: DataFrame) -> "EN.Levels":
@@ -257,7 +269,6 @@ def q_removed(spark, sf):
 
 
 # ------------------------------------------------------------------ profiling
-from cohortlens.operators import profile as PR  # noqa: E402
 
 RAW_NUMERIC = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient", "n_emergency"]
 RAW_STRINGS = ["age", "medical_specialty", "c_mktsegment", "n_name", "min_returnflag"]
@@ -351,10 +362,6 @@ def q_tcorr(spark, sf):
 
 
 # ------------------------------------------------------------------ splits (K1-K5)
-from cohortlens.operators import errors as ER  # noqa: E402
-from cohortlens.operators import metrics as ME  # noqa: E402
-from cohortlens.operators import split as SP  # noqa: E402
-from cohortlens.operators import threshold as TH  # noqa: E402
 
 ERROR_THRESHOLD = 0.35
 
@@ -569,7 +576,6 @@ def q_cat_share(spark, sf):
 
 
 # ------------------------------------------------------------------ quality (Q1-Q9)
-from cohortlens.operators import quality as QA  # noqa: E402
 
 
 def _check_frames(spark, sf):
@@ -626,10 +632,6 @@ def q_check_summary(spark, sf):
 
 
 # ------------------------------------------------------------------ sources / sinks
-from cohortlens.sources import artifacts as AR  # noqa: E402
-from cohortlens.sources import csv as CSV  # noqa: E402
-from cohortlens.sources import manifest as MF  # noqa: E402
-from cohortlens.sources.tables import table_path  # noqa: E402
 
 BINDING_SOURCES = ("orders", "lineitem", "customer", "nation")
 
@@ -699,9 +701,6 @@ def q_freshness(spark, sf):
 
 
 # ------------------------------------------------------------------ models
-from cohortlens.operators import attribution as XA  # noqa: E402
-from cohortlens.operators import models as MD  # noqa: E402
-from cohortlens.plans import modeling as PM  # noqa: E402
 
 
 def _mf(spark, sf):
