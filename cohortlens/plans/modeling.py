@@ -17,7 +17,7 @@ from cohortlens.operators import models as MD
 from cohortlens.operators.calibrate import CalibratedModel, calibrate
 from cohortlens.operators.split import fold_column, stratified_split
 from cohortlens.plans.build import build_feature_artifacts
-from cohortlens.session import cut_lineage
+from cohortlens.session import materialize
 from cohortlens.spec import Spec
 
 
@@ -35,7 +35,7 @@ def modeling_frame(raw: DataFrame, spec: Spec, checkpoint: bool = True) -> Model
                              val_size=spec.val_size, stratify=spec.stratify)
     frame = fold_column(split, spec.cv_folds)
     if checkpoint:
-        frame = cut_lineage(frame)
+        frame = materialize(frame)
     return ModelingFrame(frame, art.feature_columns, spec, art)
 
 

@@ -521,9 +521,13 @@ def q_constant(spark, sf):
 
 # ------------------------------------------------------------------ errors
 def analysis_groups(spark, sf) -> DataFrame:
-    s = scored(spark, sf).where((F.col("model") == "surrogate_a") & (F.col("split") == "val"))
+    """Scored validation rows -> outcome group, re-attached to the analysis columns."""
+    sp = split_frame(spark, sf)
+    s = ME.score_table(sp, surrogate_models(), SPEC.target).where(
+        (F.col("model") == "surrogate_a") & (F.col("split") == "val"))
     grouped = ER.with_groups(s, ERROR_THRESHOLD).select("row_id", "group")
-    return J.lookup(grouped, C.select_features(feats(spark, sf), SPEC.target))
+    analysis = C.select_features(sp.drop("split", "split_rank"), SPEC.target)
+    return J.lookup(grouped, analysis)
 
 
 ANALYSIS_NUMERIC = ["time_in_hospital", "n_medications", "n_outpatient", "n_inpatient",

@@ -57,11 +57,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def materialize(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
     """Stage boundary for a frame that several actions or branches reuse.
 
-    ``checkpoint`` writes it to the shared checkpoint folder and cuts the
-    lineage (an executor loss re-reads the files instead of replaying the
-    upstream joins); ``persist`` keeps it in executor memory/disk; ``None``
-    leaves the plan lazy.
+    ``table`` writes it as Parquet under the shared checkpoint folder and reads
+    it back (lineage cut; later scans prune columns and push filters);
+    ``checkpoint`` uses ``DataFrame.checkpoint`` in the same folder;
+    ``persist`` keeps it in executor memory/disk; ``None`` leaves the plan lazy.
+    An executor loss after the boundary re-reads files instead of replaying
+    the upstream joins.
     """
+    if mode == "table":
+        import uuid
+        spark = df.sparkSession
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
     if mode == "checkpoint":
         return cut_lineage(df)
     if mode == "persist":
