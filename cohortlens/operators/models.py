@@ -137,17 +137,27 @@ def predict(scored: DataFrame, threshold: float) -> DataFrame:
 
 # ------------------------------------------------------------------ M6 cross-validation
 def cross_validate(name: str, train: DataFrame, features: list[str], label: str, params: dict,
-                   fold_col: str = "fold", k: int = 5, seed: int = 42) -> DataFrame:
+                   fold_col: str = "fold", k: int = 5, seed: int = 42,
+                   parallelism: int = 1) -> DataFrame:
     """M6: per-fold ROC-AUC, average precision and F1, scored into one long table.
 
-    Class weights are recomputed on each fold's training part.
+    Class weights are recomputed on each fold's training part. With
+    ``parallelism`` > 1 the k fits are submitted as concurrent Spark jobs.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     from cohortlens.operators.metrics import ranking_metrics, threshold_metrics
-    parts = []
-    for f in range(k):
+
+    def one(f):
         model = fit(name, train.where(F.col(fold_col) != f), features, label, params, seed)
         held = train.where(F.col(fold_col) == f).withColumn("split", F.lit(f"fold{f}"))
-        parts.append(score(model, held, name, label))
+        return score(model, held, name, label)
+
+    if parallelism > 1:
+        with ThreadPoolExecutor(parallelism) as pool:
+            parts = list(pool.map(one, range(k)))
+    else:
+        parts = [one(f) for f in range(k)]
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
@@ -199,18 +209,23 @@ class ExactAUCEvaluator(Evaluator):
 def random_search(name: str, train: DataFrame, features: list[str], label: str, spaces: dict,
                   n_draws: int = 20, k: int = 5, seed: int = 42, fold_col: str = "fold",
                   parallelism: int = 4) -> dict:
-    """M8: seeded draws from the grid, k-fold CV on ROC-AUC, refit best on all of train."""
+    """M8: seeded draws from the grid, k-fold CV on exact ROC-AUC, refit best on all of train.
+
+    Returns the refitted model, the winning parameters, its CV score and a
+    (draw, params, cv_roc_auc) list. Ties go to the earlier draw.
+    """
     draws = sample_draws(search_space(name, spaces), n_draws, seed)
     if not draws:                                                     # M9 fallback
         return {"model": fit(name, train, features, label, {}, seed), "params": {},
-                "cv_score": None}
+                "cv_score": None, "draws": []}
     scores = []
     for params in draws:
-        per = cross_validate(name, train, features, label, params, fold_col, k, seed)
+        per = cross_validate(name, train, features, label, params, fold_col, k, seed, parallelism)
         scores.append(float(per.agg(F.avg("roc_auc")).first()[0]))
     best = max(range(len(draws)), key=lambda i: (scores[i], -i))
     return {"model": fit(name, train, features, label, draws[best], seed),
-            "params": draws[best], "cv_score": scores[best], "all_scores": scores}
+            "params": draws[best], "cv_score": scores[best],
+            "draws": [(i, draws[i], scores[i]) for i in range(len(draws))]}
 
 
 # ------------------------------------------------------------------ M13 importance

@@ -861,3 +861,18 @@ def q_stream(spark, sf):
     scored = score_frame(order_stream(spark, sf), SPEC, art.fit.imputer, art.levels,
                          mf.features, cal)
     return run_to_table(scored, f"scoring-{abs(hash((sf, spark.sparkContext.applicationId)))}")
+
+
+@register("M7_M8_random_search_logistic")
+def q_search(spark, sf):
+    """Seeded draws from the configured LR grid, 5-fold CV on exact ROC-AUC per draw."""
+    import json
+
+    from cohortlens.spec import SEARCH_SPACES
+    mf = _mf(spark, sf)
+    train = mf.frame.where(F.col("split") == "train")
+    res = MD.random_search("LogisticRegression", train, mf.features, SPEC.target, SEARCH_SPACES,
+                           SPEC.n_search_draws, SPEC.cv_folds, SPEC.seed)
+    rows = [(i, json.dumps(p, sort_keys=True), sc, int(p == res["params"]))
+            for i, p, sc in res["draws"]]
+    return spark.createDataFrame(rows, "draw int, params string, cv_roc_auc double, chosen int")

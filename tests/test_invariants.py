@@ -126,3 +126,22 @@ def test_streaming_scores_match_batch(spark):
     b = {r[0]: r[1] for r in batch.collect()}
     assert a.keys() == b.keys()
     assert all(math.isclose(a[k], b[k], abs_tol=1e-12) for k in a)
+
+
+def test_search_space_sizes_and_draws():
+    from cohortlens.spec import SEARCH_SPACES
+    assert len(MD.search_space("LogisticRegression", SEARCH_SPACES)) == 14   # solver not applicable
+    assert len(MD.search_space("RandomForest", SEARCH_SPACES)) == 36         # no min_samples_split
+    assert len(MD.search_space("GradientBoosting", SEARCH_SPACES)) == 256
+    d1 = MD.sample_draws(MD.search_space("GradientBoosting", SEARCH_SPACES), 20, 42)
+    d2 = MD.sample_draws(MD.search_space("GradientBoosting", SEARCH_SPACES), 20, 42)
+    assert d1 == d2 and len({str(x) for x in d1}) == 20
+
+
+def test_random_search_picks_best_cv_draw(planted):
+    train = planted.where(F.col("split") == "train")
+    space = {"LogisticRegression": {"C": [0.001, 1.0], "penalty": ["l2"]}}
+    res = MD.random_search("LogisticRegression", train, FEATS, "y", space, n_draws=2, k=3,
+                           parallelism=2)
+    assert len(res["draws"]) == 2
+    assert res["cv_score"] == max(s for _, _, s in res["draws"]) and res["cv_score"] > 0.7
