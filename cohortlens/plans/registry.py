@@ -860,7 +860,7 @@ def q_stream(spark, sf):
     art = mf.artifacts
     scored = score_frame(order_stream(spark, sf), SPEC, art.fit.imputer, art.levels,
                          mf.features, cal)
-    return run_to_table(scored, f"scoring-{abs(hash((sf, spark.sparkContext.applicationId)))}")
+    return run_to_table(scored, "order-scoring")
 
 
 @register("M7_M8_random_search_logistic")

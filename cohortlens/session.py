@@ -25,6 +25,7 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEMORY", "16g"))
@@ -36,15 +37,26 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder the session names.
 
-    A cluster names it; only when it is unset (local tests) do we create one.
+    ``spark.checkpoint.dir`` (or a folder already given to
+    ``SparkContext.setCheckpointDir``) wins; only when neither is set (local
+    tests) is a fresh folder created.
     """
+    sc = spark.sparkContext
     path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path:
+        try:
+            path = sc.getCheckpointDir()
+        except Exception:          # older API surface: no getter
+            path = None
+        if path:
+            # the context appends a random sub-folder; checkpoints land there too
+            return path
     if not path:
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return path
 
 

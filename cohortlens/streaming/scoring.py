@@ -61,12 +61,16 @@ def order_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int =
 
 
 def run_to_table(stream: DataFrame, name: str, sink_dir: str | None = None) -> DataFrame:
-    """Drain the stream (availableNow) into a parquet table under the shared folder."""
+    """Drain the stream (availableNow) into a parquet table under the shared folder.
+
+    Each run gets its own sink and stream state (a reused state folder would
+    treat the files as already processed)."""
+    import uuid
     spark = stream.sparkSession
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    sink = sink_dir or f"{root}/streams/{name}/data"
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}-{uuid.uuid4().hex[:12]}"
+    sink = sink_dir or f"{root}/data"
     q = (stream.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{root}/streams/{name}/state")
+         .option("checkpointLocation", f"{root}/state")
          .trigger(availableNow=True).start(sink))
     q.awaitTermination()
     return spark.read.parquet(sink)
