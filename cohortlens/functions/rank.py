@@ -4,7 +4,7 @@ An unpartitioned (or two-class) window sends every row to one or two tasks.
 Instead:
 
 1. assign each row a *bucket* that is monotone in the sort order
-   (first 3 hex digits of an md5 key, or ``floor(score * B)``);
+   (leading hex digits of an md5 key, or ``floor(score * B)``);
 2. aggregate per (group, bucket) -- a table bounded by groups x buckets;
 3. prefix-sum that small table with a window partitioned by group;
 4. broadcast the per-bucket offsets (bounded, see 2) back to the rows;
@@ -20,13 +20,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HEX_BUCKETS = 4096          # 3 hex digits
+HEX_DIGITS = 4              # 65,536 hash buckets: ~1.5M rows per window group at 1e11 rows
 SCORE_BUCKETS = 1 << 14     # score buckets on [0, 1]
 
 
-def hash_bucket(h: Column) -> Column:
-    """Bucket of an md5 hex string: its first 3 hex digits as an int (0..4095)."""
-    return F.conv(F.substring(h, 1, 3), 16, 10).cast("int")
+def hash_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
+    """Bucket of an md5 hex string: its first ``digits`` hex digits as an int.
+
+    The offsets table is groups x 16**digits rows (broadcast), so ``digits``
+    trades broadcast size against rows per window group.
+    """
+    return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
 def score_bucket_desc(score: Column, buckets: int = SCORE_BUCKETS) -> Column:
