@@ -543,3 +543,59 @@ tr AS (SELECT row_id, readmitted FROM sp WHERE split = 'train'),
 cw AS (SELECT readmitted, sum(count(*)) OVER () / (count(*) OVER () * count(*)) AS weight
        FROM tr GROUP BY readmitted)
 SELECT row_id, tr.readmitted, round(weight, 6) AS weight FROM tr JOIN cw USING (readmitted)""")
+
+# ------------------------------------------------------------------ second binding: documents
+from cohortlens.plans.oracle import _quota_ctes  # noqa: E402
+
+_DOCS = """
+dl AS (SELECT d.doc_id AS row_id, d.lang, d.source, d.n_chars, l.toxic,
+              CAST(l.quality AS TINYINT) AS quality
+       FROM documents d JOIN labels l ON l.doc_id = d.doc_id)"""
+_DOC_SPLIT = _DOCS + f""",
+dh AS (SELECT *, md5(CAST(row_id AS VARCHAR) || ':{SPEC.seed}') AS h FROM dl),
+drk AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, row_id) AS rnk FROM dh),
+dcc AS (SELECT quality AS s, count(*) AS n FROM dl GROUP BY quality),
+{_quota_ctes("dqt", "dcc", "n", repr(SPEC.test_size))},
+drest AS (SELECT s, n - q AS rn FROM dqt),
+{_quota_ctes("dqv", "drest", "rn", repr(SPEC.val_size / (1.0 - SPEC.test_size)))},
+dsp AS (SELECT drk.*, CASE WHEN rnk <= dqt.q THEN 'test' WHEN rnk <= dqt.q + dqv.q THEN 'val'
+                           ELSE 'train' END AS split,
+               CASE WHEN rnk <= dqt.q THEN rnk WHEN rnk <= dqt.q + dqv.q THEN rnk - dqt.q
+                    ELSE rnk - dqt.q - dqv.q END AS split_rank
+        FROM drk JOIN dqt ON dqt.s = drk.quality JOIN dqv ON dqv.s = drk.quality),
+sc AS (SELECT 'doc_length_toxic' AS model, split, row_id, CAST(quality AS INTEGER) AS label,
+              ((n_chars % 97) + toxic * 50 + quality * 40) / CAST(200.0 AS DOUBLE) AS score
+       FROM dsp)"""
+SQL["A7_target_rate_documents"] = with_(_DOCS, """,
+lg AS (SELECT 'lang' AS "column", lang AS level, CAST(quality AS DOUBLE) AS y FROM dl
+       UNION ALL SELECT 'source', source, CAST(quality AS DOUBLE) FROM dl),
+g AS (SELECT "column", level, count(*) AS n, sum(y) AS pos FROM lg GROUP BY ALL)
+SELECT "column", level, n, round(pos / n, 6) AS rate,
+       round(sum(pos) OVER (PARTITION BY "column") / sum(n) OVER (PARTITION BY "column"), 6)
+         AS overall_rate
+FROM g WHERE level IS NOT NULL""")
+SQL["Q2_target_check_documents"] = with_(_DOCS, """
+SELECT 'target_binary' AS name, 1 AS passed,
+       printf('Target present and binary; positive rate=%.3f', avg(CAST(quality AS DOUBLE)))
+         AS detail, 'error' AS severity FROM dl""")
+SQL["K1_stratified_split_documents"] = with_(_DOC_SPLIT, """
+SELECT row_id, quality, split, CAST(split_rank AS BIGINT) AS split_rank FROM dsp""")
+SQL["V4_V5_roc_auc_documents"] = with_(_DOC_SPLIT, """,
+ds AS (SELECT model, split, score, CAST(sum(label) AS BIGINT) AS pos,
+              CAST(sum(1 - label) AS BIGINT) AS neg FROM sc GROUP BY ALL),
+dsa AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS above_pos, coalesce(sum(neg) OVER w, 0) AS above_neg,
+               sum(pos) OVER g AS P, sum(neg) OVER g AS N
+        FROM ds WINDOW w AS (PARTITION BY model, split ORDER BY score DESC
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                       g AS (PARTITION BY model, split))
+SELECT model, split, round(sum(neg * (above_pos + pos / 2.0)) / (any_value(P) * any_value(N)), 6)
+         AS roc_auc,
+       round(sum(pos * ((above_pos + pos) / (above_pos + pos + above_neg + neg))) / any_value(P), 6)
+         AS pr_auc
+FROM dsa GROUP BY model, split""")
+# the sweep CTEs after the scored rows, reused over the documents' scored rows
+_SWEEP_TAIL = _SWEEP[_SWEEP.index(",\ncnt AS ("):]
+SQL["T6_threshold_sweep_documents"] = with_(_DOC_SPLIT, _SWEEP_TAIL + """
+SELECT model, split, threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(accuracy, 6) AS accuracy
+FROM sw""")

@@ -876,3 +876,47 @@ def q_search(spark, sf):
     rows = [(i, json.dumps(p, sort_keys=True), sc, int(p == res["params"]))
             for i, p, sc in res["draws"]]
     return spark.createDataFrame(rows, "draw int, params string, cv_roc_auc double, chosen int")
+
+
+# ------------------------------------------------------------------ second binding: documents
+DOC_SPEC = SPEC.with_(target="quality", required_columns=("lang", "source", "n_chars", "toxic",
+                                                          "quality"),
+                      categorical_columns=("lang", "source"))
+
+
+def docs(spark, sf) -> DataFrame:
+    """Labelled documents, numeric 0/1 target mapped to tinyint."""
+    return C.map_target(documents_labelled_frame(spark, sf), DOC_SPEC)
+
+
+def doc_scored(spark, sf) -> DataFrame:
+    from cohortlens.session import materialize
+    sp = materialize(SP.stratified_split(docs(spark, sf), "quality", seed=SPEC.seed))
+    score = ((F.col("n_chars") % 97) + F.col("toxic") * 50 + F.col("quality") * 40) / F.lit(200.0)
+    return ME.score_table(sp, {"doc_length_toxic": score}, "quality")
+
+
+@register("A7_target_rate_documents")
+def q_doc_rates(spark, sf):
+    return PR.target_rate_by_group(docs(spark, sf), F.col("quality"), ["lang", "source"])
+
+
+@register("Q2_target_check_documents")
+def q_doc_target(spark, sf):
+    return QA.target_check(docs(spark, sf), "quality")
+
+
+@register("K1_stratified_split_documents")
+def q_doc_split(spark, sf):
+    return SP.stratified_split(docs(spark, sf), "quality", seed=SPEC.seed).select(
+        "row_id", "quality", "split", "split_rank")
+
+
+@register("V4_V5_roc_auc_documents")
+def q_doc_auc(spark, sf):
+    return ME.ranking_metrics(doc_scored(spark, sf))
+
+
+@register("T6_threshold_sweep_documents")
+def q_doc_sweep(spark, sf):
+    return TH.threshold_sweep(doc_scored(spark, sf))
