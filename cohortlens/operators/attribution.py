@@ -32,10 +32,8 @@ def masked_points(sample: DataFrame, background: list[list[float]], features: li
                       F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("p"))
     # the sample is tiny but its expansion is not: spread (row, perm) pairs over many
     # tasks before exploding (a top-k sample arrives in a single partition)
-    spark = sample.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                spark.sparkContext.defaultParallelism)
-    d = d.repartition(tasks, key, "p")
+    from cohortlens.session import parallelism
+    d = d.repartition(parallelism(sample.sparkSession), key, "p")
     d = d.withColumn("__perm", permutation(F.col(key), F.col("p"), F_, seed))
     d = d.withColumn("__inv", F.transform(idx, lambda j: F.array_position(F.col("__perm"), j) - 1))
     d = d.select(key, "p", "__x", "__inv", F.explode(F.sequence(F.lit(0), F.lit(F_))).alias("k"))

@@ -812,7 +812,7 @@ _PHI_CACHE: dict = {}
 
 def _phi(spark, sf):
     """X1 once per (session, data): the phi table is checkpointed and shared by X1-X5."""
-    k = (id(spark), spark.sparkContext.applicationId, sf)
+    k = (id(spark), sf)
     if k not in _PHI_CACHE:
         from cohortlens.session import cut_lineage
         mf, _, cal, _ = _calibrated(spark, sf)

@@ -36,6 +36,14 @@ def local_session(cores: int | None = None, shuffle_partitions: int | None = Non
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None where the session does not expose one."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the session names.
 
@@ -43,23 +51,31 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``SparkContext.setCheckpointDir``) wins; only when neither is set (local
     tests) is a fresh folder created.
     """
-    sc = spark.sparkContext
+    sc = _context(spark)
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
+    if not path and sc is not None:
         try:
-            path = sc.getCheckpointDir()
-        except Exception:          # older API surface: no getter
-            path = None
-        if path:
+            existing = sc.getCheckpointDir()
+        except Exception:          # no getter on this API surface
+            existing = None
+        if existing:
             # the context appends a random sub-folder; checkpoints land there too
-            return path
+            return existing
     if not path:
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
+    if sc is not None:
+        sc.setCheckpointDir(path)
     return path
 
 
+def parallelism(spark: SparkSession) -> int:
+    """Tasks to spread a small-but-expanding frame over."""
+    sc = _context(spark)
+    base = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    return max(base, sc.defaultParallelism) if sc is not None else base
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)
