@@ -45,12 +45,16 @@ def masked_points(sample: DataFrame, background: list[list[float]], features: li
 
 
 def permutation(key, p, n_features: int, seed: int):
-    """Seeded permutation of 0..n-1: indices sorted by md5(row:p:j:seed)."""
+    """Seeded permutation of 0..n-1 for (row, p), in antithetic pairs: p = 2i is
+    the indices sorted by md5(row:i:j:seed), p = 2i+1 is the same order reversed
+    (forward and backward passes over one draw, as a permutation explainer does)."""
     idx = F.sequence(F.lit(0), F.lit(n_features - 1))
+    draw = F.floor(p / 2).cast("long")
     keyed = F.transform(idx, lambda j: F.struct(
-        F.md5(F.concat_ws(":", key.cast("string"), p.cast("string"), j.cast("string"),
+        F.md5(F.concat_ws(":", key.cast("string"), draw.cast("string"), j.cast("string"),
                           F.lit(str(seed)))).alias("h"), j.alias("j")))
-    return F.transform(F.array_sort(keyed), lambda s: s["j"])
+    forward = F.transform(F.array_sort(keyed), lambda s: s["j"])
+    return F.when(p % 2 == 0, forward).otherwise(F.reverse(forward))
 
 
 def shapley_values(model, sample: DataFrame, background: DataFrame, features: list[str],

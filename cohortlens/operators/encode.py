@@ -120,9 +120,11 @@ def unseen_levels(df: DataFrame, levels_df: DataFrame, columns: list[str]) -> Da
 
 
 def sparse_encoder(columns: list[str]):
-    """High-cardinality path: StringIndexer (alphabetical, first level = index 0)
-    + OneHotEncoder dropping the last index is not drop-first, so we keep all
-    indices and rely on the model; documented as the opt-in alternative."""
+    """High-cardinality path (above ``max_levels``): StringIndexer with
+    alphabetical order (index 0 = the lexicographically first level, i.e. the
+    dropped reference level) + OneHotEncoder with ``dropLast=False`` and
+    ``handleInvalid='keep'``. Output is one sparse vector per column instead of
+    thousands of dense tinyint columns; drop index 0 downstream for drop-first."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}__idx", stringOrderType="alphabetAsc",

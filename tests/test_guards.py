@@ -222,3 +222,33 @@ def test_all_four_groups_listed_when_one_is_empty(spark):
     assert sizes == {"TP": 1, "TN": 1, "FP": 1, "FN": 0}
     means = {r["group"]: r["mean_x"] for r in ER.group_means(g, ["x"]).collect()}
     assert means["FN"] is None and means["TP"] == 1.0
+
+
+# ------------------------------------------------------------------ sources
+def test_manifest_read_tolerates_absent_and_malformed(spark, tmp_path):
+    from cohortlens.sources import manifest as MF
+    assert MF.read_manifest(spark, str(tmp_path / "absent")) is None
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.json").write_text("{not json\n")
+    assert MF.read_manifest(spark, str(bad)) is None
+    assert MF.freshness_reasons(None, {}, outputs_exist=False) == [
+        "outputs missing", "manifest missing or unparsable"]
+
+
+def test_csv_scan_missing_path_raises_and_markers_become_null(spark, tmp_path):
+    from pyspark.errors import AnalysisException
+    from cohortlens.sources import csv as CSV
+    with pytest.raises(AnalysisException):
+        CSV.read_csv(spark, str(tmp_path / "nope.csv"), "a string").collect()
+    p = tmp_path / "t.csv"
+    p.write_text("a,b\nNA,1\nMissing,2\n,3\n")
+    rows = CSV.read_csv(spark, str(p), "a string, b int").orderBy("b").collect()
+    assert [r["a"] for r in rows] == [None, "Missing", None]
+
+
+def test_sparse_encoder_for_high_cardinality(spark):
+    df = spark.range(30).select(F.col("id").alias("row_id"),
+                                (F.col("id") % 7).cast("string").alias("c"))
+    out = EN.sparse_encoder(["c"]).fit(df).transform(df)
+    assert out.select(F.max(F.col("c__idx"))).first()[0] == 6.0
