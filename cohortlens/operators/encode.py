@@ -48,7 +48,7 @@ class Levels:
         rows = [(c, v) for c in self.columns for v in self.levels[c]]
         return spark.createDataFrame(rows, LEVELS_SCHEMA)
 
-    def transform(self, df: DataFrame, keep_target: str | None = None) -> DataFrame:
+    def transform(self, df: DataFrame) -> DataFrame:
         """One ``select``: non-categoricals in order, then tinyint dummies.
 
         A null or unseen value gives all zeros in its group.
@@ -110,13 +110,14 @@ def align_columns(df: DataFrame, expected: list[str], target: str | None = None,
 
 
 def unseen_levels(df: DataFrame, levels_df: DataFrame, columns: list[str]) -> DataFrame:
-    """E5: per column, sorted observed levels absent from the fitted table.
+    """E5: (column, level) pairs observed in ``df`` but absent from the fitted table.
 
-    The fitted table is bounded by the ``max_levels`` guard, so it is broadcast.
+    Long form, so a batch full of new values never gathers into one task; the
+    fitted table is bounded by the ``max_levels`` guard, so it is broadcast.
+    Sort by (column, level) for the report order.
     """
     observed = level_table(df, [c for c in columns if c in df.columns])
-    unseen = observed.join(F.broadcast(levels_df), ["column", "level"], "left_anti")
-    return unseen.groupBy("column").agg(F.sort_array(F.collect_list("level")).alias("unseen"))
+    return observed.join(F.broadcast(levels_df), ["column", "level"], "left_anti")
 
 
 def sparse_encoder(columns: list[str]):

@@ -233,8 +233,7 @@ def q_unseen(spark, sf):
     train = f.filter((F.col("c_mktsegment") != "MACHINERY")
                      & ~F.col("n_name").isin("NATION_7", "NATION_24"))
     lv = fitted_levels(train)
-    rep = EN.unseen_levels(f, lv.as_dataframe(spark), lv.columns)
-    return rep.select("column", F.explode("unseen").alias("level"))
+    return EN.unseen_levels(f, lv.as_dataframe(spark), lv.columns)
 
 
 # ------------------------------------------------------------------ joins / sets
