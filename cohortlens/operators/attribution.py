@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import quartiles
+
+MAX_BACKGROUND = 1000     # the background is shipped to every task as a literal
 from cohortlens.operators.split import uniform_sample
 
 
@@ -65,7 +67,10 @@ def shapley_values(model, sample: DataFrame, background: DataFrame, features: li
     ``model.transform(df)`` must add ``score_col``. ``background`` must be a
     bounded sample (it is collected once, e.g. 100 rows).
     """
-    bg_rows = [[float(r[c]) for c in features] for r in background.select(features).collect()]
+    got = background.select(features).limit(MAX_BACKGROUND + 1).collect()
+    if len(got) > MAX_BACKGROUND:
+        raise ValueError(f"background must be a sample of at most {MAX_BACKGROUND} rows")
+    bg_rows = [[float(r[c]) for c in features] for r in got]
     pts = masked_points(sample, bg_rows, features, n_perm, seed, key)
     scored = model.transform(pts)
     v = scored.groupBy(key, "p", "k").agg(F.avg(score_col).alias("v"))
