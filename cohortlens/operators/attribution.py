@@ -32,12 +32,14 @@ def masked_points(sample: DataFrame, background: list[list[float]], features: li
     idx = F.sequence(F.lit(0), F.lit(F_ - 1))
     d = sample.select(F.col(key), x.alias("__x"),
                       F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("p"))
-    # the sample is tiny but its expansion is not: spread (row, perm) pairs over many
-    # tasks before exploding (a top-k sample arrives in a single partition)
+    # permutations use lambda functions (not code-generated): compute them on the small
+    # (row, perm) table *before* the exchange, so the expansion stage after it runs
+    # fully inside whole-stage codegen. The repartition also spreads the pairs over
+    # many tasks (a top-k sample arrives in a single partition).
     from cohortlens.session import parallelism
-    d = d.repartition(parallelism(sample.sparkSession), key, "p")
     d = d.withColumn("__perm", permutation(F.col(key), F.col("p"), F_, seed))
     d = d.withColumn("__inv", F.transform(idx, lambda j: F.array_position(F.col("__perm"), j) - 1))
+    d = d.drop("__perm").repartition(parallelism(sample.sparkSession), key, "p")
     d = d.select(key, "p", "__x", "__inv", F.explode(F.sequence(F.lit(0), F.lit(F_))).alias("k"))
     d = d.select(key, "p", "k", "__x", "__inv", F.posexplode(bg).alias("b", "__bg"))
     # plain per-feature expressions (code-generated), not a lambda per element
