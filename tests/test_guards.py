@@ -252,3 +252,13 @@ def test_sparse_encoder_for_high_cardinality(spark):
                                 (F.col("id") % 7).cast("string").alias("c"))
     out = EN.sparse_encoder(["c"]).fit(df).transform(df)
     assert out.select(F.max(F.col("c__idx"))).first()[0] == 6.0
+
+
+def test_assign_row_id_is_consecutive(spark):
+    from cohortlens.sources.tables import assign_row_id, read_table
+    from tests.conftest import SMOKE
+    df = read_table(spark, SMOKE, "part").repartition(5)
+    out = assign_row_id(df)
+    ids = sorted(r[0] for r in out.select("row_id").collect())
+    assert ids == list(range(df.count()))
+    assert out.columns[0] == "row_id" and out.columns[1:] == df.columns
