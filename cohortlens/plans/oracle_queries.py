@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+
 from cohortlens.plans.oracle import BINDING, CLEAN, FEATURES, NORM_TARGET, with_
 
 SQL: dict[str, str] = {}
@@ -264,8 +266,8 @@ k AS (SELECT feature, r, CAST(row_number() OVER (ORDER BY abs(r) DESC, feature)
 SELECT feature, round(r, 6) AS r, rank FROM k WHERE rank <= 10""")
 
 # ------------------------------------------------------------------ splits, metrics, threshold
-from cohortlens.plans.oracle import (DIST, SCORED, SPLIT, SPEC, TMETRICS, confusion_sql,  # noqa: E402
-                                     sdiv)
+from cohortlens.plans.oracle import (DIST, SCORED, SPEC, SPLIT, TMETRICS,  # noqa: E402
+                                     _quota_ctes, confusion_sql, sdiv)
 
 SQL["K1_stratified_split"] = with_(SPLIT, """
 SELECT row_id, readmitted, split, CAST(split_rank AS BIGINT) AS split_rank FROM sp""")
@@ -275,7 +277,7 @@ SQL["K3_calibration_subsplit"] = with_(SPLIT, f""",
 v AS (SELECT * FROM sp WHERE split = 'val'),
 vr AS (SELECT *, row_number() OVER (PARTITION BY readmitted ORDER BY h, row_id) AS vrnk FROM v),
 vc AS (SELECT readmitted AS s, count(*) AS n FROM v GROUP BY readmitted),
-{__import__("cohortlens.plans.oracle", fromlist=["_quota_ctes"])._quota_ctes("qe", "vc", "n", "0.3")}
+{_quota_ctes("qe", "vc", "n", repr(SPEC.calib_eval_size))}
 SELECT row_id, CASE WHEN vrnk <= qe.q THEN 'calib_eval' ELSE 'calib_fit' END AS part
 FROM vr JOIN qe ON qe.s = vr.readmitted""")
 SQL["K4_uniform_sample"] = with_(SPLIT, """
@@ -303,7 +305,7 @@ SQL["V7_pr_curve"] = with_(DIST, """
 SELECT model, split, score AS threshold,
        round((above_pos + pos) / (above_pos + pos + above_neg + neg), 6) AS precision,
        round((above_pos + pos) / P, 6) AS recall, round(P / (P + N), 6) AS prevalence FROM dsa""")
-_EDGES = [f"CAST({float(e)!r} AS DOUBLE)" for e in __import__("numpy").linspace(0.0, 1.0, 11)[1:-1]]
+_EDGES = [f"CAST({float(e)!r} AS DOUBLE)" for e in np.linspace(0.0, 1.0, 11)[1:-1]]
 _BIN = " + ".join(f"CAST(score > {e} AS INTEGER)" for e in _EDGES)
 SQL["V8_reliability_curve"] = with_(SCORED, f"""
 SELECT model, split, {_BIN} AS bin, round(avg(score) + 1e-12, 6) AS mean_score,
@@ -367,7 +369,7 @@ SELECT model, split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
        round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(brier, 6) AS brier
 FROM ev WHERE split IN ('val', 'test')""")
 
-_GRID = [f"CAST({float(t)!r} AS DOUBLE)" for t in __import__("numpy").linspace(0.05, 0.95, 19)]
+_GRID = [f"CAST({float(t)!r} AS DOUBLE)" for t in np.linspace(0.05, 0.95, 19)]
 _B = " + ".join(f"CAST(score >= {t} AS INTEGER)" for t in _GRID)
 _GRID_CASE = "CASE b " + " ".join(f"WHEN {i + 1} THEN {t}" for i, t in enumerate(_GRID)) + " END"
 _SWEEP = SCORED + f""",
@@ -545,7 +547,6 @@ cw AS (SELECT readmitted, sum(count(*)) OVER () / (count(*) OVER () * count(*))
 SELECT row_id, tr.readmitted, round(weight, 6) AS weight FROM tr JOIN cw USING (readmitted)""")
 
 # ------------------------------------------------------------------ second binding: documents
-from cohortlens.plans.oracle import _quota_ctes  # noqa: E402
 
 _DOCS = """
 dl AS (SELECT d.doc_id AS row_id, d.lang, d.source, d.n_chars, l.toxic,
