@@ -23,13 +23,22 @@ def normalize_null_markers(df: DataFrame, markers) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
              null_markers=("", "NA", "N/A", "NaN", "nan", "null", "NULL", "None", "#N/A"),
-             infer: bool = False) -> DataFrame:
+             infer: bool = False, key: str | None = None) -> DataFrame:
+    """Header CSV with an explicit schema (inference only as a fallback).
+
+    With ``key`` given and absent from the file, consecutive row ids are
+    assigned in scan order (S2).
+    """
     reader = spark.read.option("header", True).option("mode", "FAILFAST")
     if schema is not None:
         reader = reader.schema(schema)
     elif infer:
         reader = reader.option("inferSchema", True)
-    return normalize_null_markers(reader.csv(path), null_markers)
+    df = normalize_null_markers(reader.csv(path), null_markers)
+    if key and key not in df.columns:
+        from cohortlens.sources.tables import assign_row_id
+        df = assign_row_id(df, key)
+    return df
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -262,3 +262,11 @@ def test_assign_row_id_is_consecutive(spark):
     ids = sorted(r[0] for r in out.select("row_id").collect())
     assert ids == list(range(df.count()))
     assert out.columns[0] == "row_id" and out.columns[1:] == df.columns
+
+
+def test_csv_scan_assigns_row_ids(spark, tmp_path):
+    from cohortlens.sources import csv as CSV
+    p = tmp_path / "k.csv"
+    p.write_text("a,b\nx,1\ny,2\nz,3\n")
+    df = CSV.read_csv(spark, str(p), "a string, b int", key="row_id")
+    assert sorted((r["row_id"], r["a"]) for r in df.collect()) == [(0, "x"), (1, "y"), (2, "z")]
