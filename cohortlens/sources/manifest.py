@@ -74,7 +74,9 @@ def write_manifest(manifest: DataFrame, path: str) -> None:
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
     """Parse; absent, malformed or mistyped -> None (never raises)."""
     try:
-        df = (spark.read.schema(MANIFEST_SCHEMA.add("_corrupt", T.StringType()))
+        # StructType.add mutates in place: build a new schema with the corrupt-record column
+        schema = T.StructType(MANIFEST_SCHEMA.fields + [T.StructField("_corrupt", T.StringType())])
+        df = (spark.read.schema(schema)
               .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt")
               .json(path))
         rows = df.limit(2).collect()

@@ -270,3 +270,11 @@ def test_csv_scan_assigns_row_ids(spark, tmp_path):
     p.write_text("a,b\nx,1\ny,2\nz,3\n")
     df = CSV.read_csv(spark, str(p), "a string, b int", key="row_id")
     assert sorted((r["row_id"], r["a"]) for r in df.collect()) == [(0, "x"), (1, "y"), (2, "z")]
+
+
+def test_manifest_schema_not_mutated_by_reads(spark, tmp_path):
+    from cohortlens.sources import manifest as MF
+    n = len(MF.MANIFEST_SCHEMA.fields)
+    MF.read_manifest(spark, str(tmp_path / "absent"))
+    MF.read_manifest(spark, str(tmp_path / "absent2"))
+    assert len(MF.MANIFEST_SCHEMA.fields) == n
