@@ -69,3 +69,11 @@ def quartiles(c, exact: bool = True):
     or ``percentile_approx`` (bounded memory) for high-cardinality data at scale."""
     probs = [0.25, 0.5, 0.75]
     return F.percentile(c, probs) if exact else F.percentile_approx(c, probs, 10_000)
+
+
+def safe_corr(a: Column, b: Column) -> Column:
+    """Pearson r over pairwise-complete rows; null (not an ANSI division error)
+    when either side has zero variance, as pandas gives NaN there."""
+    both = a.isNotNull() & b.isNotNull() & ~F.isnan(a) & ~F.isnan(b)
+    x, y = F.when(both, a), F.when(both, b)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import quartiles
+from cohortlens.functions.exprs import quartiles, safe_corr
 
 MAX_BACKGROUND = 1000     # the background is shipped to every task as a literal
 from cohortlens.operators.split import uniform_sample
@@ -110,7 +110,7 @@ def impact_distribution(phi: DataFrame, exact: bool = True) -> DataFrame:
     return phi.groupBy("feature").agg(
         F.count(F.lit(1)).alias("n"), F.min("phi").alias("phi_min"),
         quartiles(F.col("phi"), exact).alias("phi_q"), F.max("phi").alias("phi_max"),
-        F.corr("value", "phi").alias("value_phi_corr"))
+        safe_corr(F.col("value"), F.col("phi")).alias("value_phi_corr"))
 
 
 def dependence_pairs(phi: DataFrame, top_n: int = 4) -> DataFrame:

@@ -29,7 +29,7 @@ def group_sizes(grouped: DataFrame) -> DataFrame:
     out = reindex_domain(c, "group", GROUPS, fill={"n": 0})
     everything = Window.partitionBy(F.lit(0))      # over the four group rows only
     return out.select("position", "group", "n",
-                      (F.col("n") / F.sum("n").over(everything)).alias("share"))
+                      F.try_divide(F.col("n"), F.sum("n").over(everything)).alias("share"))
 
 
 def group_means(grouped: DataFrame, columns: list[str]) -> DataFrame:
@@ -88,5 +88,7 @@ def category_share(grouped: DataFrame, column: str) -> DataFrame:
     everything = Window.partitionBy(F.lit(0))      # over the per-level rows only
     fp, fn = F.coalesce("FP", F.lit(0)), F.coalesce("FN", F.lit(0))
     return c.select("level",
-                    F.coalesce(fp / F.sum(fp).over(everything), F.lit(0.0)).alias("fp_share"),
-                    F.coalesce(fn / F.sum(fn).over(everything), F.lit(0.0)).alias("fn_share"))
+                    F.coalesce(F.try_divide(fp, F.sum(fp).over(everything)), F.lit(0.0))
+                    .alias("fp_share"),
+                    F.coalesce(F.try_divide(fn, F.sum(fn).over(everything)), F.lit(0.0))
+                    .alias("fn_share"))

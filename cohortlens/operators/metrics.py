@@ -80,8 +80,9 @@ def ranking_metrics(scored: DataFrame, groups=GROUP) -> DataFrame:
         F.sum(F.col("neg") * (F.col("above_pos") + F.col("pos") / 2.0)).alias("__u"),
         F.sum(F.col("pos") * (tp / (tp + fp))).alias("__ap"),
         F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return g.select(*groups, (F.col("__u") / (F.col("P") * F.col("N"))).alias("roc_auc"),
-                    (F.col("__ap") / F.col("P")).alias("pr_auc"))
+    # a one-class group has no ranking metric: null instead of failing the whole job
+    return g.select(*groups, F.try_divide(F.col("__u"), F.col("P") * F.col("N")).alias("roc_auc"),
+                    F.try_divide(F.col("__ap"), F.col("P")).alias("pr_auc"))
 
 
 def _with_totals(d: DataFrame, groups) -> DataFrame:
@@ -94,8 +95,8 @@ def roc_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
     """V6: (threshold, fpr, tpr) per distinct score, highest first."""
     d = _with_totals(distinct_scores(scored, groups), groups)
     return d.select(*groups, F.col("score").alias("threshold"),
-                    ((F.col("above_neg") + F.col("neg")) / F.col("N")).alias("fpr"),
-                    ((F.col("above_pos") + F.col("pos")) / F.col("P")).alias("tpr"))
+                    F.try_divide(F.col("above_neg") + F.col("neg"), F.col("N")).alias("fpr"),
+                    F.try_divide(F.col("above_pos") + F.col("pos"), F.col("P")).alias("tpr"))
 
 
 def pr_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
@@ -104,7 +105,7 @@ def pr_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
     tp = F.col("above_pos") + F.col("pos")
     fp = F.col("above_neg") + F.col("neg")
     return d.select(*groups, F.col("score").alias("threshold"),
-                    (tp / (tp + fp)).alias("precision"), (tp / F.col("P")).alias("recall"),
+                    (tp / (tp + fp)).alias("precision"), F.try_divide(tp, F.col("P")).alias("recall"),
                     (F.col("P") / (F.col("P") + F.col("N"))).alias("prevalence"))
 
 

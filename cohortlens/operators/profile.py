@@ -14,13 +14,30 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import is_missing, numeric_columns, quartiles, string_columns
+from cohortlens.functions.exprs import (is_missing, numeric_columns, quartiles, safe_corr,
+                                        string_columns)
+
+
+MAX_AGG_EXPRESSIONS = 500   # per aggregate: keeps generated code under the JVM method limits
 
 
 def _inline(rows: list[Column]) -> Column:
     return F.inline(F.array(*rows))
 
 
+def _chunks(items: list, per_item: int = 1) -> list[list]:
+    """Split items so each aggregate carries at most MAX_AGG_EXPRESSIONS expressions."""
+    size = max(1, MAX_AGG_EXPRESSIONS // per_item)
+    return [items[i:i + size] for i in range(0, len(items), size)] or [[]]
+
+
+def _union_all(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def unpivot_values(df: DataFrame, columns: list[str], value_type: str = "double",
                    extra: list[str] | None = None) -> DataFrame:
     """(extra..., column, value) rows; one generator, no shuffle."""
@@ -41,7 +58,11 @@ def overview(df: DataFrame) -> DataFrame:
 
 
 def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
-    """Numeric half of A2 in one wide aggregate; quartiles exact (linear)."""
+    """Numeric half of A2: one wide aggregate per chunk of columns; quartiles exact (linear)."""
+    return _union_all([_describe_numeric_chunk(df, chunk, exact) for chunk in _chunks(columns, 6)])
+
+
+def _describe_numeric_chunk(df: DataFrame, columns: list[str], exact: bool) -> DataFrame:
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
@@ -100,10 +121,13 @@ def describe_all(df: DataFrame, exclude=("row_id",), exact: bool = True) -> Data
 def null_profile(df: DataFrame, exclude=()) -> DataFrame:
     """A3: columns with missing values: count and percentage, largest first."""
     cols = [c for c in df.columns if c not in exclude]
-    agg = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.count_if(is_missing(df, c)).alias(c) for c in cols])
-    long = agg.select(F.col("__n").alias("n_rows"), _inline([
-        F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in cols]))
+    parts = []
+    for chunk in _chunks(cols):
+        agg = df.agg(F.count(F.lit(1)).alias("__n"),
+                     *[F.count_if(is_missing(df, c)).alias(c) for c in chunk])
+        parts.append(agg.select(F.col("__n").alias("n_rows"), _inline([
+            F.struct(F.lit(c).alias("column"), F.col(c).alias("n_missing")) for c in chunk])))
+    long = _union_all(parts)
     return (long.where(F.col("n_missing") > 0)
             .select("column", "n_missing",
                     (F.col("n_missing") / F.col("n_rows") * 100).alias("pct_missing"))
@@ -116,7 +140,7 @@ def sentinel_prevalence(df: DataFrame, column: str, value: str) -> DataFrame:
     return df.agg(F.count_if(F.col(column) == value).alias("n_sentinel"),
                   F.count(F.lit(1)).alias("n_rows")).select(
         F.lit(column).alias("column"), "n_sentinel", "n_rows",
-        (F.col("n_sentinel") / F.col("n_rows") * 100).alias("pct_sentinel"))
+        (F.try_divide(F.col("n_sentinel"), F.col("n_rows")) * 100).alias("pct_sentinel"))
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
@@ -276,22 +300,26 @@ def box_stats(df: DataFrame, target: Column, columns: list[str], exact: bool = T
 
 # ------------------------------------------------------------------ A14 / A15 correlation
 def correlation_pairs(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson r for every pair below the diagonal, in one aggregate.
+    """Pearson r for every pair below the diagonal (pairwise complete rows).
 
-    Rows with a null in either column are skipped per pair (pairwise complete).
+    Pairs grow quadratically, so they are spread over aggregates of at most
+    MAX_AGG_EXPRESSIONS each (one pass per chunk; a handful of columns is one pass).
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[:i]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
-                    for k, (a, b) in enumerate(pairs)])
-    return wide.select(_inline([
-        F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{k}").alias("r"))
-        for k, (a, b) in enumerate(pairs)]))
+    parts = []
+    for chunk in _chunks(pairs):
+        wide = df.agg(*[safe_corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}")
+                        for k, (a, b) in enumerate(chunk)])
+        parts.append(wide.select(_inline([
+            F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"r{k}").alias("r"))
+            for k, (a, b) in enumerate(chunk)])))
+    return _union_all(parts)
 
 
 def target_correlations(df: DataFrame, target: str, columns: list[str], k: int = 10) -> DataFrame:
     """R of each column with the target, ranked by |r| (top k)."""
     cols = [c for c in columns if c != target]
-    wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
+    wide = df.agg(*[safe_corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"r{i}")
                     for i, c in enumerate(cols)])
     long = wide.select(_inline([F.struct(F.lit(c).alias("feature"), F.col(f"r{i}").alias("r"))
                                 for i, c in enumerate(cols)]))

@@ -278,3 +278,25 @@ def test_manifest_schema_not_mutated_by_reads(spark, tmp_path):
     MF.read_manifest(spark, str(tmp_path / "absent"))
     MF.read_manifest(spark, str(tmp_path / "absent2"))
     assert len(MF.MANIFEST_SCHEMA.fields) == n
+
+
+def test_wide_profile_aggregates_are_chunked(spark, monkeypatch):
+    from cohortlens.operators import profile as PR
+    monkeypatch.setattr(PR, "MAX_AGG_EXPRESSIONS", 4)
+    df = spark.createDataFrame([(1, 2.0, None, 4), (2, 3.0, 1.0, 5), (3, 5.0, 2.0, 5)],
+                               "a int, b double, c double, d int")
+    pairs = {(r["col_a"], r["col_b"]) for r in PR.correlation_pairs(df, ["a", "b", "c", "d"]).collect()}
+    assert len(pairs) == 6
+    nulls = {r["column"]: r["n_missing"] for r in PR.null_profile(df).collect()}
+    assert nulls == {"c": 1}
+    assert PR.describe_numeric(df, ["a", "b", "c", "d"]).count() == 4
+
+
+def test_one_class_group_gives_null_auc_not_an_error(spark):
+    one = _scored(spark, [(1, 0.2), (1, 0.9)], split="tiny")
+    both = _scored(spark, [(1, 0.9), (0, 0.1)], split="val")
+    rows = {r["split"]: r for r in ME.ranking_metrics(one.unionByName(both)).collect()}
+    assert rows["tiny"]["roc_auc"] is None and rows["val"]["roc_auc"] == 1.0
+    zero_var = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "a double, b double")
+    from cohortlens.operators import profile as PR
+    assert PR.correlation_pairs(zero_var, ["a", "b"]).first()["r"] is None
