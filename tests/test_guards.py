@@ -300,3 +300,13 @@ def test_one_class_group_gives_null_auc_not_an_error(spark):
     zero_var = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (3.0, 5.0)], "a double, b double")
     from cohortlens.operators import profile as PR
     assert PR.correlation_pairs(zero_var, ["a", "b"]).first()["r"] is None
+
+
+def test_target_check_counts_text_and_fractions(spark):
+    txt = spark.createDataFrame([(1, "1"), (2, "yes"), (3, "0")], "row_id long, y string")
+    assert QA.target_check(txt, "y").first()["passed"] == 0
+    frac = spark.createDataFrame([(1, 0.5), (2, 1.0)], "row_id long, y double")
+    r = QA.target_check(frac, "y").first()
+    assert r["passed"] == 0 and "non-integer" in r["detail"]
+    ok = spark.createDataFrame([(1, 0), (2, 1)], "row_id long, y int")
+    assert QA.target_check(ok, "y").first()["detail"].endswith("positive rate=0.500")
