@@ -25,7 +25,7 @@ from cohortlens.operators import profile as PR
 from cohortlens.operators import quality as QA
 from cohortlens.operators import split as SP
 from cohortlens.operators import threshold as TH
-from cohortlens.plans import modeling as PM
+from cohortlens.plans import model_stages as PM
 from cohortlens.sources import artifacts as AR
 from cohortlens.sources import csv as CSV
 from cohortlens.sources import manifest as MF

@@ -21,7 +21,7 @@ from cohortlens.operators import metrics as ME
 from cohortlens.operators import models as MD
 from cohortlens.operators import threshold as TH
 from cohortlens.operators.align import lookup
-from cohortlens.plans import modeling as PM
+from cohortlens.plans import model_stages as PM
 from cohortlens.session import materialize
 from cohortlens.sources.artifacts import artifact_dir, write_table
 from cohortlens.sources.manifest import build_manifest, write_manifest
