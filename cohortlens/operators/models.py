@@ -175,9 +175,22 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M7 / M8 search
+# search keys with no MLlib analogue: the solver is MLlib's own choice, and trees have
+# no minimum-samples-to-split parameter (minInstancesPerNode covers the leaf size)
+NOT_APPLICABLE = ("solver", "min_samples_split")
+
+
 def search_space(name: str, spaces: dict) -> list[dict]:
-    """M7: the full grid of parameter maps for ``name`` (config lists)."""
-    space = spaces.get(name, {})
+    """M7: the grid of distinct parameter maps for ``name``.
+
+    Keys are taken as configured; a pipeline-step prefix (``classifier__``) is
+    stripped and keys without an MLlib analogue are dropped before the product.
+    """
+    space = {}
+    for key, values in spaces.get(name, {}).items():
+        bare = key.split("__")[-1]
+        if bare not in NOT_APPLICABLE:
+            space[bare] = list(values)
     keys = sorted(space)
     return [dict(zip(keys, vals)) for vals in product(*[space[k] for k in keys])]
 

@@ -31,7 +31,8 @@ from cohortlens.sources import csv as CSV
 from cohortlens.sources import manifest as MF
 from cohortlens.sources.binding import documents_labelled_frame, orders_patient_frame
 from cohortlens.sources.tables import table_path
-from cohortlens.spec import orders_binding_spec
+from cohortlens.spec import (ATTRIBUTION_BACKGROUND, ATTRIBUTION_ROWS, PUBLISHED_THRESHOLD,
+                             orders_binding_spec)
 
 SPEC = orders_binding_spec()
 Query = Callable[[SparkSession, str], DataFrame]
@@ -362,7 +363,7 @@ def q_tcorr(spark, sf):
 
 # ------------------------------------------------------------------ splits (K1-K5)
 
-ERROR_THRESHOLD = 0.35
+ERROR_THRESHOLD = PUBLISHED_THRESHOLD
 
 
 def split_frame(spark, sf) -> DataFrame:
@@ -803,7 +804,8 @@ def q_model_io(spark, sf):
 
 
 # ------------------------------------------------------------------ attribution
-SHAP_ROWS, SHAP_BACKGROUND, SHAP_PERMUTATIONS = 500, 100, 10
+SHAP_ROWS, SHAP_BACKGROUND = ATTRIBUTION_ROWS, ATTRIBUTION_BACKGROUND
+SHAP_PERMUTATIONS = 10          # 5 antithetic pairs: the same evaluation budget per row
 
 
 _PHI_CACHE: dict = {}

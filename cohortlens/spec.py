@@ -80,12 +80,31 @@ RF_PARAMS = {"n_estimators": 200, "max_depth": None, "min_samples_leaf": 10,
              "class_weight": "balanced"}
 GB_PARAMS = {"max_iter": 200, "learning_rate": 0.05, "max_depth": 5, "min_samples_leaf": 20,
              "class_weight": "balanced"}
+EXPECTED_FEATURES = (
+    "age_ordinal", "any_n_inpatient", "any_n_emergency", "total_prior_utilization",
+    "specialty_known", "n_inpatient_x_time_in_hospital", "n_medications_x_time_in_hospital",
+)
+ATTRIBUTION_ROWS = 500
+ATTRIBUTION_BACKGROUND = 100
+PUBLISHED_THRESHOLD = 0.35
 SEARCH_SPACES = {
-    "LogisticRegression": {"C": [0.001, 0.01, 0.1, 0.5, 1.0, 5.0, 10.0], "penalty": ["l1", "l2"]},
-    "RandomForest": {"n_estimators": [100, 200, 300], "max_depth": [5, 10, 15, None],
-                     "min_samples_leaf": [5, 10, 20]},
-    "GradientBoosting": {"learning_rate": [0.01, 0.05, 0.1, 0.2], "max_iter": [100, 150, 200, 300],
-                         "max_depth": [3, 4, 5, 6], "min_samples_leaf": [10, 20, 30, 50]},
+    "LogisticRegression": {
+        "classifier__C": [0.001, 0.01, 0.1, 0.5, 1.0, 5.0, 10.0],
+        "classifier__penalty": ["l1", "l2"],
+        "classifier__solver": ["liblinear", "saga"],
+    },
+    "RandomForest": {
+        "n_estimators": [100, 200, 300],
+        "max_depth": [5, 10, 15, None],
+        "min_samples_split": [2, 5, 10],
+        "min_samples_leaf": [5, 10, 20],
+    },
+    "GradientBoosting": {
+        "learning_rate": [0.01, 0.05, 0.1, 0.2],
+        "max_iter": [100, 150, 200, 300],
+        "max_depth": [3, 4, 5, 6],
+        "min_samples_leaf": [10, 20, 30, 50],
+    },
 }
 # --- end fixed values ---
 
