@@ -125,3 +125,24 @@ def row_breakdown(phi: DataFrame, base: float, rows: DataFrame, key: str = "row_
     w = Window.partitionBy(key).orderBy(F.desc(F.abs("phi")), "feature")   # F rows per row
     return sel.withColumn("order", F.row_number().over(w)).withColumn(
         "running", F.lit(base) + F.sum("phi").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+class ExpressionModel:
+    """Wrap a score expression over feature columns as a model (``transform`` adds
+    ``score``), so any SQL-expressible scorer can be explained with the same job."""
+
+    def __init__(self, expr, out: str = "score"):
+        self.expr, self.out = expr, out
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return df.withColumn(self.out, self.expr)
+
+
+def linear_margin(weights: dict[str, float]) -> ExpressionModel:
+    """Linear margin sum(w_j * x_j): its exact Shapley value against a background is
+    w_j * (x_j - mean_b x_bj), which every permutation reproduces exactly."""
+    expr = None
+    for c, w in weights.items():
+        term = F.col(c).cast("double") * F.lit(float(w))
+        expr = term if expr is None else expr + term
+    return ExpressionModel(expr)

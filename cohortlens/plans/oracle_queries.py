@@ -600,3 +600,42 @@ SQL["T6_threshold_sweep_documents"] = with_(_DOC_SPLIT, _SWEEP_TAIL + """
 SELECT model, split, threshold, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(f1, 6) AS f1, round(specificity, 6) AS specificity, round(accuracy, 6) AS accuracy
 FROM sw""")
+
+# ------------------------------------------------------------------ attribution, closed form
+_LW = {"time_in_hospital": 0.3, "n_medications": 0.01, "n_outpatient": 0.2, "n_inpatient": 0.5,
+       "n_emergency": 0.4, "age_ordinal": 0.1, "total_prior_utilization": -0.2,
+       "specialty_known": 0.25}
+_PHI = SPLIT + f""",
+v AS (SELECT * FROM sp WHERE split = 'val'),
+smp AS (SELECT * FROM v ORDER BY h, row_id LIMIT 500),
+bg AS (SELECT * FROM smp ORDER BY md5(CAST(row_id AS VARCHAR) || ':{SPEC.seed + 1}'), row_id
+       LIMIT 100),
+bgm AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in _LW)} FROM bg),
+lp AS (""" + "\n  UNION ALL ".join(
+    f"SELECT smp.row_id, '{c}' AS feature, CAST(smp.{c} AS DOUBLE) AS value, "
+    f"{w!r} * (CAST(smp.{c} AS DOUBLE) - bgm.m_{c}) AS phi FROM smp, bgm" for c, w in _LW.items()) + """),
+base AS (SELECT """ + " + ".join(f"{w!r} * m_{c}" for c, w in _LW.items()) + """ AS b FROM bgm)"""
+SQL["X1_shapley_linear_margin"] = with_(_PHI, """
+SELECT row_id, feature, round(value, 6) AS value, round(phi, 6) AS phi FROM lp""")
+SQL["X2_global_importance_linear_margin"] = with_(_PHI, """,
+g AS (SELECT feature, avg(abs(phi)) AS m FROM lp GROUP BY feature)
+SELECT feature, round(m, 6) AS mean_abs_phi,
+       CAST(row_number() OVER (ORDER BY m DESC, feature) AS INTEGER) AS rank FROM g""")
+SQL["X3_impact_distribution_linear_margin"] = with_(_PHI, """
+SELECT feature, count(*) AS n, round(min(phi), 6) AS phi_min,
+       round(quantile_cont(phi, 0.25), 6) AS phi_q1, round(quantile_cont(phi, 0.5), 6) AS phi_median,
+       round(quantile_cont(phi, 0.75), 6) AS phi_q3, round(max(phi), 6) AS phi_max
+FROM lp GROUP BY feature""")
+SQL["X4_dependence_pairs_linear_margin"] = with_(_PHI, """,
+g AS (SELECT feature, row_number() OVER (ORDER BY avg(abs(phi)) DESC, feature) AS rk
+      FROM lp GROUP BY feature)
+SELECT lp.feature, lp.row_id, round(value, 6) AS value, round(phi, 6) AS phi
+FROM lp JOIN g ON g.feature = lp.feature WHERE rk <= 4""")
+SQL["X5_row_breakdown_linear_margin"] = with_(_PHI, """,
+first3 AS (SELECT row_id FROM v ORDER BY h, row_id LIMIT 3),
+sel AS (SELECT lp.* FROM lp JOIN first3 USING (row_id)),
+o AS (SELECT sel.*, row_number() OVER (PARTITION BY row_id ORDER BY abs(phi) DESC, feature) AS ord,
+             sum(phi) OVER (PARTITION BY row_id ORDER BY abs(phi) DESC, feature
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM sel)
+SELECT row_id, feature, round(value, 6) AS value, round(phi, 6) AS phi,
+       CAST(ord AS INTEGER) AS "order", round((SELECT b FROM base) + cum, 6) AS running FROM o""")

@@ -921,3 +921,48 @@ def q_doc_auc(spark, sf):
 @register("T6_threshold_sweep_documents")
 def q_doc_sweep(spark, sf):
     return TH.threshold_sweep(doc_scored(spark, sf))
+
+
+# ------------------------------------------------------------------ attribution with a closed form
+# a fixed linear margin over analysis features: exact Shapley = w_j * (x_j - mean_bg x_j),
+# so the permutation job's output can be checked value-for-value in SQL
+LINEAR_WEIGHTS = {"time_in_hospital": 0.3, "n_medications": 0.01, "n_outpatient": 0.2,
+                  "n_inpatient": 0.5, "n_emergency": 0.4, "age_ordinal": 0.1,
+                  "total_prior_utilization": -0.2, "specialty_known": 0.25}
+
+
+def _linear_phi(spark, sf):
+    val = split_frame(spark, sf).where(F.col("split") == "val")
+    phi, base = XA.explain(XA.linear_margin(LINEAR_WEIGHTS), val, list(LINEAR_WEIGHTS),
+                           SHAP_ROWS, SHAP_BACKGROUND, SHAP_PERMUTATIONS, SPEC.seed)
+    return val, phi, base
+
+
+@register("X1_shapley_linear_margin")
+def q_shap_linear(spark, sf):
+    return _linear_phi(spark, sf)[1]
+
+
+@register("X2_global_importance_linear_margin")
+def q_shap_linear_importance(spark, sf):
+    return XA.global_importance(_linear_phi(spark, sf)[1], 20)
+
+
+@register("X3_impact_distribution_linear_margin")
+def q_shap_linear_dist(spark, sf):
+    d = XA.impact_distribution(_linear_phi(spark, sf)[1])
+    return d.select("feature", "n", "phi_min", F.col("phi_q")[0].alias("phi_q1"),
+                    F.col("phi_q")[1].alias("phi_median"), F.col("phi_q")[2].alias("phi_q3"),
+                    "phi_max")
+
+
+@register("X4_dependence_pairs_linear_margin")
+def q_shap_linear_dep(spark, sf):
+    return XA.dependence_pairs(_linear_phi(spark, sf)[1], 4)
+
+
+@register("X5_row_breakdown_linear_margin")
+def q_shap_linear_rows(spark, sf):
+    val, phi, base = _linear_phi(spark, sf)
+    first = SP.uniform_sample(val, 3, seed=SPEC.seed)
+    return XA.row_breakdown(phi, base, first)
