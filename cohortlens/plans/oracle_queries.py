@@ -639,3 +639,21 @@ o AS (SELECT sel.*, row_number() OVER (PARTITION BY row_id ORDER BY abs(phi) DES
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM sel)
 SELECT row_id, feature, round(value, 6) AS value, round(phi, 6) AS phi,
        CAST(ord AS INTEGER) AS "order", round((SELECT b FROM base) + cum, 6) AS running FROM o""")
+SQL["T5_calibrated_vs_raw_fixed_sigmoid"] = with_(SCORED, """,
+vs AS (SELECT * FROM sc WHERE split = 'val'
+       UNION ALL
+       SELECT model || '_sigmoid', split, row_id, label,
+              1.0 / (1.0 + exp(-(score - 0.5) * 4.0)) FROM sc WHERE split = 'val'),
+ds AS (SELECT model, split, score, CAST(sum(label) AS BIGINT) AS pos,
+              CAST(sum(1 - label) AS BIGINT) AS neg FROM vs GROUP BY ALL),
+dsa AS (SELECT *, coalesce(sum(pos) OVER w, 0) AS above_pos, coalesce(sum(neg) OVER w, 0) AS above_neg,
+               sum(pos) OVER g AS P, sum(neg) OVER g AS N
+        FROM ds WINDOW w AS (PARTITION BY model, split ORDER BY score DESC
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+                       g AS (PARTITION BY model, split)),
+rm AS (SELECT model, split, sum(neg * (above_pos + pos / 2.0)) / (any_value(P) * any_value(N)) AS roc_auc,
+              sum(pos * ((above_pos + pos) / (above_pos + pos + above_neg + neg))) / any_value(P)
+                AS pr_auc FROM dsa GROUP BY model, split),
+br AS (SELECT model, split, avg(pow(score - label, 2)) AS brier FROM vs GROUP BY model, split)
+SELECT rm.model, rm.split, round(roc_auc, 6) AS roc_auc, round(pr_auc, 6) AS pr_auc,
+       round(brier, 6) AS brier FROM rm JOIN br USING (model, split)""")

@@ -966,3 +966,14 @@ def q_shap_linear_rows(spark, sf):
     val, phi, base = _linear_phi(spark, sf)
     first = SP.uniform_sample(val, 3, seed=SPEC.seed)
     return XA.row_breakdown(phi, base, first)
+
+
+@register("T5_calibrated_vs_raw_fixed_sigmoid")
+def q_cal_vs_raw_fixed(spark, sf):
+    """T5 on given scores: surrogate scores vs a fixed sigmoid map of them (a monotone
+    map keeps ROC-AUC and changes Brier), compared with the same V3/V4 operators."""
+    s = scored(spark, sf).where(F.col("split") == "val")
+    mapped_ = s.withColumn("model", F.concat(F.col("model"), F.lit("_sigmoid"))).withColumn(
+        "score", F.lit(1.0) / (F.lit(1.0) + F.exp(-(F.col("score") - F.lit(0.5)) * F.lit(4.0))))
+    both = s.unionByName(mapped_)
+    return ME.ranking_metrics(both).join(ME.brier(both), ["model", "split"])
