@@ -70,7 +70,10 @@ def random_forest(features: list[str], label: str, n_estimators: int = 200,
     rf = RandomForestClassifier(featuresCol=VEC, labelCol=label, weightCol="weight",
                                 numTrees=n_estimators, maxDepth=min(max_depth or 30, 30),
                                 minInstancesPerNode=min_samples_leaf,
-                                featureSubsetStrategy="sqrt", bootstrap=True, seed=seed)
+                                featureSubsetStrategy="sqrt", bootstrap=True, seed=seed,
+                                # execution knobs only (same trees): more nodes split per
+                                # pass over the data, node ids cached between levels
+                                maxMemoryInMB=1024, cacheNodeIds=True)
     return Pipeline(stages=[assembler(features), rf])
 
 
@@ -82,7 +85,7 @@ def gradient_boosting(features: list[str], label: str, max_iter: int = 200,
     10% (as the reference's library default does above 10,000 rows)."""
     kw = dict(featuresCol=VEC, labelCol=label, weightCol="weight", maxIter=max_iter,
               stepSize=learning_rate, maxDepth=max_depth, minInstancesPerNode=min_samples_leaf,
-              seed=seed)
+              seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
     if validation_col:
         kw["validationIndicatorCol"] = validation_col
     return Pipeline(stages=[assembler(features), GBTClassifier(**kw)])
