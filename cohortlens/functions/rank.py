@@ -42,7 +42,9 @@ def score_bucket_desc(score: Column, buckets: int = SCORE_BUCKETS) -> Column:
 def prefix_rank(df: DataFrame, groups: list[str], bucket: Column, order: list[Column],
                 name: str = "rank") -> DataFrame:
     """1-based row number within ``groups`` in (bucket, order) order."""
-    d = df.withColumn("__b", bucket)
+    # the same filter on both branches keeps their subplans identical, so Spark can
+    # reuse one shuffle for the bucket counts and the rows (ReusedExchange)
+    d = df.withColumn("__b", bucket).where(F.col("__b").isNotNull())
     counts = d.groupBy(*groups, "__b").agg(F.count(F.lit(1)).alias("__c"))
     w = (Window.partitionBy(*groups).orderBy("__b")
          .rowsBetween(Window.unboundedPreceding, -1))
@@ -60,7 +62,7 @@ def prefix_sums(df: DataFrame, groups: list[str], bucket: Column, order: list[Co
 
     Rows must be unique in the order (e.g. one row per distinct score).
     """
-    d = df.withColumn("__b", bucket)
+    d = df.withColumn("__b", bucket).where(F.col("__b").isNotNull())
     totals = d.groupBy(*groups, "__b").agg(*[F.sum(v).alias(f"__t{i}")
                                              for i, v in enumerate(values)])
     w = (Window.partitionBy(*groups).orderBy("__b")
