@@ -85,15 +85,18 @@ def ranking_metrics(scored: DataFrame, groups=GROUP) -> DataFrame:
                     F.try_divide(F.col("__ap"), F.col("P")).alias("pr_auc"))
 
 
-def _with_totals(d: DataFrame, groups) -> DataFrame:
-    """Attach per-group P and N (one small aggregate, broadcast back: groups are few)."""
-    tot = d.groupBy(*groups).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+def _with_totals(d: DataFrame, scored: DataFrame, groups) -> DataFrame:
+    """Attach per-group P and N. They come from the scored rows (one partial
+    aggregate, few rows, broadcast), not from ``d``, so the window pipeline that
+    produced ``d`` runs once."""
+    tot = scored.groupBy(*groups).agg(F.sum(F.col("label")).cast("bigint").alias("P"),
+                                      F.sum(1 - F.col("label")).cast("bigint").alias("N"))
     return d.join(F.broadcast(tot), list(groups))
 
 
 def roc_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
     """V6: (threshold, fpr, tpr) per distinct score, highest first."""
-    d = _with_totals(distinct_scores(scored, groups), groups)
+    d = _with_totals(distinct_scores(scored, groups), scored, groups)
     return d.select(*groups, F.col("score").alias("threshold"),
                     F.try_divide(F.col("above_neg") + F.col("neg"), F.col("N")).alias("fpr"),
                     F.try_divide(F.col("above_pos") + F.col("pos"), F.col("P")).alias("tpr"))
@@ -101,7 +104,7 @@ def roc_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
 
 def pr_curve(scored: DataFrame, groups=GROUP) -> DataFrame:
     """V7: (threshold, precision, recall, prevalence) per distinct score."""
-    d = _with_totals(distinct_scores(scored, groups), groups)
+    d = _with_totals(distinct_scores(scored, groups), scored, groups)
     tp = F.col("above_pos") + F.col("pos")
     fp = F.col("above_neg") + F.col("neg")
     return d.select(*groups, F.col("score").alias("threshold"),
