@@ -145,3 +145,12 @@ def test_random_search_picks_best_cv_draw(planted):
                            parallelism=2)
     assert len(res["draws"]) == 2
     assert res["cv_score"] == max(s for _, _, s in res["draws"]) and res["cv_score"] > 0.7
+
+
+def test_exact_auc_evaluator_matches_operator(planted):
+    train = planted.where(F.col("split") == "train")
+    val = planted.where(F.col("split") == "val")
+    model = MD.fit("LogisticRegression", train, FEATS, "y", {"C": 1.0})
+    ev = MD.ExactAUCEvaluator("y").evaluate(model.transform(val))
+    op = ME.ranking_metrics(MD.score(model, val, "m", "y")).first()["roc_auc"]
+    assert math.isclose(ev, op, abs_tol=1e-12) and MD.ExactAUCEvaluator().isLargerBetter()
