@@ -45,3 +45,17 @@ def test_every_query_has_a_name_from_the_inventory():
     import re
     for name in QUERIES:
         assert re.match(r"^[A-Z]+[0-9]", name), name
+
+
+@pytest.mark.parametrize("name", ["K1_stratified_split", "V4_V5_roc_auc_average_precision",
+                                  "X1_shapley_linear_margin"])
+def test_results_do_not_depend_on_shuffle_partitions(spark, duck, name):
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        df = QUERIES[name](spark, SMOKE)
+        got = _rows(df.columns, [tuple(r) for r in df.collect()])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    res = duck.sql(SQL[name])
+    assert got == _rows(res.columns, res.fetchall())
