@@ -14,7 +14,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlens.functions.exprs import (NUMERIC_TYPES, is_missing, normalize_label,
                                         numeric_columns, string_columns)
@@ -267,6 +266,3 @@ def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
         counts = {}
     return imputer.transform(df), CleanFit(imputer, counts)
 
-
-def string_columns_of(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
