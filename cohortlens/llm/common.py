@@ -56,7 +56,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     e = stored(edges.select(F.col("u").cast("long"), F.col("v").cast("long"))
                .where(F.col("u") != F.col("v"))
                .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
-    seen = None
+    mark = lambda d: tuple(d.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
+                                 F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first())
+    seen = mark(e)
     for _ in range(max_rounds):
         sym = e.union(e.select("v", "u"))
         m = sym.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -66,10 +68,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         small = (large.join(low, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct())
         e = stored(small)
-        mark = e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")),
-                     F.sum(F.xxhash64("v", "u").cast("decimal(38,0)"))).first()
-        if tuple(mark) == seen:
+        now = mark(e)
+        if now == seen:
             roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
             return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)
-        seen = tuple(mark)
+        seen = now
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

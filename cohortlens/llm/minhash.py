@@ -57,12 +57,20 @@ def _sets(data: np.ndarray, off: np.ndarray, shingle: int) -> Iterator[np.ndarra
             yield np.unique(grams[lo:hi - shingle + 1])
 
 
-def _signature(s: np.ndarray) -> np.ndarray:
-    out = np.full(SIGNATURE, np.iinfo(np.uint64).max, dtype=np.uint64)
-    for lo in range(0, len(s), 8192):
-        part = s[lo:lo + 8192]
+def _signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """One row of minimum hashes per set; an empty set's row has no meaning."""
+    out = np.zeros((len(sets), SIGNATURE), dtype=np.uint64)
+    full = [i for i, s in enumerate(sets) if len(s)]
+    while full:
+        take, n = 0, 0
+        while take < len(full) and (n == 0 or n + len(sets[full[take]]) <= 32768):
+            n += len(sets[full[take]])
+            take += 1
+        rows, full = full[:take], full[take:]
+        values = np.concatenate([sets[i] for i in rows])
+        at = np.concatenate([[0], np.cumsum([len(sets[i]) for i in rows])[:-1]])
         for k in range(SIGNATURE):
-            out[k] = min(out[k], (part * _A[k] + _B[k]).min())
+            out[rows, k] = np.minimum.reduceat(values * _A[k] + _B[k], at)
     return (T.mix(out) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
@@ -74,12 +82,11 @@ def signatures(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             data, off = T.utf8(batch.column(1))
             for lo, hi in T.chunks(off):
-                n, d1, d2, sigs = [], [], [], []
-                for s in _sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], shingle):
-                    n.append(len(s))
-                    d1.append(int(T.mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
-                    d2.append(int(np.bitwise_xor.reduce(T.mix(s + np.uint64(0x5A5A5A))).view(np.int64)) if len(s) else 0)
-                    sigs.append(_signature(s) if len(s) else None)
+                sets = list(_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], shingle))
+                n = [len(s) for s in sets]
+                d1 = [T.mix(s ^ np.uint64(0xA5A5)).sum(dtype=np.uint64).view(np.int64) for s in sets]
+                d2 = [np.bitwise_xor.reduce(T.mix(s + np.uint64(0x5A5A5A))).view(np.int64) for s in sets]
+                sigs = [row if k else None for row, k in zip(_signatures(sets), n)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(lo, hi - lo).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
                      pa.array(d2, pa.int64()), pa.array(sigs, pa.list_(pa.int32()))],
