@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import minhash, substring
+from cohortlens.llm import langid, minhash, mix, secret_scan, substring
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,18 @@ k AS (
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+
+@query
+def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
