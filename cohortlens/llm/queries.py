@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import langid, minhash, mix, secret_scan, substring
+from cohortlens.llm import kdshard, langid, minhash, mix, secret_scan, substring
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,8 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kdshard.shard(table(spark, sf_dir, "documents"))
