@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import kdshard, langid, minhash, mix, secret_scan, substring
+from cohortlens.llm import embed, kdshard, langid, minhash, mix, secret_scan, substring
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,25 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kdshard.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op2_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND list_max(list_transform(embedding, lambda x: abs(x))) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+r(node, other) AS (SELECT a, b FROM l UNION SELECT r.node, l.b FROM r JOIN l ON r.other = l.a),
+c AS (SELECT node, min(other) AS m FROM r GROUP BY node),
+k AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT e.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c.m, e.vec_id))::BIGINT AS component_id,
+  e.vec_id = least(e.vec_id, coalesce(c.m, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN k ON k.a = e.vec_id LEFT JOIN c ON c.node = e.vec_id
+"""
