@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import embed, kdshard, langid, minhash, mix, secret_scan, substring
+from cohortlens.llm import decontam, embed, kdshard, langid, minhash, mix, pii, secret_scan, substring
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,13 @@ SELECT e.vec_id, coalesce(k.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(c
   e.vec_id = least(e.vec_id, coalesce(c.m, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN k ON k.a = e.vec_id LEFT JOIN c ON c.node = e.vec_id
 """
+
+
+@query
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
