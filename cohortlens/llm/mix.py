@@ -190,31 +190,37 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     lists = (_pieces(rows, sources, block).groupBy("k", "start").agg(F.collect_list(F.struct("a", "b", "n")).alias("pieces"))
              .join(rows.where("size > 0").select("k", "start", *same), ["k", "start"])
              .withColumn("rn", F.row_number().over(Window.partitionBy(*same).orderBy("start"))).drop("k", "start"))
-    lists = lists.select("rn", "pieces", *(F.col(c).alias(f"__{c}") for c in same))
+    lists = lists.select(F.col("rn").alias("__rn"), F.col("pieces").alias("__pieces"), *(F.col(c).alias(f"__{c}") for c in same))
     own = docs.withColumn("__hash", F.xxhash64("text"))
     own = own.withColumn("__row", F.row_number().over(Window.partitionBy("source", "doc_id", "__hash").orderBy("__hash")))
     both = own.join(lists, F.col("source").eqNullSafe(F.col("__source")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
-                    & (F.col("__hash") == F.col("__h")) & (F.col("__row") == F.col("rn")))
-    has_chars = "n_chars" in docs.columns
+                    & (F.col("__hash") == F.col("__h")) & (F.col("__row") == F.col("__rn")))
+    columns = docs.columns
 
-    def run(frames):
-        for frame in frames:
-            out = []
-            for i, (text, pieces) in enumerate(zip(frame["text"], frame["pieces"])):
+    def run(batches):
+        for batch in batches:
+            at, texts = [], []
+            for i, (text, pieces) in enumerate(zip(batch.column("text"), batch.column("__pieces"))):
+                text = text.as_py()
                 words = _words(text)
                 n = np.zeros(len(words), dtype=np.int64)
-                for p in pieces:
+                for p in pieces.as_py():
                     n[p["a"]:p["b"]] = p["n"]
                 for c in range(1, int(n.max(initial=0)) + 1):
-                    out.append((i, text if (n >= c).all() else " ".join(w for w, x in zip(words, n.tolist()) if x >= c)))
-            if out:
-                at, texts = zip(*out)
-                made = frame[docs.columns].iloc[list(at)].assign(text=list(texts))
-                if has_chars:
-                    made["n_chars"] = [len(x) for x in texts]
-                yield made
-
-    return both.select(*docs.columns, "pieces").mapInPandas(run, docs.schema)
+                    at.append(i)
+                    texts.append(text if (n >= c).all() else " ".join(w for w, x in zip(words, n.tolist()) if x >= c))
+            out = []
+            for name in columns:
+                own = batch.column(name)
+                if name == "text":
+                    out.append(pa.array(texts, own.type))
+                elif name == "n_chars":
+                    out.append(pa.array([len(x) for x in texts], pa.int64()).cast(own.type))
+                else:
+                    out.append(own.take(pa.array(at, pa.int64())))
+            yield pa.RecordBatch.from_arrays(out, names=columns)
+
+    return both.select(*columns, "__pieces").mapInArrow(run, docs.schema)
 
 
 def _words(text: str) -> list[str]:

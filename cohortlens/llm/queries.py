@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontam, embed, kdshard, langid, minhash, mix, pii, secret_scan, substring
+from cohortlens.llm import decontam, embed, kdshard, langid, license_scan, minhash, mix, pii, secret_scan, substring
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -120,3 +120,8 @@ def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
