@@ -10,10 +10,10 @@ pair with ``MATCHES`` collisions shares one of the first
 ``SIGNATURE - MATCHES + 1`` values, so only those are merged; the frequent rest
 is probed through the signature.
 *Skip*: a posting list is merged against its smallest document, linked documents
-become components, and a list that lies in one component is skipped. Only
-documents outside the largest component of a list are then paired with the
-list. So a list of n copies costs about n pairs, and no link between different
-components is lost.
+become components, and a list that lies in one component is skipped. So a list
+of n copies costs about n pairs. The documents of the other lists are merged
+once more across components, by the same prefix rule on their shingles, so no
+link between different components is lost.
 """
 
 from __future__ import annotations
@@ -121,17 +121,47 @@ def _prefixes(reps: DataFrame) -> DataFrame:
         F.col("e.elem").alias("elem"), "rep")
 
 
-def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) with enough collisions whose full sets are similar."""
-    side = lambda d, c, x, y: d.select(F.col("rep").alias(x), F.col(c).alias(y))
-    near = (pairs.join(side(sigs, "sig", "a", "sa"), "a").join(side(sigs, "sig", "b", "sb"), "b")
-            .where(F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x)) >= MATCHES).select("a", "b"))
-    both = near.join(side(sets, "shingles", "a", "ta"), "a").join(side(sets, "shingles", "b", "tb"), "b")
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar, as links (u, v)."""
+    side = lambda x, y: sets.select(F.col("rep").alias(x), F.col("shingles").alias(y))
+    both = pairs.join(side("a", "ta"), "a").join(side("b", "tb"), "b")
     inter = F.size(F.array_intersect("ta", "tb"))
     return both.where(100 * inter >= SIMILAR * (F.size("ta") + F.size("tb") - inter)).select(
         F.col("a").alias("u"), F.col("b").alias("v"))
 
 
+def _confirmed(pairs: DataFrame, sigs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of like size with enough collisions whose full sets are similar."""
+    side = lambda x, y, n: sigs.select(F.col("rep").alias(x), F.col("sig").alias(y), F.col("n_shingles").alias(n))
+    near = (pairs.join(side("a", "sa", "na"), "a").join(side("b", "sb", "nb"), "b")
+            .where(100 * F.least("na", "nb") >= SIMILAR * F.greatest("na", "nb"))
+            .where(F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x)) >= MATCHES).select("a", "b"))
+    return _similar(near, sets)
+
+
+def _across(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components c that can be similar: the same prefix merge, on the shingles themselves.
+
+    With shingles ordered rarest first, similar sets share one among their
+    first ``n - ceil(0.75 n) + 1``, and from their first common place on enough
+    are left in both. So texts that only share a passage never meet unless it
+    makes up three quarters of them.
+    """
+    n = F.size("shingles").cast("long")
+    posts = nodes.select("rep", "c", n.alias("n"), F.explode("shingles").alias("s"))
+    often = posts.groupBy("s").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    shared = (posts.join(often, "s").groupBy("rep", "c", "n")
+              .agg(F.sort_array(F.collect_list(F.struct("df", "s"))).alias("e")).withColumn("alone", F.col("n") - F.size("e"))
+              .withColumn("first", F.col("n") - F.ceil(F.col("n") * SIMILAR / 100) + 1 - F.col("alone")).where("first > 0"))
+    heads = shared.select("rep", "c", "n", "alone", F.posexplode(F.slice("e", F.lit(1), F.col("first").cast("int"))).alias("at", "e")).select(
+        "rep", "c", (F.col("n") - F.col("alone") - F.col("at")).alias("left"), "n", F.col("e.s").alias("s"))
+    one, two = (heads.select("s", *(F.col(c).alias(f"{c}_{x}") for c in ("rep", "c", "left", "n"))) for x in "ab")
+    fits = (F.col("rep_a") < F.col("rep_b")) & (F.col("c_a") != F.col("c_b")) & (
+        100 * F.least("n_a", "n_b") >= SIMILAR * F.greatest("n_a", "n_b")) & (
+        (100 + SIMILAR) * F.least("left_a", "left_b") >= SIMILAR * (F.col("n_a") + F.col("n_b")))
+    return one.join(two, "s").where(fits).select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -147,35 +177,21 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
                   .agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig")))
     lists = stored(_prefixes(reps))
     nodes = lists.select("rep").distinct()
-    sigs = stored(reps.join(nodes, "rep", "left_semi").select("rep", "sig"))
+    sigs = stored(reps.join(nodes, "rep", "left_semi").select("rep", "sig", "n_shingles"))
     sets = stored(shingle_sets(docs.join(nodes.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi"), shingle)
                   .select(F.col("doc_id").alias("rep"), "shingles"))
 
-    def star(of: DataFrame, pick) -> DataFrame:
-        heads = of.groupBy("elem").agg(pick("rep").alias("a"))
-        return (of.join(heads, "elem").where(F.col("rep") != F.col("a"))
-                .select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")).distinct())
-
-    links = stored(_confirmed(star(lists, F.min), sigs, sets))
+    heads = lists.groupBy("elem").agg(F.min("rep").alias("a"))
+    star = lists.join(heads, "elem").where("rep <> a").select("a", F.col("rep").alias("b")).distinct()
+    links = stored(_confirmed(star, sigs, sets))
     comp = stored(components(links))
-    for last in (False, True):
-        named = lists.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
-            "elem", "rep", F.coalesce("component", "rep").alias("c"))
-        split = named.groupBy("elem").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("elem")
-        open_lists = stored(named.join(split, "elem", "left_semi"))
-        if open_lists.isEmpty():
-            break
-        if last:
-            sizes = open_lists.groupBy("elem", "c").agg(F.count(F.lit(1)).alias("n"))
-            main = sizes.groupBy("elem").agg(F.max_by("c", F.struct("n", "c")).alias("main"))
-            rest = open_lists.join(main, "elem").where(F.col("c") != F.col("main")).select(
-                "elem", F.col("rep").alias("x"), F.col("c").alias("cx"))
-            pairs = (rest.join(open_lists, "elem").where(F.col("c") != F.col("cx"))
-                     .select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b")).distinct())
-        else:
-            pairs = star(open_lists, F.max)
-        links = stored(links.union(_confirmed(pairs, sigs, sets)))
-        comp = stored(components(links))
+    named = lists.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
+        "elem", "rep", F.coalesce("component", "rep").alias("c"))
+    split = named.groupBy("elem").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("elem")
+    open_nodes = stored(named.join(split, "elem", "left_semi").select("rep", "c").distinct())
+    more = stored(_similar(_across(sets.join(open_nodes, "rep")), sets))
+    if not more.isEmpty():
+        comp = stored(components(links.union(more)))
     classes = (reps.join(comp.withColumnRenamed("node", "rep"), "rep", "left")
                .select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id")))
     out = t.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2", "n_shingles"], "left")
