@@ -132,8 +132,12 @@ def _candidates(flagged: DataFrame, window: int) -> DataFrame:
         order = np.lexsort((at, doc, w2, w1))
         w1, w2, doc, at = w1[order], w2[order], doc[order], at[order]
         new, later, _ = _first_of_group(w1, w2, doc, at)
-        keep = new | later
-        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (w1, w2, doc, at, later)], schema=_PLACES)
+        lead = new & ~later
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[lead]) for x in (w1, w2, doc, at)), pa.array(np.zeros(lead.sum(), bool))], schema=_PLACES)
+        doc, at = doc[later], at[later]
+        order = np.lexsort((at, doc))          # in order, places that are known to repeat take little room
+        none = pa.nulls(len(doc), pa.int64())
+        yield pa.RecordBatch.from_arrays([none, none, pa.array(doc[order]), pa.array(at[order]), pa.array(np.ones(len(doc), bool))], schema=_PLACES)
 
     def run(batches):
         held, n = [], 0
