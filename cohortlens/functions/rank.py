@@ -39,6 +39,15 @@ def score_bucket_desc(score: Column, buckets: int = SCORE_BUCKETS) -> Column:
     return (F.lit(buckets) - F.floor(clipped * buckets)).cast("int")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where nulls match nulls; the keys appear once."""
+    renamed = right.select(*(F.col(k).alias(f"__r_{k}") if k in keys else F.col(k) for k in right.columns))
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(renamed, cond, how).drop(*(f"__r_{k}" for k in keys))
+
+
 def prefix_rank(df: DataFrame, groups: list[str], bucket: Column, order: list[Column],
                 name: str = "rank") -> DataFrame:
     """1-based row number within ``groups`` in (bucket, order) order."""
@@ -50,7 +59,7 @@ def prefix_rank(df: DataFrame, groups: list[str], bucket: Column, order: list[Co
          .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select(*groups, "__b",
                             F.coalesce(F.sum("__c").over(w), F.lit(0)).alias("__off"))
-    d = d.join(F.broadcast(offsets), [*groups, "__b"])
+    d = join_null_safe(d, F.broadcast(offsets), [*groups, "__b"])
     w2 = Window.partitionBy(*groups, "__b").orderBy(*order)
     return d.withColumn(name, F.row_number().over(w2) + F.col("__off")).drop("__b", "__off")
 
@@ -70,7 +79,7 @@ def prefix_sums(df: DataFrame, groups: list[str], bucket: Column, order: list[Co
     offsets = totals.select(*groups, "__b", *[
         F.coalesce(F.sum(f"__t{i}").over(w), F.lit(0)).alias(f"__o{i}")
         for i in range(len(values))])
-    d = d.join(F.broadcast(offsets), [*groups, "__b"])
+    d = join_null_safe(d, F.broadcast(offsets), [*groups, "__b"])
     w2 = (Window.partitionBy(*groups, "__b").orderBy(*order)
           .rowsBetween(Window.unboundedPreceding, -1))
     for i, v in enumerate(values):

@@ -87,7 +87,8 @@ def gradient_boosting(features: list[str], label: str, max_iter: int = 200,
               stepSize=learning_rate, maxDepth=max_depth, minInstancesPerNode=min_samples_leaf,
               seed=seed, maxMemoryInMB=1024, cacheNodeIds=True)
     if validation_col:
-        kw["validationIndicatorCol"] = validation_col
+        # the default tolerance of 0.01 stops after the first tree at small learning rates
+        kw |= {"validationIndicatorCol": validation_col, "validationTol": 1e-7}
     return Pipeline(stages=[assembler(features), GBTClassifier(**kw)])
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import seeded_hash
-from cohortlens.functions.rank import hash_bucket, prefix_rank
+from cohortlens.functions.rank import hash_bucket, join_null_safe, prefix_rank
 
 
 def class_quotas(counts: DataFrame, cls: str, n_col: str, take: Column) -> DataFrame:
@@ -59,9 +59,9 @@ def stratified_split(df: DataFrame, label: str, key: str = "row_id", seed: int =
     rest = test.select("__s", (F.col("__n") - F.col("__qt")).alias("__rest"), "__qt")
     val_frac = val_size / (1.0 - test_size)
     val = class_quotas(rest, "__s", "__rest", F.ceil(F.lit(val_frac) * F.col("__total")))
-    q = test.join(val.select("__s", F.col("quota").alias("__qv")), "__s")
+    q = join_null_safe(test, val.select("__s", F.col("quota").alias("__qv")), ["__s"])
     # one row per class: bounded by the label domain
-    out = r.join(F.broadcast(q.select("__s", "__qt", "__qv")), "__s")
+    out = join_null_safe(r, F.broadcast(q.select("__s", "__qt", "__qv")), ["__s"])
     rk = F.col("__rank")
     split = (F.when(rk <= F.col("__qt"), "test")
              .when(rk <= F.col("__qt") + F.col("__qv"), "val").otherwise("train"))
@@ -87,7 +87,7 @@ def two_way_split(df: DataFrame, label: str, frac: float, key: str = "row_id", s
         F.count(F.lit(1)).alias("__n"))
     r = ranked(df, label, key, seed, stratify)
     q = class_quotas(counts, "__s", "__n", F.ceil(F.lit(float(frac)) * F.col("__total")))
-    out = r.join(F.broadcast(q.select("__s", F.col("quota").alias("__q"))), "__s")
+    out = join_null_safe(r, F.broadcast(q.select("__s", F.col("quota").alias("__q"))), ["__s"])
     return out.withColumn("part", F.when(F.col("__rank") <= F.col("__q"), names[1])
                           .otherwise(names[0])).drop("__s", "__rank", "__q")
 

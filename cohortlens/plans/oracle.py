@@ -29,8 +29,8 @@ raw AS (
          o.o_orderstatus AS readmitted
   FROM orders o
   LEFT JOIN li ON li.l_orderkey = o.o_orderkey
-  JOIN customer c ON c.c_custkey = o.o_custkey
-  JOIN nation n ON n.n_nationkey = c.c_nationkey
+  LEFT JOIN customer c ON c.c_custkey = o.o_custkey
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
   WHERE o.o_orderstatus IN ('F', 'O'))"""
 
 NORM_TARGET = r"lower(regexp_replace(readmitted, '^\s+|\s+$', '', 'g'))"

@@ -62,6 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             # the context appends a random sub-folder; checkpoints land there too
             return existing
     if not path:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         path = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None:

@@ -54,8 +54,8 @@ def orders_patient_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = (orders
               .join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-              .join(customer, orders.o_custkey == customer.c_custkey, "inner")
-              .join(nation, customer.c_nationkey == nation.n_nationkey, "inner"))
+              .join(customer, orders.o_custkey == customer.c_custkey, "left")
+              .join(nation, customer.c_nationkey == nation.n_nationkey, "left"))
     return joined.select(
         F.col("o_orderkey").alias("row_id"),
         F.col("o_orderpriority").alias("age"),

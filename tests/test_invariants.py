@@ -154,3 +154,14 @@ def test_exact_auc_evaluator_matches_operator(planted):
     ev = MD.ExactAUCEvaluator("y").evaluate(model.transform(val))
     op = ME.ranking_metrics(MD.score(model, val, "m", "y")).first()["roc_auc"]
     assert math.isclose(ev, op, abs_tol=1e-12) and MD.ExactAUCEvaluator().isLargerBetter()
+
+
+def test_rows_without_a_label_stay_in_the_split(spark):
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else i % 2) for i in range(60)], "row_id long, y int")
+    out = SP.stratified_split(df, "y")
+    assert out.count() == 60 and out.where("y is null and split = 'test'").count() >= 2
+
+
+def test_boosting_keeps_more_than_one_tree(planted):
+    model = MD.fit("GradientBoosting", planted.where("split = 'train'"), FEATS, "y", {"max_iter": 20, "max_depth": 3})
+    assert model.stages[-1].getNumTrees > 5
