@@ -6,21 +6,29 @@ the rest from each background row b. The model scores every masked point;
 v(r,p,k) = mean over b; phi(r, perm[k]) = mean over p of v(k+1) - v(k).
 Sum(phi) + base = score(r) holds exactly per permutation (telescoping).
 
-Work: rows x perms x (F+1) x background model evaluations, generated per
-explained row with ``explode`` (no join) and reduced by a partial
-aggregation, so only rows x perms x (F+1) values shuffle. The background is
-a bounded sample (``n_background`` rows) shipped as a literal.
+A model that is a link over a linear margin (scaled logistic regression with
+its calibrator) needs running sums only: numpy inside tasks, nothing scored
+(``additive_values``). For every other model the work is rows x perms x (F+1) x
+background model evaluations, generated per explained row with ``explode`` (no
+join) and reduced by a partial aggregation, so only rows x perms x (F+1) values
+shuffle. The background is a bounded sample (``n_background`` rows), shipped to
+the tasks.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import quartiles, safe_corr
+from cohortlens.operators.split import uniform_sample
 
 MAX_BACKGROUND = 1000     # the background is shipped to every task as a literal
-from cohortlens.operators.split import uniform_sample
 
 
 def masked_points(sample: DataFrame, background: list[list[float]], features: list[str],
@@ -61,18 +69,70 @@ def permutation(key, p, n_features: int, seed: int):
     return F.when(p % 2 == 0, forward).otherwise(F.reverse(forward))
 
 
+@dataclass
+class AdditiveMargin:
+    """A score ``link(bias + sum_j weights[j] * x_j)``; ``link`` maps arrays elementwise."""
+    weights: np.ndarray
+    bias: float
+    link: Callable[[np.ndarray], np.ndarray]
+
+
+def additive_values(margin: AdditiveMargin, sample: DataFrame, background: np.ndarray,
+                    features: list[str], n_perm: int, seed: int,
+                    key: str = "row_id") -> tuple[DataFrame, float]:
+    """X1 for a linear margin under a link: no masked point is built.
+
+    Replacing background features by the row's moves the margin by
+    ``w_j * (x_j - b_j)`` each, so v(r, p, k) is the mean of the link over
+    running sums. One row and permutation cost background x F numbers in its
+    task; nothing is shuffled but the spread of the rows.
+    """
+    from cohortlens.session import parallelism
+    n = len(features)
+    start = margin.bias + background @ margin.weights
+    x = F.array(*[F.col(c).cast("double") for c in features])
+    perms = F.array(*[permutation(F.col(key), F.lit(p), n, seed) for p in range(n_perm)])
+    rows = sample.select(F.col(key), x.alias("x")).repartition(
+        parallelism(sample.sparkSession), key).select(key, "x", perms.alias("perms"))
+    weights, link = margin.weights, margin.link
+    names = pa.array(list(features), pa.string())
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                values = np.array(batch.column(1)[i].as_py(), dtype=np.float64)
+                moves = weights * (values - background)
+                phi = np.zeros(n)
+                for perm in batch.column(2)[i].as_py():
+                    steps = np.concatenate([start[:, None], moves[:, perm]], axis=1)
+                    phi[perm] += np.diff(link(np.cumsum(steps, axis=1)).mean(axis=0))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array([i] * n)), names, pa.array(values),
+                     pa.array(phi / n_perm)], names=[key, "feature", "value", "phi"])
+
+    key_type = sample.schema[key].dataType.simpleString()
+    out = rows.mapInArrow(run, f"`{key}` {key_type}, feature string, value double, phi double")
+    return out, float(link(start).mean())
+
+
 def shapley_values(model, sample: DataFrame, background: DataFrame, features: list[str],
                    n_perm: int = 10, seed: int = 42, key: str = "row_id",
                    score_col: str = "score") -> tuple[DataFrame, float]:
     """Long table (row_id, feature, value, phi) and the base value.
 
     ``model.transform(df)`` must add ``score_col``. ``background`` must be a
-    bounded sample (it is collected once, e.g. 100 rows).
+    bounded sample (it is collected once, e.g. 100 rows). A model whose
+    ``additive(features)`` gives an :class:`AdditiveMargin` takes the short path
+    of :func:`additive_values`; every other model scores the masked points.
     """
     got = background.select(features).limit(MAX_BACKGROUND + 1).collect()
     if len(got) > MAX_BACKGROUND:
         raise ValueError(f"background must be a sample of at most {MAX_BACKGROUND} rows")
     bg_rows = [[float(r[c]) for c in features] for r in got]
+    margin = model.additive(features) if hasattr(model, "additive") else None
+    if margin is not None:
+        return additive_values(margin, sample, np.array(bg_rows).reshape(-1, len(features)),
+                               features, n_perm, seed, key)
     pts = masked_points(sample, bg_rows, features, n_perm, seed, key)
     scored = model.transform(pts)
     v = scored.groupBy(key, "p", "k").agg(F.avg(score_col).alias("v"))
@@ -89,11 +149,13 @@ def shapley_values(model, sample: DataFrame, background: DataFrame, features: li
     return out, float(base)
 
 
-def explain(model, frame: DataFrame, features: list[str], n_rows: int = 500,
+def explain(model, frame: DataFrame, features: list[str], n_rows: int | None = None,
             n_background: int = 100, n_perm: int = 10, seed: int = 42, key: str = "row_id"):
-    """Sample (K4) the rows to explain and the background from that sample, then X1."""
+    """X1 for every row of ``frame`` (or for ``n_rows`` of them, drawn by K4), against a
+    background of ``n_background`` of those rows."""
     from cohortlens.session import cut_lineage
-    sample = cut_lineage(uniform_sample(frame, n_rows, key, seed))      # reused 3x
+    frame = frame.select(key, *features)
+    sample = cut_lineage(frame if n_rows is None else uniform_sample(frame, n_rows, key, seed))
     background = uniform_sample(sample, n_background, key, seed + 1)
     return shapley_values(model, sample, background, features, n_perm, seed, key)
 
@@ -129,10 +191,16 @@ def row_breakdown(phi: DataFrame, base: float, rows: DataFrame, key: str = "row_
 
 class ExpressionModel:
     """Wrap a score expression over feature columns as a model (``transform`` adds
-    ``score``), so any SQL-expressible scorer can be explained with the same job."""
+    ``score``), so any SQL-expressible scorer can be explained with the same job.
+    ``weights`` says that the expression is their linear margin."""
+
+    def __init__(self, expr, out: str = "score", weights: dict[str, float] | None = None):
+        self.expr, self.out, self.weights = expr, out, weights
 
-    def __init__(self, expr, out: str = "score"):
-        self.expr, self.out = expr, out
+    def additive(self, features: list[str]) -> AdditiveMargin | None:
+        if self.weights is None:
+            return None
+        return AdditiveMargin(np.array([self.weights.get(c, 0.0) for c in features]), 0.0, np.array)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return df.withColumn(self.out, self.expr)
@@ -145,4 +213,4 @@ def linear_margin(weights: dict[str, float]) -> ExpressionModel:
     for c, w in weights.items():
         term = F.col(c).cast("double") * F.lit(float(w))
         expr = term if expr is None else expr + term
-    return ExpressionModel(expr)
+    return ExpressionModel(expr, weights=weights)

@@ -607,7 +607,7 @@ _LW = {"time_in_hospital": 0.3, "n_medications": 0.01, "n_outpatient": 0.2, "n_i
        "specialty_known": 0.25}
 _PHI = SPLIT + f""",
 v AS (SELECT * FROM sp WHERE split = 'val'),
-smp AS (SELECT * FROM v ORDER BY h, row_id LIMIT 500),
+smp AS (SELECT * FROM v),
 bg AS (SELECT * FROM smp ORDER BY md5(CAST(row_id AS VARCHAR) || ':{SPEC.seed + 1}'), row_id
        LIMIT 100),
 bgm AS (SELECT {", ".join(f"avg(CAST({c} AS DOUBLE)) AS m_{c}" for c in _LW)} FROM bg),

@@ -31,7 +31,7 @@ from cohortlens.sources import csv as CSV
 from cohortlens.sources import manifest as MF
 from cohortlens.sources.binding import documents_labelled_frame, orders_patient_frame
 from cohortlens.sources.tables import table_path
-from cohortlens.spec import (ATTRIBUTION_BACKGROUND, ATTRIBUTION_ROWS, PUBLISHED_THRESHOLD,
+from cohortlens.spec import (ATTRIBUTION_BACKGROUND, PUBLISHED_THRESHOLD,
                              orders_binding_spec)
 
 SPEC = orders_binding_spec()
@@ -812,25 +812,18 @@ def q_model_io(spark, sf):
 
 
 # ------------------------------------------------------------------ attribution
-SHAP_ROWS, SHAP_BACKGROUND = ATTRIBUTION_ROWS, ATTRIBUTION_BACKGROUND
+SHAP_BACKGROUND = ATTRIBUTION_BACKGROUND
 SHAP_PERMUTATIONS = 10          # 5 antithetic pairs: the same evaluation budget per row
 
 
-_PHI_CACHE: dict = {}
-
-
 def _phi(spark, sf):
-    """X1 once per (session, data): the phi table is checkpointed and shared by X1-X5."""
-    k = (id(spark), sf)
-    if k not in _PHI_CACHE:
-        from cohortlens.session import cut_lineage
-        mf, _, cal, _ = _calibrated(spark, sf)
-        val = mf.frame.where(F.col("split") == "val")
-        phi, base = XA.explain(cal, val, mf.features, SHAP_ROWS, SHAP_BACKGROUND,
-                               SHAP_PERMUTATIONS, SPEC.seed)
-        _PHI_CACHE.clear()
-        _PHI_CACHE[k] = (mf, cal, cut_lineage(phi), base)
-    return _PHI_CACHE[k]
+    """X1 for every validation row of the calibrated model; written once, as several steps read it."""
+    from cohortlens.session import materialize
+    mf, _, cal, _ = _calibrated(spark, sf)
+    val = mf.frame.where(F.col("split") == "val")
+    phi, base = XA.explain(cal, val, mf.features, None, SHAP_BACKGROUND,
+                           SHAP_PERMUTATIONS, SPEC.seed)
+    return mf, cal, materialize(phi, "table"), base
 
 
 @register("X1_shapley_values")
@@ -942,7 +935,7 @@ LINEAR_WEIGHTS = {"time_in_hospital": 0.3, "n_medications": 0.01, "n_outpatient"
 def _linear_phi(spark, sf):
     val = split_frame(spark, sf).where(F.col("split") == "val")
     phi, base = XA.explain(XA.linear_margin(LINEAR_WEIGHTS), val, list(LINEAR_WEIGHTS),
-                           SHAP_ROWS, SHAP_BACKGROUND, SHAP_PERMUTATIONS, SPEC.seed)
+                           None, SHAP_BACKGROUND, SHAP_PERMUTATIONS, SPEC.seed)
     return val, phi, base
 
 

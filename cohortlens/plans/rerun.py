@@ -40,7 +40,7 @@ class RerunResult:
 def run_all(raw: DataFrame, spec: Spec, out_dir: str | None = None,
             models=("LogisticRegression", "RandomForest", "GradientBoosting"),
             cross_validate: bool = True, tune: bool = True, explain: bool = True,
-            source_paths: list[str] | None = None, shap_rows: int = 500,
+            source_paths: list[str] | None = None, shap_rows: int | None = None,
             shap_background: int = 100, shap_permutations: int = 10) -> RerunResult:
     spark = raw.sparkSession
     res = RerunResult(out_dir or artifact_dir(spark, "rerun"))

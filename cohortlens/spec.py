@@ -84,7 +84,6 @@ EXPECTED_FEATURES = (
     "age_ordinal", "any_n_inpatient", "any_n_emergency", "total_prior_utilization",
     "specialty_known", "n_inpatient_x_time_in_hospital", "n_medications_x_time_in_hospital",
 )
-ATTRIBUTION_ROWS = 500
 ATTRIBUTION_BACKGROUND = 100
 PUBLISHED_THRESHOLD = 0.35
 SEARCH_SPACES = {
