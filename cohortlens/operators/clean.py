@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.exprs import (NUMERIC_TYPES, is_missing, normalize_label,
                                         numeric_columns, string_columns)
+from cohortlens.functions.quantile import exact_quantiles
 from cohortlens.spec import Spec
 
 ROW_ID = "row_id"
@@ -162,29 +163,12 @@ def null_counts(df: DataFrame, cols: list[str]) -> dict[str, int]:
     return {c: int(row[c]) for c in cols}
 
 
-EXACT_MEDIAN_MAX_DISTINCT = 1_000_000
-
-
-def column_stats(df: DataFrame, cols: list[str]) -> tuple[dict[str, int], dict[str, int]]:
-    """One aggregate: missing count and approximate distinct count per column."""
-    if not cols:
-        return {}, {}
-    row = df.agg(*[F.count_if(is_missing(df, c)).alias(f"n_{i}") for i, c in enumerate(cols)],
-                 *[F.approx_count_distinct(c).alias(f"d_{i}") for i, c in enumerate(cols)]).first()
-    return ({c: int(row[f"n_{i}"]) for i, c in enumerate(cols)},
-            {c: int(row[f"d_{i}"]) for i, c in enumerate(cols)})
-
-
 def fit_imputer(df: DataFrame, target: str | None, key: str = ROW_ID,
-                counts: dict[str, int] | None = None, exact_median: bool = True,
-                distinct: dict[str, int] | None = None) -> Imputer:
-    """Medians of numeric and modes of string columns that have nulls.
-
-    The exact median keeps one counter per distinct value in the final merge,
-    which is cheap for count-like columns but not for continuous ones: a column
-    whose distinct estimate exceeds ``EXACT_MEDIAN_MAX_DISTINCT`` (or every
-    column with ``exact_median=False``) uses ``percentile_approx`` (bounded
-    memory). Mode ties resolve to the lowest value (deterministic).
+                counts: dict[str, int] | None = None) -> Imputer:
+    """Exact medians of numeric and modes of string columns that have nulls.
+
+    Medians come from bucket counts (``exact_quantiles``), so a continuous column
+    is never gathered in one task. Mode ties resolve to the lowest value.
     """
     skip = {c for c in (target, key) if c}
     num = numeric_columns(df, exclude=tuple(skip))
@@ -192,24 +176,16 @@ def fit_imputer(df: DataFrame, target: str | None, key: str = ROW_ID,
     counts = counts if counts is not None else null_counts(df, num + strs)
     num_fill = [c for c in num if counts.get(c, 0) > 0]
     str_fill = [c for c in strs if counts.get(c, 0) > 0]
-    if not num_fill and not str_fill:
-        return Imputer()
-    aggs = []
-    distinct = distinct or {}
-    for c in num_fill:
-        v = F.when(~is_missing(df, c), F.col(c).cast("double"))
-        exact = exact_median and distinct.get(c, 0) <= EXACT_MEDIAN_MAX_DISTINCT
-        aggs.append((F.median(v) if exact else F.percentile_approx(v, 0.5, 100_000)).alias(c))
-    for c in str_fill:
-        aggs.append(F.mode(F.col(c), True).alias(c))
-    row = df.agg(*aggs).first()
-    medians = {c: row[c] for c in num_fill}
-    modes = {c: row[c] for c in str_fill}
+    medians = {c: q[0] for c, q in exact_quantiles(df, num_fill, [0.5]).items()}
+    modes = {}
+    if str_fill:
+        row = df.agg(*[F.mode(F.col(c), True).alias(c) for c in str_fill]).first()
+        modes = {c: row[c] for c in str_fill}
     empty = [c for c, v in {**medians, **modes}.items() if v is None]
     if empty:
-        # An all-null column cannot be imputed
+        # A column without any value has nothing to be filled from
         raise ValueError(f"Imputation incomplete — all-null column(s): {empty}")
-    return Imputer({c: float(v) for c, v in medians.items()}, modes)
+    return Imputer(medians, modes)
 
 
 def residual_null_count(df: DataFrame) -> Column:
@@ -240,7 +216,6 @@ def validate_schema(df: DataFrame, spec: Spec) -> None:
 
 def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
                validate: bool = False, imputer: Imputer | None = None,
-               exact_median: bool = True,
                materialize_mode: str | None = "checkpoint") -> tuple[DataFrame, CleanFit]:
     """Compose P1-P12. Pass a fitted ``imputer`` to clean a scoring batch.
 
@@ -258,10 +233,14 @@ def clean_data(df: DataFrame, spec: Spec, require_target: bool = True,
     if imputer is None:
         df = materialize(df, materialize_mode)
         skip = (spec.target, ROW_ID)
-        cols = numeric_columns(df, exclude=skip) + string_columns(df, exclude=skip)
-        counts, distinct = column_stats(df, cols)
-        imputer = fit_imputer(df, spec.target, counts=counts, exact_median=exact_median,
-                              distinct=distinct)
+        filled = numeric_columns(df, exclude=skip) + string_columns(df, exclude=skip)
+        counts = null_counts(df, [c for c in df.columns if c not in skip])
+        left = {c: n for c, n in counts.items() if n and c not in filled}
+        if left:
+            # No rule fills these, so the cleaned frame would keep their nulls
+            raise ValueError(f"nulls remain after imputation (column: count): {left}")
+        counts = {c: counts[c] for c in filled}
+        imputer = fit_imputer(df, spec.target, counts=counts)
     else:
         counts = {}
     return imputer.transform(df), CleanFit(imputer, counts)

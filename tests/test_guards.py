@@ -310,3 +310,35 @@ def test_target_check_counts_text_and_fractions(spark):
     assert r["passed"] == 0 and "non-integer" in r["detail"]
     ok = spark.createDataFrame([(1, 0), (2, 1)], "row_id long, y int")
     assert QA.target_check(ok, "y").first()["detail"].endswith("positive rate=0.500")
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 40_000])
+def test_exact_quantiles_equal_numpy(spark, n):
+    import numpy as np
+
+    from cohortlens.functions.quantile import exact_quantiles
+    rng = np.random.default_rng(n)
+    smooth, hot = rng.normal(size=n), np.where(rng.random(n) < 0.4, 7.0, rng.integers(0, 900, n))
+    rows = [(float(a), float(b), None) for a, b in zip(smooth, hot)] + [(None, float("nan"), None)]
+    df = spark.createDataFrame(rows, "smooth double, hot double, none double").repartition(5)
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = exact_quantiles(df, ["smooth", "hot", "none"], probs)
+    assert got["smooth"] == pytest.approx(np.quantile(smooth, probs).tolist())
+    assert got["hot"] == pytest.approx(np.quantile(hot, probs).tolist())
+    assert got["none"] == [None] * 5
+
+
+def test_exact_quantiles_have_no_size_switch(spark):
+    from cohortlens.functions.quantile import exact_quantiles
+    n = 1_200_001                                   # more distinct values than any former switch
+    df = spark.range(n).select((F.col("id") * 2).alias("v"))
+    assert exact_quantiles(df, ["v"], [0.5, 1 / 3])["v"] == pytest.approx([n - 1, 2 * (n - 1) / 3])
+
+
+def test_nulls_that_no_rule_fills_are_refused(spark):
+    from cohortlens.operators import clean as C
+    from cohortlens.spec import orders_binding_spec
+    spec = orders_binding_spec().with_(required_columns=("x",), drop_columns=())
+    df = spark.createDataFrame([(1, 1.0, True, "F"), (2, 2.0, None, "O")], f"row_id long, x double, flag boolean, {spec.target} string")
+    with pytest.raises(ValueError, match="flag"):
+        C.clean_data(df, spec)
