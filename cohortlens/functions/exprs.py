@@ -64,13 +64,6 @@ def seeded_hash(key: Column, seed: int) -> Column:
     return F.md5(F.concat(key.cast("string"), F.lit(f":{seed}")))
 
 
-def quartiles(c, exact: bool = True):
-    """[q1, median, q3]: exact (linear interpolation, memory per distinct value)
-    or ``percentile_approx`` (bounded memory) for high-cardinality data at scale."""
-    probs = [0.25, 0.5, 0.75]
-    return F.percentile(c, probs) if exact else F.percentile_approx(c, probs, 10_000)
-
-
 def safe_corr(a: Column, b: Column) -> Column:
     """Pearson r over pairwise-complete rows; null (not an ANSI division error)
     when either side has zero variance, as pandas gives NaN there."""

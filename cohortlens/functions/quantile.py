@@ -18,12 +18,11 @@ from pyspark.sql import functions as F
 CUTS = 256
 
 
-def _choice(parts: list, then) -> Column:
-    out = None
-    for i, p in enumerate(parts):
-        cond = (F.col("column") == p[0]) & F.col("v").between(F.lit(p[1]), F.lit(p[2]))
-        out = F.when(cond, then(i)) if out is None else out.when(cond, then(i))
-    return out
+def _within(long: DataFrame, rows: list[tuple]) -> DataFrame:
+    """The values of the open ranges; ``rows`` (part, column, lo, hi, cuts) are bounded by the wanted ranks."""
+    schema = "part int, of string, from double, to double, cuts array<double>"
+    parts = F.broadcast(long.sparkSession.createDataFrame(rows, schema))
+    return long.join(parts, (F.col("column") == F.col("of")) & F.col("v").between(F.col("from"), F.col("to")))
 
 
 def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> dict[str, list[float | None]]:
@@ -34,7 +33,29 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     if not columns:
         return {}
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("v"))
-                                        for c in columns]))).where(F.col("v").isNotNull() & ~F.isnan("v"))
+                                        for c in columns])))
+    found = quantiles_of(long, probs)
+    return {c: found.get(c, [None] * len(probs)) for c in columns}
+
+
+def quartiles_by(long: DataFrame, groups: list[str], value: str, probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+    """(``__key``, q) with the quantiles of ``value`` for each combination of ``groups``; see ``group_key``.
+
+    There is one row per group in the result and on the driver, so the groups
+    must be few (features and classes).
+    """
+    found = quantiles_of(long.select(group_key(groups).alias("column"), F.col(value).cast("double").alias("v")), list(probs))
+    return F.broadcast(long.sparkSession.createDataFrame(list(found.items()), "__key string, q array<double>"))
+
+
+def group_key(groups: list[str]) -> Column:
+    """A string that tells the combinations of ``groups`` apart, nulls included."""
+    return F.to_json(F.struct(*groups))
+
+
+def quantiles_of(long: DataFrame, probs: list[float]) -> dict[str, list[float]]:
+    """Linearly interpolated quantiles of ``v`` for each ``column`` of a long table."""
+    long = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
     stats = [F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"),
              F.percentile_approx("v", [i / CUTS for i in range(1, CUTS)], 50 * CUTS).alias("cuts")]
     first = {r["column"]: r for r in long.groupBy("column").agg(*stats).collect()}
@@ -44,13 +65,12 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
     found: dict[tuple[str, int], float] = {}
     while part_of:
         parts = sorted(set(part_of.values()))
-        at = _choice(parts, F.lit)
         if any(p not in cuts for p in parts):
-            got = long.withColumn("part", at).where("part is not null").groupBy("part").agg(*stats).collect()
+            got = _within(long, [(i, *p, None) for i, p in enumerate(parts)]).groupBy("part").agg(*stats).collect()
             cuts = {parts[r["part"]]: sorted({r["lo"], *r["cuts"]}) for r in got}
         # bucket i holds the values above cut i - 1 up to cut i
-        bucket = _choice(parts, lambda i: F.size(F.filter(F.array(*map(F.lit, cuts[parts[i]])), lambda x: x < F.col("v"))))
-        counted = (long.select("v", at.alias("part"), bucket.alias("b")).where("part is not null").groupBy("part", "b")
+        counted = (_within(long, [(i, *p, cuts[p]) for i, p in enumerate(parts)])
+                   .groupBy("part", F.size(F.filter("cuts", lambda x: x < F.col("v"))).alias("b"))
                    .agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect())
         by_part: dict = {}
         for r in sorted(counted, key=lambda r: r["b"]):
@@ -66,11 +86,8 @@ def exact_quantiles(df: DataFrame, columns: list[str], probs: list[float]) -> di
                 wanted[w] -= end - n
                 part_of[w] = (w[0], lo, hi)
         cuts = {}
-    out: dict[str, list[float | None]] = {}
-    for c in columns:
-        if c not in first:
-            out[c] = [None] * len(probs)
-            continue
-        h = [(first[c]["n"] - 1) * q for q in probs]
+    out: dict[str, list[float]] = {}
+    for c, r in first.items():
+        h = [(r["n"] - 1) * q for q in probs]
         out[c] = [found[c, math.floor(x)] + (found[c, math.ceil(x)] - found[c, math.floor(x)]) * (x - math.floor(x)) for x in h]
     return out

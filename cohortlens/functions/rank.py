@@ -4,7 +4,7 @@ An unpartitioned (or two-class) window sends every row to one or two tasks.
 Instead:
 
 1. assign each row a *bucket* that is monotone in the sort order
-   (leading hex digits of an md5 key, or ``floor(score * B)``);
+   (leading hex digits of an md5 key, or the power of two of a score);
 2. aggregate per (group, bucket) -- a table bounded by groups x buckets;
 3. prefix-sum that small table with a window partitioned by group;
 4. broadcast the per-bucket offsets (bounded, see 2) back to the rows;
@@ -21,7 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 HEX_DIGITS = 4              # 65,536 hash buckets: ~1.5M rows per window group at 1e11 rows
-SCORE_BUCKETS = 1 << 14     # score buckets on [0, 1]
+OCTAVE_BUCKETS = 256        # score buckets per power of two of the score, or of 1 - score above 0.5
+SMALLEST = 2.0 ** -60       # smaller distances to 0 or 1 share a bucket
 
 
 def hash_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
@@ -33,10 +34,18 @@ def hash_bucket(h: Column, digits: int = HEX_DIGITS) -> Column:
     return F.conv(F.substring(h, 1, digits), 16, 10).cast("int")
 
 
-def score_bucket_desc(score: Column, buckets: int = SCORE_BUCKETS) -> Column:
-    """Bucket ascending in *descending* score order, for scores in [0, 1]."""
-    clipped = F.least(F.greatest(score.cast("double"), F.lit(0.0)), F.lit(1.0))
-    return (F.lit(buckets) - F.floor(clipped * buckets)).cast("int")
+def score_bucket_desc(score: Column, per_octave: int = OCTAVE_BUCKETS) -> Column:
+    """Bucket ascending in *descending* score order, for scores in [0, 1].
+
+    Buckets are logarithmic towards both ends, so scores of rare (or nearly
+    certain) events spread over as many tasks as others do; there are at most
+    ``120 * per_octave``. A null or NaN score fails the job.
+    """
+    s = F.least(F.greatest(score.cast("double"), F.lit(0.0)), F.lit(1.0))
+    low = F.floor(F.log2(F.greatest(s, F.lit(SMALLEST))) * per_octave)
+    high = -F.floor(F.log2(F.greatest(F.lit(1.0) - s, F.lit(SMALLEST))) * per_octave)
+    bucket = (-F.when(s < 0.5, low).otherwise(high)).cast("int")
+    return F.when(score.isNull() | F.isnan(score.cast("double")), F.raise_error(F.lit("a score is null or NaN"))).otherwise(bucket)
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

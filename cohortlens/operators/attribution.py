@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import quartiles, safe_corr
+from cohortlens.functions.exprs import safe_corr
+from cohortlens.functions.quantile import group_key, quartiles_by
 from cohortlens.operators.split import uniform_sample
 
 MAX_BACKGROUND = 1000     # the background is shipped to every task as a literal
@@ -167,12 +168,13 @@ def global_importance(phi: DataFrame, top_n: int = 20) -> DataFrame:
     return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= top_n)
 
 
-def impact_distribution(phi: DataFrame, exact: bool = True) -> DataFrame:
+def impact_distribution(phi: DataFrame) -> DataFrame:
     """Per-feature phi quantiles and the phi-value correlation (beeswarm data)."""
-    return phi.groupBy("feature").agg(
-        F.count(F.lit(1)).alias("n"), F.min("phi").alias("phi_min"),
-        quartiles(F.col("phi"), exact).alias("phi_q"), F.max("phi").alias("phi_max"),
-        safe_corr(F.col("value"), F.col("phi")).alias("value_phi_corr"))
+    g = phi.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.min("phi").alias("phi_min"), F.max("phi").alias("phi_max"),
+        safe_corr(F.col("value"), F.col("phi")).alias("value_phi_corr")).withColumn("__key", group_key(["feature"]))
+    return g.join(quartiles_by(phi, ["feature"], "phi"), "__key", "left").select(
+        "feature", "n", "phi_min", F.col("q").alias("phi_q"), "phi_max", "value_phi_corr")
 
 
 def dependence_pairs(phi: DataFrame, top_n: int = 4) -> DataFrame:

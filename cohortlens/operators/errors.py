@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import quartiles
+from cohortlens.functions.quantile import group_key, quartiles_by
 from cohortlens.operators.align import reindex_domain
 
 GROUPS = ["TP", "TN", "FP", "FN"]
@@ -39,16 +39,16 @@ def group_means(grouped: DataFrame, columns: list[str]) -> DataFrame:
     return reindex_domain(g, "group", GROUPS, fill={"n": 0})
 
 
-def group_distributions(grouped: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+def group_distributions(grouped: DataFrame, columns: list[str]) -> DataFrame:
     """Per (group, feature): n, min, quartiles, max (violin + inner box data)."""
     long = grouped.select("group", F.inline(F.array(*[
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value"))
         for c in columns])))
-    q = long.groupBy("group", "feature").agg(
-        F.count("value").alias("n"), F.min("value").alias("min"),
-        quartiles(F.col("value"), exact).alias("__q"), F.max("value").alias("max"))
-    return q.select("group", "feature", "n", "min", F.col("__q")[0].alias("q1"),
-                    F.col("__q")[1].alias("median"), F.col("__q")[2].alias("q3"), "max")
+    keys = ["group", "feature"]
+    q = long.groupBy(*keys).agg(F.count("value").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"))
+    q = q.withColumn("__key", group_key(keys)).join(quartiles_by(long, keys, "value"), "__key", "left")
+    return q.select("group", "feature", "n", "min", F.col("q")[0].alias("q1"),
+                    F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"), "max")
 
 
 def scatter_grid(grouped: DataFrame, x: str, y: str) -> DataFrame:
@@ -85,10 +85,12 @@ def category_share(grouped: DataFrame, column: str) -> DataFrame:
     sub = grouped.where(F.col("group").isin("FP", "FN"))
     c = sub.groupBy(F.col(column).alias("level")).pivot("group", ["FP", "FN"]).agg(
         F.count(F.lit(1)))
-    everything = Window.partitionBy(F.lit(0))      # over the per-level rows only
+    totals = sub.groupBy(F.lit(0).alias("__k")).agg(F.count_if(F.col("group") == "FP").alias("__fp"),
+                                                    F.count_if(F.col("group") == "FN").alias("__fn"))
+    c = c.withColumn("__k", F.lit(0)).join(F.broadcast(totals), "__k")       # one row
     fp, fn = F.coalesce("FP", F.lit(0)), F.coalesce("FN", F.lit(0))
     return c.select("level",
-                    F.coalesce(F.try_divide(fp, F.sum(fp).over(everything)), F.lit(0.0))
+                    F.coalesce(F.try_divide(fp, F.col("__fp")), F.lit(0.0))
                     .alias("fp_share"),
-                    F.coalesce(F.try_divide(fn, F.sum(fn).over(everything)), F.lit(0.0))
+                    F.coalesce(F.try_divide(fn, F.col("__fn")), F.lit(0.0))
                     .alias("fn_share"))

@@ -14,8 +14,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.functions.exprs import (is_missing, numeric_columns, quartiles, safe_corr,
-                                        string_columns)
+from cohortlens.functions.exprs import is_missing, numeric_columns, safe_corr, string_columns
+from cohortlens.functions.quantile import exact_quantiles, group_key, quartiles_by
 
 
 MAX_AGG_EXPRESSIONS = 500   # per aggregate: keeps generated code under the JVM method limits
@@ -57,24 +57,25 @@ def overview(df: DataFrame) -> DataFrame:
         for i, (c, t) in enumerate((f.name, f.dataType) for f in df.schema.fields)]))
 
 
-def describe_numeric(df: DataFrame, columns: list[str], exact: bool = True) -> DataFrame:
+def describe_numeric(df: DataFrame, columns: list[str]) -> DataFrame:
     """Numeric half of A2: one wide aggregate per chunk of columns; quartiles exact (linear)."""
-    return _union_all([_describe_numeric_chunk(df, chunk, exact) for chunk in _chunks(columns, 6)])
+    return _union_all([_describe_numeric_chunk(df, chunk) for chunk in _chunks(columns, 5)])
 
 
-def _describe_numeric_chunk(df: DataFrame, columns: list[str], exact: bool) -> DataFrame:
+def _describe_numeric_chunk(df: DataFrame, columns: list[str]) -> DataFrame:
+    quarts = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
     aggs = []
     for i, c in enumerate(columns):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"m{i}"),
                  F.stddev_samp(x).alias(f"s{i}"), F.min(x).alias(f"lo{i}"),
-                 quartiles(x, exact).alias(f"q{i}"), F.max(x).alias(f"hi{i}")]
+                 F.max(x).alias(f"hi{i}")]
     wide = df.agg(*aggs)
     return wide.select(_inline([
         F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
                  F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("std"),
-                 F.col(f"lo{i}").alias("min"), F.col(f"q{i}")[0].alias("p25"),
-                 F.col(f"q{i}")[1].alias("p50"), F.col(f"q{i}")[2].alias("p75"),
+                 F.col(f"lo{i}").alias("min"),
+                 *(F.lit(q).cast("double").alias(p) for q, p in zip(quarts[c], ("p25", "p50", "p75"))),
                  F.col(f"hi{i}").alias("max"))
         for i, c in enumerate(columns)]))
 
@@ -97,13 +98,13 @@ def describe_strings(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def describe_all(df: DataFrame, exclude=("row_id",), exact: bool = True) -> DataFrame:
+def describe_all(df: DataFrame, exclude=("row_id",)) -> DataFrame:
     """A2: count, unique, top, freq, mean, std, min, quartiles, max per column."""
     num = numeric_columns(df, exclude=exclude)
     strs = string_columns(df, exclude=exclude)
     parts = []
     if num:
-        parts.append(describe_numeric(df, num, exact).select(
+        parts.append(describe_numeric(df, num).select(
             "column", "count", F.lit(None).cast("bigint").alias("unique"),
             F.lit(None).cast("string").alias("top"), F.lit(None).cast("bigint").alias("freq"),
             "mean", "std", "min", "p25", "p50", "p75", "max"))
@@ -164,11 +165,10 @@ def target_rate_by_group(df: DataFrame, target: Column, columns: list[str]) -> D
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level"))
         for c in columns]))
     g = long.groupBy("column", "level").agg(F.count("*").alias("n"), F.sum("__y").alias("pos"))
-    w = Window.partitionBy("column")   # over the aggregated (column, level) rows only
+    overall = long.groupBy("column").agg((F.sum("__y") / F.count("*")).alias("overall_rate"))
     # null levels count toward the overall rate but get no row of their own
-    return (g.select("column", "level", "n", (F.col("pos") / F.col("n")).alias("rate"),
-                     (F.sum("pos").over(w) / F.sum("n").over(w)).alias("overall_rate"))
-            .where(F.col("level").isNotNull()))
+    return (g.where(F.col("level").isNotNull()).join(F.broadcast(overall), "column")      # a row per column
+            .select("column", "level", "n", (F.col("pos") / F.col("n")).alias("rate"), "overall_rate"))
 
 
 # ------------------------------------------------------------------ A8 / A9 histogram + density
@@ -207,27 +207,15 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     return dom.join(counts, ["column", "bin"], "left").fillna(0, subset=["n"])
 
 
-def density(df: DataFrame, columns: list[str], grid: int = 200,
-            max_points: int = 1 << 16) -> DataFrame:
+def density(df: DataFrame, columns: list[str], grid: int = 200) -> DataFrame:
     """Gaussian KDE (Scott bandwidth, sample std) on ``grid`` points over [min, max].
 
     Works from pre-aggregated (column, value, count) rows, so the kernel sum
-    costs distinct-values x grid, independent of the row count. A column with
-    more than ``max_points`` distinct values is first binned to ``max_points``
-    equal-width bins (binned KDE), keeping the work bounded.
+    costs distinct-values x grid, with one partial
+    sum per grid point and task; the definition is the same at every size.
     """
     vals = unpivot_values(df, columns).where(F.col("value").isNotNull() & ~F.isnan("value"))
     vc = vals.groupBy("column", "value").agg(F.count("*").alias("c"))
-    card = vc.groupBy("column").agg(F.count("*").alias("__d"), F.min("value").alias("__lo"),
-                                    F.max("value").alias("__hi"))
-    wide = card.where(F.col("__d") > max_points)       # one row per column: broadcast
-    width = (F.col("__hi") - F.col("__lo")) / max_points
-    binned = (vc.join(F.broadcast(wide), "column", "left")
-              .select("column", F.when(F.col("__d").isNull(), F.col("value"))
-                      .otherwise(F.col("__lo") + (F.least(F.floor((F.col("value") - F.col("__lo"))
-                                                                   / width), F.lit(max_points - 1))
-                                                  + 0.5) * width).alias("value"), "c"))
-    vc = binned.groupBy("column", "value").agg(F.sum("c").alias("c"))
     st = vc.groupBy("column").agg(
         F.sum("c").alias("n"),
         (F.sum(F.col("c") * F.col("value")) / F.sum("c")).alias("mu"),
@@ -273,20 +261,18 @@ def discrete_distribution(df: DataFrame, columns: list[str]) -> DataFrame:
     """Value counts per column with the share of zeros."""
     vals = unpivot_values(df, columns, "bigint").where(F.col("value").isNotNull())
     vc = vals.groupBy("column", "value").agg(F.count("*").alias("n"))
-    w = Window.partitionBy("column")
-    return vc.select("column", "value", "n",
-                     (F.sum(F.when(F.col("value") == 0, F.col("n")).otherwise(0)).over(w)
-                      / F.sum("n").over(w) * 100).alias("pct_zero"))
+    zero = vals.groupBy("column").agg((F.count_if(F.col("value") == 0) / F.count("*") * 100).alias("pct_zero"))
+    return vc.join(F.broadcast(zero), "column").select("column", "value", "n", "pct_zero")      # a row per column
 
 
 # ------------------------------------------------------------------ A13 box statistics
-def box_stats(df: DataFrame, target: Column, columns: list[str], exact: bool = True) -> DataFrame:
+def box_stats(df: DataFrame, target: Column, columns: list[str]) -> DataFrame:
     """Quartiles, 1.5*IQR fences and whisker ends per (feature, target)."""
     long = (unpivot_values(df, columns, extra=[target.alias("target")])
             .where(F.col("value").isNotNull()))
-    q = long.groupBy("column", "target").agg(
-        F.count("*").alias("n"), quartiles(F.col("value"), exact).alias("q"))
-    q = q.select("column", "target", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
+    groups = ["column", "target"]
+    q = long.groupBy(*groups).agg(F.count("*").alias("n")).withColumn("__key", group_key(groups))
+    q = q.join(quartiles_by(long, groups, "value"), "__key", "left").select("column", "target", "n", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3"))
     fences = q.select("column", "target",
                       (F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))).alias("f_lo"),

@@ -26,12 +26,11 @@ raw AS (
          li.n_medications, coalesce(li.n_outpatient, 0) AS n_outpatient,
          coalesce(li.n_inpatient, 0) AS n_inpatient, coalesce(li.n_emergency, 0) AS n_emergency,
          o.o_orderpriority AS medical_specialty, c.c_mktsegment, n.n_name, li.min_returnflag,
-         o.o_orderstatus AS readmitted
+         CASE WHEN o.o_orderstatus = 'F' THEN 'F' WHEN o.o_orderstatus IS NOT NULL THEN 'O' END AS readmitted
   FROM orders o
   LEFT JOIN li ON li.l_orderkey = o.o_orderkey
   LEFT JOIN customer c ON c.c_custkey = o.o_custkey
-  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey
-  WHERE o.o_orderstatus IN ('F', 'O'))"""
+  LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)"""
 
 NORM_TARGET = r"lower(regexp_replace(readmitted, '^\s+|\s+$', '', 'g'))"
 

@@ -77,7 +77,7 @@ SELECT row_id, round(time_in_hospital, 6) AS time_in_hospital,
        round(n_medications_x_time_in_hospital, 6) AS n_medications_x_time_in_hospital,
        {", ".join('"' + c + "_" + v + '"' for c, lv in _lv.items() for v in lv[1:])},
        CAST(0 AS TINYINT) AS absent_feature
-FROM enc WHERE n_name_NATION_3 = 1""")
+FROM enc""")
 SQL["E5_unseen_levels"] = with_(FEATURES, """,
 tr AS (SELECT * FROM feats WHERE c_mktsegment <> 'MACHINERY'
        AND n_name NOT IN ('NATION_7', 'NATION_24')),
@@ -93,13 +93,12 @@ SELECT * FROM obs EXCEPT SELECT * FROM fit""".replace("feats),\n,", "feats),", 1
 SQL["J2_aligned_assembly"] = with_(BINDING, """,
 pos AS (SELECT n_name, count(*) AS n_pos FROM raw WHERE readmitted = 'F' GROUP BY n_name),
 neg AS (SELECT n_name, count(*) AS n_neg FROM raw
-        WHERE readmitted = 'O' AND c_mktsegment <> 'BUILDING' GROUP BY n_name)
+        WHERE readmitted = 'O' GROUP BY n_name)
 SELECT coalesce(pos.n_name, neg.n_name) AS n_name, coalesce(n_pos, 0) AS n_pos,
        coalesce(n_neg, 0) AS n_neg
 FROM pos FULL OUTER JOIN neg ON pos.n_name = neg.n_name""".lstrip(",").replace("\npos AS", ",\npos AS", 1))
 SQL["J3_domain_reindex"] = with_(CLEAN, """,
-r AS (SELECT age, count(*) AS n, avg(readmitted) AS rate FROM mapped WHERE n_inpatient >= 3
-      GROUP BY age),
+r AS (SELECT age, count(*) AS n, avg(readmitted) AS rate FROM mapped GROUP BY age),
 dom(position, age) AS (VALUES (0, '1-URGENT'), (1, '2-HIGH'), (2, '3-MEDIUM'),
       (3, '4-NOT SPECIFIED'), (4, '5-LOW'), (5, '6-UNLISTED'))
 SELECT CAST(dom.position AS INTEGER) AS position, dom.age, coalesce(r.n, 0) AS n,

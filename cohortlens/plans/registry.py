@@ -225,13 +225,13 @@ def q_enc_gate(spark, sf):
 
 @register("E4_schema_alignment")
 def q_align(spark, sf):
-    """A one-nation scoring batch encoded with the full-data levels, aligned to
+    """A scoring batch without target, encoded with fitted levels and aligned to
     the training feature list plus one column the batch cannot have."""
     f = feats(spark, sf)
     lv = fitted_levels(f)
     expected = [c for c in EN.encode_features(f, lv, SPEC.target).columns
                 if c not in ("row_id", SPEC.target, "specialty_known")] + ["absent_feature"]
-    batch = f.filter(F.col("n_name") == "NATION_3").drop(SPEC.target)
+    batch = f.drop(SPEC.target)
     return EN.encode_features(batch, lv, SPEC.target, expected=expected)
 
 
@@ -249,14 +249,13 @@ def q_unseen(spark, sf):
 def q_assemble(spark, sf):
     r = raw(spark, sf)
     pos = r.filter(F.col("readmitted") == "F").groupBy("n_name").agg(F.count("*").alias("n_pos"))
-    neg = (r.filter((F.col("readmitted") == "O") & (F.col("c_mktsegment") != "BUILDING"))
-           .groupBy("n_name").agg(F.count("*").alias("n_neg")))
+    neg = r.filter(F.col("readmitted") == "O").groupBy("n_name").agg(F.count("*").alias("n_neg"))
     return J.assemble(pos, neg, "n_name", 0)
 
 
 @register("J3_domain_reindex")
 def q_reindex(spark, sf):
-    r = mapped(spark, sf).filter(F.col("n_inpatient") >= 3)
+    r = mapped(spark, sf)
     rates = r.groupBy("age").agg(F.count("*").alias("n"), F.avg(SPEC.target).alias("rate"))
     domain = [k for k, _ in SPEC.ordinal_map] + ["6-UNLISTED"]
     return J.reindex_domain(rates, "age", domain, fill={"n": 0})

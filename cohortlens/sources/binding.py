@@ -1,6 +1,6 @@
 """Bind the driver's star-schema tables to the clinical table shape.
 
-One row per order with status F or O:
+One row per order, whatever its status:
 
   row_id            o_orderkey
   age               o_orderpriority (ordered bracket, 5 levels)
@@ -12,7 +12,8 @@ One row per order with status F or O:
   time_in_hospital  max line number (null for orders without lines)
   n_medications     sum of line quantities (null for orders without lines)
   min_returnflag    smallest return flag of the order (null without lines)
-  readmitted        o_orderstatus, ``F`` positive / ``O`` negative (raw text)
+  readmitted        ``F`` for finished orders (positive), ``O`` for all other statuses (raw text);
+                    null where the status is null
 
 Plan shape: lineitem is pre-aggregated by order key (partial aggregation on
 the map side) before it meets orders, so the big join is 1:1 on the order key;
@@ -22,7 +23,7 @@ when their measured size is under the threshold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.sources.tables import read_table
@@ -44,9 +45,14 @@ def line_counts(lineitem: DataFrame) -> DataFrame:
     return agg.withColumn("min_returnflag", F.expr("chr(__min_flag)")).drop("__min_flag")
 
 
+def order_label() -> Column:
+    """``F`` against all other statuses; a null status has no label."""
+    status = F.col("o_orderstatus")
+    return F.when(status == "F", "F").when(status.isNotNull(), "O")
+
+
 def orders_patient_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (read_table(spark, sf_dir, "orders")
-              .filter(F.col("o_orderstatus").isin("F", "O"))
               .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority"))
     lines = line_counts(read_table(spark, sf_dir, "lineitem"))
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey",
@@ -68,12 +74,12 @@ def orders_patient_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_mktsegment",
         "n_name",
         "min_returnflag",
-        F.col("o_orderstatus").alias("readmitted"),
+        order_label().alias("readmitted"),
     )
 
 
 def documents_labelled_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second binding: labelled documents (inner join loses unlabelled docs).
+    """Second binding: labelled documents; documents without a label are left out (a supervised table).
 
     ``quality`` is the 0/1 target, ``lang`` / ``source`` are categoricals and
     ``n_chars`` plus the toxic flag are numeric features.

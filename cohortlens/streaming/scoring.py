@@ -9,13 +9,15 @@ and meet the static dimension/line tables through stream-static joins.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.clean import Imputer
 from cohortlens.operators.encode import Levels
 from cohortlens.operators.features import create_features
-from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.session import ensure_checkpoint_dir, materialize
 from cohortlens.sources.binding import line_counts
 from cohortlens.sources.tables import read_table
 from cohortlens.spec import Spec
@@ -39,17 +41,17 @@ def score_frame(df: DataFrame, spec: Spec, imputer: Imputer, levels: Levels,
 def order_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Orders as a file stream, bound to the patient shape with stream-static joins."""
     schema = read_table(spark, sf_dir, "orders").schema
-    # a file stream watches a folder: new order files matching the table name are picked up
+    # the pattern takes single files and folders of part files; new ones are picked up
     orders = (spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", "orders*.parquet").parquet(sf_dir)
-              .where(F.col("o_orderstatus").isin("F", "O")))
-    lines = line_counts(read_table(spark, sf_dir, "lineitem"))
+              .parquet(os.path.join(sf_dir, "orders*.parquet")))
+    # written once, not aggregated anew for every micro-batch
+    lines = materialize(line_counts(read_table(spark, sf_dir, "lineitem")), mode="table")
     customer = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey",
                                                              "c_mktsegment")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     j = (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-         .join(customer, orders.o_custkey == customer.c_custkey)
-         .join(nation, customer.c_nationkey == nation.n_nationkey))
+         .join(customer, orders.o_custkey == customer.c_custkey, "left")
+         .join(nation, customer.c_nationkey == nation.n_nationkey, "left"))
     return j.select(
         F.col("o_orderkey").alias("row_id"), F.col("o_orderpriority").alias("age"),
         "time_in_hospital", "n_medications",

@@ -342,3 +342,50 @@ def test_nulls_that_no_rule_fills_are_refused(spark):
     df = spark.createDataFrame([(1, 1.0, True, "F"), (2, 2.0, None, "O")], f"row_id long, x double, flag boolean, {spec.target} string")
     with pytest.raises(ValueError, match="flag"):
         C.clean_data(df, spec)
+
+
+def test_null_scores_are_refused(spark):
+    from cohortlens.operators.metrics import ranking_metrics
+    frame = spark.createDataFrame([("m", "val", 1, 0.4), ("m", "val", 0, None)], "model string, split string, label int, score double")
+    assert "a score is null" in _spark_error(lambda: ranking_metrics(frame).collect())
+
+
+def test_rare_event_scores_spread_over_buckets(spark):
+    from pyspark.sql import functions as F
+
+    from cohortlens.functions.rank import score_bucket_desc
+    scores = spark.range(1, 100_001).select((F.col("id") / 2e9).alias("s")).select("s", score_bucket_desc(F.col("s")).alias("b"))
+    assert scores.select("b").distinct().count() > 1000
+    ends = spark.createDataFrame([(x,) for x in (0.0, 1e-30, 1e-6, 0.3, 0.5, 0.7, 1 - 1e-9, 1.0)], "s double")
+    got = [r.b for r in ends.orderBy("s").select(score_bucket_desc(F.col("s")).alias("b")).collect()]
+    assert got == sorted(got, reverse=True)
+
+
+def test_orders_of_every_status_are_bound(spark):
+    from cohortlens.sources.binding import orders_patient_frame
+    from tests.conftest import SMOKE
+    got = orders_patient_frame(spark, SMOKE)
+    assert got.count() == spark.read.parquet(f"{SMOKE}/orders.parquet").count()
+    assert {r.readmitted for r in got.select("readmitted").distinct().collect()} == {"F", "O"}
+
+
+def test_order_stream_reads_folders_of_part_files(spark, tmp_path):
+    from cohortlens.streaming.scoring import order_stream, run_to_table
+    from tests.conftest import SMOKE
+    for t in ("orders", "lineitem", "customer", "nation"):
+        spark.read.parquet(f"{SMOKE}/{t}.parquet").repartition(2).write.parquet(str(tmp_path / f"{t}.parquet"))
+    got = run_to_table(order_stream(spark, str(tmp_path)), "folder")
+    assert got.count() == spark.read.parquet(f"{SMOKE}/orders.parquet").count()
+
+
+def test_quartiles_by_group_equal_numpy_nulls_included(spark):
+    import numpy as np
+
+    from cohortlens.functions.quantile import group_key, quartiles_by
+    rows = [("a", i % 3 or None, float((i * 7919) % 1013)) for i in range(3000)] + [("b", None, None)]
+    long = spark.createDataFrame(rows, "c string, t int, v double")
+    got = {r["k"]: r["q"] for r in long.select("c", "t", group_key(["c", "t"]).alias("k")).distinct()
+           .join(quartiles_by(long, ["c", "t"], "v").withColumnRenamed("__key", "k"), "k").collect()}
+    assert len(got) == 3
+    for k, t in (('{"c":"a","t":1}', 1), ('{"c":"a","t":2}', 2), ('{"c":"a"}', None)):
+        assert np.allclose(got[k], np.percentile([v for c, x, v in rows if c == "a" and x == t], [25, 50, 75]))
