@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds find places, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds find places, Smith-Waterman alignment scores them.
 
-The items' word n-grams are looked up in every text. One pass counts in how
-many texts each occurs; the second starts from the rare ones. Around each
-seed the passage is aligned to the item word by word, so copies with changed,
-missing or added words still score.
+The items' word n-grams are looked up in every text, and each one that occurs
+is a seed, however common it is: edits can leave a copy none but common ones.
+Around the seeds the passage is aligned to the item word by word, so copies
+with changed, missing or added words still score. A passage is skipped only
+where it holds too few of the item's words to reach the threshold.
 
 Items travel to the tasks in slices of at most ``SLICE_BYTES``: a benchmark
 that is larger is searched slice by slice, with the same result.
@@ -25,8 +26,6 @@ from cohortlens.llm.common import stored
 SEED_WORDS = 3
 #: Items of fewer words do not tell a leak from common speech and match nothing.
 LEAST_WORDS = 5
-#: Seeds are used that are in at most this share of the texts, or in the rarer half of their item.
-RARE_SHARE = 0.001
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Share of an item's best possible alignment score that makes a leak.
 THRESHOLD = 0.5
@@ -82,18 +81,6 @@ class Items:
         at = at[at + SEED_WORDS <= end]
         return at, k[at]
 
-    def rare(self, df: np.ndarray, texts: int) -> Items:
-        """Only the seeds that are rare, with at least the rarer half of each item's."""
-        use = np.zeros(len(self.item), dtype=bool)
-        place_df = df[np.repeat(np.arange(len(self.seeds)), np.diff(self.at))]
-        use |= place_df <= RARE_SHARE * texts
-        for i in range(len(self.ids)):
-            mine = np.flatnonzero(self.item == i)
-            use[mine[np.argsort(place_df[mine], kind="stable")[:-(-len(mine) // 2)]]] = True
-        seed = np.repeat(np.arange(len(self.seeds)), np.diff(self.at))[use]
-        kept, at = np.unique(seed, return_index=True)
-        return Items(self.ids, self.words, self.seeds[kept], np.append(at, len(seed)), self.item[use], self.pos[use])
-
 
 def align(item: np.ndarray, passage: np.ndarray) -> tuple[int, int, int]:
     """Best local alignment of two word sequences: score, start and end in the passage."""
@@ -127,7 +114,8 @@ def _leaks(items: Items, words: np.ndarray, at: np.ndarray, seed: np.ndarray, th
     lo = 0
     while lo < len(item):
         own = items.words[item[lo]]
-        slack = len(own) // 2 + 2
+        # an alignment that reaches the threshold adds at most so many words to the item's
+        slack = max(0, int(MATCH * len(own) * (1 - threshold)))
         hi, best = lo, None
         while hi < len(item) and item[hi] == item[lo]:
             begin = hi
@@ -146,35 +134,10 @@ def _leaks(items: Items, words: np.ndarray, at: np.ndarray, seed: np.ndarray, th
 
 
 def _slice(docs: DataFrame, items: Items, threshold: float) -> DataFrame:
-    spark = docs.sparkSession
-    all_items = spark.sparkContext.broadcast(items)
-
-    def count(batches):
-        items = all_items.value
-        total, texts = np.zeros(len(items.seeds), dtype=np.int64), 0
-        for batch in batches:
-            data, off = _words(batch.column(1))
-            texts += batch.num_rows
-            for lo, hi in T.chunks(off):
-                words, first = _hashed(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
-                at, seed = items.hits(words, first)
-                doc = np.searchsorted(first, at, side="right")
-                pairs = np.unique(doc * len(items.seeds) + seed) if len(at) else np.empty(0, np.int64)
-                np.add.at(total, pairs % max(1, len(items.seeds)), 1)
-        found = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(np.append(found, -1)), pa.array(np.append(total[found], texts))], names=["seed", "n"])
-
-    rows = docs.mapInArrow(count, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).toArrow().to_pydict()
-    df, texts = np.zeros(len(items.seeds), dtype=np.int64), 0
-    for seed, n in zip(rows["seed"], rows["n"]):
-        if seed < 0:
-            texts = n
-        else:
-            df[seed] = n
-    rare = spark.sparkContext.broadcast(items.rare(df, texts))
+    all_items = docs.sparkSession.sparkContext.broadcast(items)
 
     def search(batches):
-        items = rare.value
+        items = all_items.value
         for batch in batches:
             data, off = _words(batch.column(1))
             out = [[], [], [], [], []]

@@ -209,6 +209,20 @@ def test_leaks_with_edits_are_found_and_clean_texts_left(spark):
     assert decontam.leaks(empty(spark), bench).count() == 0 and decontam.leaks(documents(spark, rows), bench.where("1 = 0")).count() == 0
 
 
+def test_copies_with_only_common_seeds_are_found(spark):
+    item, other = words(30, 79, 10**6), words(20, 80, 10**6)
+    edited = [f"x{i}" if i % 6 == 5 else w for i, w in enumerate(item)]                 # 3-grams in every copy only
+    spread = [x for w in other for x in (w, "um")][:8] + other[4:7] + [x for w in other[7:] for x in (w, "um")]
+    hot = [(i, " ".join(words(40, i) + edited + words(10, 500 + i)), "en", "a") for i in range(300)]
+    hot += [(300 + i, " ".join(words(30, 900 + i) + item), "en", "a") for i in range(40)] + [(400, " ".join(spread), "en", "a"), (401, " ".join(words(90, 7)), "en", "a")]
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(other))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["score"] for r in decontam.leaks(documents(spark, hot), bench).collect()}
+    want = {(d, i): s for d, t, *_ in hot for i, x in ((1, item), (2, other)) if (s := brute_alignment(x, t.split()) / (2 * len(x))) >= decontam.THRESHOLD}
+    assert got == want and len(got) == 341
+    lone = decontam.leaks(documents(spark, [hot[0], hot[-1]]), bench).collect()
+    assert [(r["doc_id"], r["item_id"]) for r in lone] == [(0, 1)]
+
+
 def test_a_large_benchmark_is_searched_in_slices(spark, monkeypatch):
     docs, bench = (spark.read.parquet(f"{SMOKE}/{t}.parquet") for t in ("documents", "benchmark"))
     whole = sorted(decontam.leaks(docs, bench).select("doc_id", "item_id").collect())
