@@ -2,8 +2,10 @@
 
 Numbers and dates that pass validation are permuted by a keyed Feistel network
 within their format: a card number stays one with a valid check digit, a phone
-number keeps its punctuation and stays dialable, an address stays four octets, a
-date stays a date. The permutation depends on key and kind only, so equal
+number keeps its punctuation and country code, an address stays four octets, a
+date stays a date. Phone numbers count as such by their format (country code,
+brackets, separators), whatever their digits; a run of ten digits alone only
+with valid area and exchange codes. The permutation depends on key and kind only, so equal
 values get equal pseudonyms in every document, and the key holder can invert.
 
 A Feistel network here alternates between two halves: each round adds a keyed
@@ -26,9 +28,23 @@ _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9
 _ISO = r"(?<![0-9./-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9/-])"
 _DAY_FIRST = r"(?<![0-9./-])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9/-])"
 _IP = r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"
-_PHONE = r"(?:(?<![0-9A-Za-z+])\+?1[ .-]?)?(?<![0-9A-Za-z])\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9A-Za-z])"
 _SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 _CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
+#: Where a phone number does not go on over a separator.
+_OTHER = f"(?:{_ISO}|{_DAY_FIRST}|{_IP}|{_SSN}|{_CARD})"
+_GAP = rf"(?:(?:[ ./-]?\(|\)[ ./-]?|[ ./-])(?!{_OTHER}))?"
+#: Area, exchange and line: any digits where brackets or separators show the format, else valid first digits.
+_FORMATTED = r"(?:\([0-9]{3}\)[ .-]?[0-9]{3}[ .-]?|\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]|[0-9]{3}[ .-][0-9]{3})[0-9]{4}"
+_PHONE = "(?:" + "|".join((
+    rf"(?<![0-9+])(?:\+|00(?=1[ .-]))1[ .-]?(?:{_FORMATTED}|[0-9]{{10}})(?![0-9])",
+    rf"(?<![0-9+])\+[1-9](?:{_GAP}[0-9]){{6,14}}(?![0-9])",
+    rf"(?<![0-9A-Za-z+.,])00[1-9][0-9]{{0,2}}[ .-](?:{_GAP}[0-9]){{6,12}}(?![0-9A-Za-z])",
+    rf"(?<![0-9A-Za-z+])(?:1[ .-]?(?=\()|1[ .-])?{_FORMATTED}(?![0-9A-Za-z])",
+    r"(?<![0-9A-Za-z+.,_$#-])1?[2-9][0-9]{2}[2-9][0-9]{6}(?![0-9A-Za-z_-]|[.,][0-9])",
+    rf"(?<![0-9A-Za-z+.,/-])(?!{_OTHER}|[0-9]{{2}}-[0-9]{{2}}-[0-9]{{4}}|0[0-9]+(?![0-9 ./)-]))(?:0|\(0)[1-9](?=[0-9]{{0,3}}\)?[ ./-])(?:{_GAP}[0-9]){{7,10}}(?![0-9A-Za-z])",
+)) + ")"
+#: Country codes of one and two digits; the others have three.
+_COUNTRY = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 #: Kinds in the order in which they are tried at a place.
 KINDS = {"email": _EMAIL, "iso_date": _ISO, "date": _DAY_FIRST, "ip": _IP, "phone": _PHONE, "ssn": _SSN, "card": _CARD}
 ANY = "|".join(KINDS.values())
@@ -43,13 +59,14 @@ def _number(hexed: Column, at, n: int) -> Column:
 
 
 def _added(text: Column, hexed: Column) -> Column:
-    """Each digit and letter of ``text`` moved within its class by two hex digits of the hash."""
+    """Each digit and letter of ``text`` moved within its class by two hex digits of the hash; control codes stand for digits of smaller classes."""
     def move(c, i):
         by = F.conv(F.substr(hexed, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
         code = F.ascii(c)
         in_class = lambda first, size: F.chr(F.pmod(code - first + by, F.lit(size)) + first)
         return (F.when(code.between(48, 57), in_class(48, 10)).when(code.between(97, 122), in_class(97, 26))
-                .when(code.between(65, 90), in_class(65, 26)).otherwise(c))
+                .when(code.between(65, 90), in_class(65, 26)).when(code.between(1, 8), in_class(1, 8))
+                .when(code.between(14, 15), in_class(14, 2)).when(code.between(16, 24), in_class(16, 9)).otherwise(c))
     return F.array_join(F.transform(F.split(text, ""), move), "")
 
 
@@ -82,11 +99,18 @@ def _digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _refilled(v: Column, digits: Column) -> Column:
     """``v`` with its digits replaced in order by ``digits``."""
-    def fill(c, i):
-        return F.when(c.rlike("[0-9]"), F.substr(digits, F.length(_digits(F.substr(v, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
-    return F.array_join(F.transform(F.split(v, ""), fill), "")
+    def filled(new):
+        def fill(c, i):
+            return F.when(c.rlike("[0-9]"), F.substr(new, F.length(_digits(F.substr(v, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
+        return F.array_join(F.transform(F.split(v, ""), fill), "")
+    return _once(digits, filled)
 
 
 def _luhn_sum(digits: Column, doubled_from_right: int) -> Column:
@@ -104,12 +128,31 @@ def _card(v: Column, key: str) -> Column:
     return F.when(_luhn_sum(d, 1) % 10 == 0, _refilled(v, F.concat(body, check.cast("string"))))
 
 
+#: Digits that move among each other only: 2-9 and 0-1 where an area or exchange begins, 1-9 behind a trunk 0.
+_LEAD = "".join(map(chr, (14, 15, *range(1, 9))))
+_NO_ZERO = "".join(map(chr, range(16, 25)))
+
+
 def _phone(v: Column, key: str) -> Column:
-    d = _digits(v)
-    code, own = F.substr(d, F.lit(1), F.length(d) - 10), F.substr(d, F.length(d) - 9, F.lit(10))
-    free = permuted_text(F.concat(F.substr(own, F.lit(2), F.lit(2)), F.substr(own, F.lit(5), F.lit(6))), key, "phone")
-    return _refilled(v, F.concat(code, F.substr(own, F.lit(1), F.lit(1)), F.substr(free, F.lit(1), F.lit(2)),
-                                 F.substr(own, F.lit(4), F.lit(1)), F.substr(free, F.lit(3), F.lit(6))))
+    """Country code and trunk 0 stay, all other digits move; a valid area or exchange code stays valid."""
+    nation, plain = F.lit("nation"), F.lit("plain")
+
+    def parts(d):
+        kind = F.when(v.rlike(r"^(?:\+|00)"), F.when(d.rlike("^(?:00)?1[0-9]{10}$"), plain).otherwise(nation)).when(
+            d.rlike("^1[0-9]{10}$") | v.rlike(f"^(?:{_FORMATTED}|[0-9]{{10}})$"), plain).otherwise(F.lit("trunk"))
+        return _once(kind, lambda kind: _once(
+            F.when(kind == nation, F.length(F.regexp_extract(d, rf"^(?:00)?{_COUNTRY}", 0)) + F.when(v.rlike(r"^[+0-9]+[ .-]?\(0\)"), 1).otherwise(0))
+            .when(kind == plain, F.length(d) - 10).otherwise(1),
+            lambda n: F.struct(kind.alias("kind"), F.substr(d, F.lit(1), n).alias("code"), F.substr(d, n + 1, F.length(d)).alias("own"))))
+
+    def moved(p):
+        at = lambda i, n: F.substr(p["own"], F.lit(i), F.lit(n))
+        lead = lambda i: F.translate(at(i, 1), "0123456789", _LEAD)
+        classed = F.when(p["kind"] == nation, p["own"]).when(p["kind"] == plain, F.concat(lead(1), at(2, 2), lead(4), at(5, 6))).otherwise(
+            F.concat(F.translate(at(1, 1), "123456789", _NO_ZERO), at(2, 20)))
+        return F.concat(p["code"], _once(classed, lambda x: F.translate(permuted_text(x, key, "phone"), _LEAD + _NO_ZERO, "0123456789123456789")))
+
+    return _refilled(v, _once(_once(_digits(v), parts), moved))
 
 
 def _ssn(v: Column, key: str) -> Column:

@@ -173,6 +173,26 @@ def test_pseudonyms_keep_format_and_links(spark):
     assert pii.pseudonymise(empty(spark)).count() == 0
 
 
+def test_phones_of_any_digits_and_formats_are_pseudonymised(spark):
+    numbers = ["+1 (017) 555-7713", "+1 (132) 555-1352", "+1(743) 555-3824", "+17435553824", "7435553824", "743-555-3824", "(017) 555-7713", "+44 20 7946 0958",
+               "+442079460958", "+44 (0)20 7946 0958", "0044 20 7946 0958", "+33 6 12 34 56 78", "020 7946 0958", "+358401234567", "17435553824"]
+    out = pii.pseudonymise(documents(spark, [(i, f"call {n}, or", "en", "a") for i, n in enumerate(numbers)])).orderBy("doc_id").collect()
+    got = [r["text"][5:-4] for r in out]
+    shape = lambda x: re.sub("[0-9]", "9", x)
+    digits = lambda x: re.sub("[^0-9]", "", x)
+    assert [r["n_phone"] for r in out] == [1] * len(numbers) and all(r["text"].startswith("call ") and r["text"].endswith(", or") for r in out)
+    for n, g in zip(numbers, got):
+        assert shape(g) == shape(n) and digits(g)[-7:] != digits(n)[-7:], (n, g)
+    assert all(g.startswith(x) for g, x in zip(got, ["+1 (", "+1 (", "+1(", "+1", "", "", "", "+44 ", "+44", "+44 (0)", "0044 ", "+33 ", "0", "+358", "1"]))
+    assert len({digits(got[i])[-10:] for i in (2, 3, 4, 5, 14)}) == 1 and digits(got[0])[-10:] == digits(got[6])
+    assert len({digits(got[i])[-10:] for i in (7, 8, 9, 10)}) == 1
+    near = ["+1 (826) 555-4081 190.137.223.2", "count 1733229384 and 0.7435553824", "012-34-5678"]
+    rest = pii.pseudonymise(documents(spark, [(i, t, "en", "a") for i, t in enumerate(near)])).orderBy("doc_id").collect()
+    assert [(r["n_phone"], r["n_ip"], r["n_ssn"]) for r in rest] == [(1, 1, 0), (0, 0, 0), (0, 0, 1)] and rest[1]["text"] == near[1]
+    many = spark.range(5000).select(F.col("id").alias("doc_id"), F.concat(F.lit("+1 (0"), F.lpad(F.pmod("id", F.lit(10)).cast("string"), 2, "1"), F.lit(") 555-"), F.lpad(F.col("id").cast("string"), 4, "0")).alias("text"))
+    assert pii.pseudonymise(many).where("n_phone = 1").select("text").distinct().count() == 5000
+
+
 def test_feistel_is_a_permutation(spark):
     n = spark.range(1 << 16).select(pii.permuted_number(F.col("id"), 8, "k", "date").alias("p"))
     assert n.distinct().count() == 1 << 16 and n.agg(F.min("p"), F.max("p")).first() == (0, (1 << 16) - 1)
