@@ -1,7 +1,8 @@
 """Secret scans: base patterns, and dictionary-primed zstandard novelty.
 
 A candidate is a run of key characters with letters and digits near a
-sensitive word. It is measured by its marginal compressed bytes: a compressor
+sensitive word; of an assignment without spaces it is the value, and the name
+is part of what it is near. It is measured by its marginal compressed bytes: a compressor
 primed with an identifier dictionary compresses the surrounding text with and
 without the candidate. What the dictionary and the surroundings explain costs
 little; a random key costs most of its length and is reported.
@@ -69,20 +70,32 @@ def _base(text: str, kinds) -> list[tuple[int, int, str]]:
     return out
 
 
+def _parts(start: int, value: str) -> list[tuple[int, int]]:
+    """Spans of a candidate's parts between its inner '='; padding belongs to the last."""
+    body = value.rstrip("=")
+    cuts = [-1, *(i for i, c in enumerate(body) if c == "=")]
+    return [(start + a + 1, start + b) for a, b in zip(cuts, [*cuts[1:], len(value)])] if len(cuts) > 1 else []
+
+
+def _is_novel(text: str, s: int, e: int, novelty: Novelty) -> bool:
+    value = text[s:e]
+    if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
+        return False
+    before = text[max(0, s - SURROUNDINGS):s]
+    if not _SENSITIVE.search(before[-REACH:]):
+        return False
+    return (n := novelty.bytes_of(value, before, text[e:e + SURROUNDINGS])) >= LEAST_BYTES and n >= NOVELTY * len(value)
+
+
 def _novel(text: str, base, novelty: Novelty) -> list[tuple[int, int, str]]:
+    """An assignment's parts are measured each, with its name as their context; where none is novel, the whole."""
     out, taken = [], sorted(base)
     for m in _CANDIDATE.finditer(text):
         s, e = m.span()
-        value = m.group()
-        if not (any(c.isdigit() for c in value) and any(c.isalpha() for c in value)):
-            continue
         if any(s < y and x < e for x, y, _ in taken):
             continue
-        before = text[max(0, s - SURROUNDINGS):s]
-        if not _SENSITIVE.search(before[-REACH:]):
-            continue
-        if (n := novelty.bytes_of(value, before, text[e:e + SURROUNDINGS])) >= LEAST_BYTES and n >= NOVELTY * len(value):
-            out.append((s, e, "novel"))
+        parts = [(a, b) for a, b in _parts(s, m.group()) if _CANDIDATE.fullmatch(text, a, b) and _is_novel(text, a, b, novelty)]
+        out += [(a, b, "novel") for a, b in parts or ([(s, e)] if _is_novel(text, s, e, novelty) else [])]
     return out
 
 

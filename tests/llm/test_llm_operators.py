@@ -357,6 +357,15 @@ def test_secrets_equal_brute_force(spark):
     assert secret_scan.scan(empty(spark)).count() == 0
 
 
+def test_secrets_in_unspaced_assignments(spark):
+    key = "Zx9Qw7Lk2Vb5Nm8Rt4Yp"
+    texts = ["export DB_PWD=x8Kd92jfLq0Zm3Tt9Qw", f"private_key={key}", f"https://h/x?auth={key}&n=1", f"auth={key}==", f"token {key}=foo",
+             f"colour={key}", "config: auth=default_connection_timeout_value_2", f"private_key = {key}"]
+    out = {r["doc_id"]: r["spans"] for r in secret_scan.scan(documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).collect()}
+    at = lambda i, value: f"novel:{texts[i].index(value)}:{texts[i].index(value) + len(value)}"
+    assert [out[i] for i in range(8)] == [at(0, "x8Kd92jfLq0Zm3Tt9Qw"), at(1, key), at(2, key), at(3, key + "=="), at(4, key), "", "", at(7, key)]
+
+
 # ------------------------------------------------------------------ helpers
 def test_components_and_positions(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(50)] + [(100, 200), (200, 300), (7, 7)], "u long, v long")
