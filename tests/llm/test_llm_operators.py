@@ -151,6 +151,18 @@ def test_licences_are_found_and_near_misses_left(spark):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def test_licence_texts_without_an_anchor_and_wrapped_headers_are_found(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in the\nSoftware without restriction"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
+    gpl = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public\nLicense as published by the Free Software Foundation"
+    own = " ".join(words(40, 9))
+    rows = [(i, f"{own}\n\n{t}\n\n{own}", "en", "a") for i, t in enumerate((mit, bsd, gpl, "The boat is provided with a sail\nand the crew is free to use it."))]
+    rows += [(100 + i, "\n".join(" ".join(words(12, 50 + 3 * i + k)) for k in range(3)), "en", "a") for i in range(40)]
+    got = license_scan.scan(documents(spark, rows)).collect()
+    assert {(r["doc_id"], r["family"]) for r in got if r["doc_id"] < 3} >= {(0, "MIT"), (1, "BSD"), (2, "GPL")}, got
+    assert all(2 <= r["paragraph"] <= 4 and r["doc_id"] < 3 for r in got), got
+
+
 # ------------------------------------------------------------------ 5
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
