@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontam, embed, kdshard, langid, license_scan, minhash, mix, pii, secret_scan, substring
+from cohortlens.llm import decontam, embed, kdshard, langid, license_scan, minhash, mix, pii, prefixtrie, secret_scan, substring, vectorcode
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,99 @@ def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcode.compress(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def _vector_code_sql() -> str:
+    """Plain k-means, one chain of common tables per round."""
+    out = ["""
+WITH k0 AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, list_transform(embedding::DOUBLE[], lambda x: floor(4096 * x)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT greatest(1, (max(len(v)) + 7) // 8) AS w FROM k0),
+pts AS MATERIALIZED (
+  SELECT rid, vec_id, label, p, list_transform(range(1, w + 1), lambda i: coalesce(v[p * w + i], 0)) AS x
+  FROM k0, w, range(8) t(p)),
+c0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, min(x) AS c FROM pts
+  WHERE vec_id IN (SELECT DISTINCT vec_id FROM k0 WHERE vec_id IS NOT NULL ORDER BY vec_id LIMIT 16) GROUP BY p, vec_id)"""]
+    near = """
+{name} AS MATERIALIZED (
+  SELECT pts.rid, pts.p, min((list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT, e)) AS m
+  FROM pts JOIN c{k} c ON c.p = pts.p GROUP BY pts.rid, pts.p)"""
+    for k in range(vectorcode.ROUNDS):
+        out.append(near.format(name=f"a{k}", k=k))
+        out.append(f"""
+u{k} AS (
+  SELECT p, e, list(v ORDER BY i) AS c FROM (
+    SELECT p, e, i, (sum(s) - (((sum(s) % sum(n)) + sum(n)) % sum(n))) // sum(n) AS v FROM (
+      SELECT a.p, a.m[2] AS e, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS s, 1 AS n
+      FROM a{k} a JOIN pts ON pts.rid = a.rid AND pts.p = a.p) GROUP BY p, e, i) GROUP BY p, e)""")
+        out.append(f"""
+c{k + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(u.c, c.c)::BIGINT[] AS c FROM c{k} c LEFT JOIN u{k} u ON u.p = c.p AND u.e = c.e)""")
+    last = vectorcode.ROUNDS
+    out.append(near.format(name="f", k=last))
+    out.append(f"""
+h AS (SELECT sha256(coalesce(string_agg(array_to_string(c, ','), ',' ORDER BY p, e), '')) AS s FROM c{last}),
+r AS (
+  SELECT k0.rid, k0.vec_id, k0.label, coalesce(string_agg(printf('%02x', f.m[2]::INTEGER), '' ORDER BY f.p), '') AS code,
+    coalesce(sum(f.m[1]), 0)::BIGINT AS error
+  FROM k0 LEFT JOIN f ON f.rid = k0.rid GROUP BY k0.rid, k0.vec_id, k0.label)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h.s AS codebooks_sha256 FROM r, h""")
+    return ",".join(out)
+
+
+SQL["op11_vector_codes"] = _vector_code_sql()
+
+
+@query
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
+def _crc32_sql(expr: str) -> str:
+    """Unsigned CRC-32 of a string's bytes, bit by bit (reversed polynomial)."""
+    return f"""(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length({expr}) + 1), lambda i: ascii(substr({expr}, i, 1))::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, _: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384::BIGINT) ELSE x // 2 END)))"""
+
+
+SQL["op12_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) - 1 AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, count(*) AS own FROM t GROUP BY conv_id),
+c AS (
+  SELECT s.conv_id, s.own, xor({_crc32_sql("s.conv_id::VARCHAR")}, 4294967295::BIGINT) % 4 AS h,
+    s.conv_id - s.conv_id % 20 AS base FROM s),
+r AS (
+  SELECT c.conv_id, t.pos AS o, t.role, t.text, 0 AS part FROM c JOIN t ON t.conv_id = c.base AND t.pos < c.h
+  UNION ALL SELECT c.conv_id, t.pos, t.role, t.text, 1 FROM c JOIN t ON t.conv_id = c.conv_id AND t.pos >= c.h),
+q AS (
+  SELECT conv_id, row_number() OVER w AS depth, len(regexp_extract_all(text, '{WORDS}')) AS tokens,
+    list(sha256(concat(length(role), ':', role, text))) OVER (w ROWS UNBOUNDED PRECEDING) AS path
+  FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, o)),
+p AS (
+  SELECT conv_id, depth, tokens, md5(array_to_string(path, '')) AS node,
+    CASE WHEN depth = 1 THEN 'root' ELSE md5(array_to_string(path[:depth - 1], '')) END AS parent FROM q
+  UNION ALL SELECT conv_id, 0, 0, 'root', NULL FROM c),
+l AS (SELECT conv_id, max(depth) AS n FROM p GROUP BY conv_id),
+n AS (
+  SELECT node, any_value(parent) AS parent, any_value(depth) AS depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(tokens) AS tokens,
+    sha256(coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE l.n = depth), '')) AS ends
+  FROM p JOIN l ON l.conv_id = p.conv_id GROUP BY node),
+k AS (SELECT parent AS node, count(*) AS n FROM n WHERE parent IS NOT NULL GROUP BY parent),
+u AS (
+  SELECT a.node, count(*) FILTER (WHERE k.n IS NULL) AS n_leaves, sum((d.n_convs - 1) * d.tokens) AS saved
+  FROM p a JOIN p b ON b.conv_id = a.conv_id AND b.depth >= a.depth
+  JOIN n d ON d.node = b.node AND d.conv_id = b.conv_id LEFT JOIN k ON k.node = d.node GROUP BY a.node)
+SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, m.conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs,
+  coalesce(k.n, 0)::BIGINT AS n_children, u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
+FROM n LEFT JOIN n m ON m.node = n.parent LEFT JOIN k ON k.node = n.node JOIN u ON u.node = n.node
+"""
