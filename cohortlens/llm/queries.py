@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cohortlens.llm import decontam, embed, kdshard, langid, license_scan, minhash, mix, pii, prefixtrie, secret_scan, substring, vectorcode
+from cohortlens.llm import decontam, embed, kdshard, langid, license_scan, minhash, mix, pii, prefixtrie, secret_scan, stringkernel, substring, vectorcode
 from cohortlens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,8 @@ SELECT n.conv_id::BIGINT AS conv_id, n.depth::BIGINT AS depth, m.conv_id::BIGINT
   coalesce(k.n, 0)::BIGINT AS n_children, u.n_leaves::BIGINT AS n_leaves, u.saved::BIGINT AS saved_tokens, n.ends AS ends_sha256
 FROM n LEFT JOIN n m ON m.node = n.parent LEFT JOIN k ON k.node = n.node JOIN u ON u.node = n.node
 """
+
+
+@query
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stringkernel.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
