@@ -18,4 +18,4 @@ def test_matches_duckdb(spark, duck, name):
 
 
 def test_one_query_per_operator():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
