@@ -96,20 +96,27 @@ def additive_values(margin: AdditiveMargin, sample: DataFrame, background: np.nd
     rows = sample.select(F.col(key), x.alias("x")).repartition(
         parallelism(sample.sparkSession), key).select(key, "x", perms.alias("perms"))
     weights, link = margin.weights, margin.link
-    names = pa.array(list(features), pa.string())
+    names = list(features)
+    block = max(1, 4_000_000 // max(1, len(background) * n))       # rows whose moves fit some 32 MB
 
     def run(batches):
-        for batch in batches:
-            for i in range(batch.num_rows):
-                values = np.array(batch.column(1)[i].as_py(), dtype=np.float64)
-                moves = weights * (values - background)
-                phi = np.zeros(n)
-                for perm in batch.column(2)[i].as_py():
-                    steps = np.concatenate([start[:, None], moves[:, perm]], axis=1)
-                    phi[perm] += np.diff(link(np.cumsum(steps, axis=1)).mean(axis=0))
+        for whole in batches:
+            for lo in range(0, whole.num_rows, block):
+                batch = whole.slice(lo, block)
+                x = np.array(batch.column(1).to_pylist(), dtype=np.float64).reshape(batch.num_rows, n)
+                perms = np.array(batch.column(2).to_pylist(), dtype=np.int64)      # rows x perms x features
+                moves = weights * (x[:, None, :] - background)                       # rows x background x features
+                phi = np.zeros_like(x)
+                for p in range(perms.shape[1]):
+                    order = perms[:, p]
+                    steps = np.take_along_axis(moves, order[:, None, :], axis=2)
+                    run = np.concatenate([np.broadcast_to(start[:, None], (*steps.shape[:2], 1)), steps], axis=2).cumsum(axis=2)
+                    gain = np.diff(link(run).mean(axis=1), axis=1)
+                    phi[np.arange(len(x))[:, None], order] += gain
+                at = pa.array(np.repeat(np.arange(len(x)), n))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array([i] * n)), names, pa.array(values),
-                     pa.array(phi / n_perm)], names=[key, "feature", "value", "phi"])
+                    [batch.column(0).take(at), pa.array(names * len(x), pa.string()), pa.array(x.ravel()),
+                     pa.array((phi / n_perm).ravel())], names=[key, "feature", "value", "phi"])
 
     key_type = sample.schema[key].dataType.simpleString()
     out = rows.mapInArrow(run, f"`{key}` {key_type}, feature string, value double, phi double")
@@ -124,7 +131,8 @@ def shapley_values(model, sample: DataFrame, background: DataFrame, features: li
     ``model.transform(df)`` must add ``score_col``. ``background`` must be a
     bounded sample (it is collected once, e.g. 100 rows). A model whose
     ``additive(features)`` gives an :class:`AdditiveMargin` takes the short path
-    of :func:`additive_values`; every other model scores the masked points.
+    of :func:`additive_values`, one whose ``paths(features)`` gives its trees that of
+    :func:`tree_paths.path_values`; every other model scores the masked points.
     """
     got = background.select(features).limit(MAX_BACKGROUND + 1).collect()
     if len(got) > MAX_BACKGROUND:
@@ -134,6 +142,11 @@ def shapley_values(model, sample: DataFrame, background: DataFrame, features: li
     if margin is not None:
         return additive_values(margin, sample, np.array(bg_rows).reshape(-1, len(features)),
                                features, n_perm, seed, key)
+    trees = model.paths(features) if hasattr(model, "paths") else None
+    if trees is not None:
+        from cohortlens.operators.tree_paths import path_values
+        return path_values(trees, sample, np.array(bg_rows).reshape(-1, len(features)),
+                           features, n_perm, seed, key)
     pts = masked_points(sample, bg_rows, features, n_perm, seed, key)
     scored = model.transform(pts)
     v = scored.groupBy(key, "p", "k").agg(F.avg(score_col).alias("v"))

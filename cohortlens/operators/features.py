@@ -1,7 +1,7 @@
 """Feature operators F1-F5, emitted as one projection (no withColumn chains).
 
-F1 ordinal map (unmapped or null -> the job fails, via ``raise_error`` inside
-the projection, so no extra validation pass), F2 positive-count flags, F3
+F1 ordinal map (unmapped or null -> the job fails, by a filter that no later
+projection prunes, so no extra validation pass), F2 positive-count flags, F3
 row-wise utilisation sum, F4 sentinel flag, F5 configured interactions.
 """
 
@@ -11,30 +11,17 @@ from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from cohortlens.functions.exprs import INTEGRAL_TYPES, NUMERIC_TYPES, row_sum
+from cohortlens.operators.clean import require, shown
 from cohortlens.spec import Spec
 
 
-def ordinal_expr(spec: Spec, strict: bool = True) -> Column:
-    """bracket -> int via a literal map; unmapped raises when strict."""
+def ordinal_expr(spec: Spec) -> Column:
+    """bracket -> int via a literal map, null where none is configured."""
     m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v))
                                           for k, v in spec.ordinal_map))
-    mapped = m[F.col(spec.ordinal_column)]
-    if not strict:
-        return mapped.cast("int")
-    err = F.raise_error(F.concat(
-        F.lit(f"Unmapped {spec.ordinal_column} value found: "),
-        F.coalesce(F.col(spec.ordinal_column), F.lit("NULL"))))
-    return F.when(mapped.isNull(), err).otherwise(mapped).cast("int")
-
-
-def unmapped_ordinal_values(df: DataFrame, spec: Spec, limit: int = 20) -> list:
-    """Diagnostic for F1: up to ``limit`` distinct unmapped values (one job)."""
-    return [r[0] for r in df.filter(ordinal_expr(spec, strict=False).isNull())
-            .select(spec.ordinal_column).distinct().orderBy(spec.ordinal_column)
-            .limit(limit).collect()]
+    return m[F.col(spec.ordinal_column)].cast("int")
 
 
 def _product(df: DataFrame, a: str, b: str) -> Column:
@@ -44,12 +31,12 @@ def _product(df: DataFrame, a: str, b: str) -> Column:
     return F.col(a).cast("double") * F.col(b).cast("double")
 
 
-def feature_columns_plan(df: DataFrame, spec: Spec, strict: bool = True) -> list[Column]:
+def feature_columns_plan(df: DataFrame, spec: Spec) -> list[Column]:
     cols = set(df.columns)
     out: list[Column] = []
     drop = set()
     if spec.ordinal_column in cols and spec.ordinal_map:
-        out.append(ordinal_expr(spec, strict).alias(spec.ordinal_output))
+        out.append(ordinal_expr(spec).alias(spec.ordinal_output))
         drop.add(spec.ordinal_column)
     for c in spec.prior_utilization_cols:                                  # F2
         if c in cols:
@@ -76,13 +63,12 @@ def feature_columns_plan(df: DataFrame, spec: Spec, strict: bool = True) -> list
 
 
 def create_features(df: DataFrame, spec: Spec, strict: bool = True) -> DataFrame:
-    """F1-F5 in one ``select``; the bracket column is replaced by its ordinal."""
-    return df.select(feature_columns_plan(df, spec, strict))
-
-
-def is_numeric(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, NUMERIC_TYPES)
-
-
-def is_string(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, T.StringType)
+    """F1-F5 in one ``select``; the bracket column is replaced by its ordinal.
+
+    With ``strict`` a bracket without an ordinal fails every job over the result.
+    """
+    if strict and spec.ordinal_column in df.columns and spec.ordinal_map:
+        bracket = F.col(spec.ordinal_column)
+        df = require(df, bracket.isin(*[k for k, _ in spec.ordinal_map]),
+                     F.concat(F.lit(f"{spec.ordinal_column} has no ordinal for: "), shown(bracket)))
+    return df.select(feature_columns_plan(df, spec))

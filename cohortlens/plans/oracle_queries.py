@@ -60,6 +60,10 @@ SQL["E1_level_discovery"] = with_(FEATURES, """
   UNION SELECT DISTINCT 'min_returnflag', min_returnflag FROM feats)
 SELECT "column", level, CAST(row_number() OVER (PARTITION BY "column" ORDER BY level) AS INTEGER)
   AS position FROM lv""".replace("\n, lv", ",\nlv", 1)).replace("feats)\n,\nlv", "feats),\nlv")
+SQL["E2_sparse_many_levels"] = """
+SELECT row_id, "column", (p - 1)::INTEGER AS position FROM (
+  SELECT c_custkey AS row_id, 'c_name' AS "column", dense_rank() OVER (ORDER BY c_name) AS p FROM customer WHERE c_name IS NOT NULL)
+WHERE p > 1"""
 SQL["E2_one_hot_drop_first"] = with_(ENCODED, f"SELECT {_ROUND_ENC} FROM enc")
 SQL["E3_encoding_gate"] = with_(ENCODED, """
 SELECT 'remaining_categorical_after_encoding' AS name, 1 AS passed, count(*) AS n_rows

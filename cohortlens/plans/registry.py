@@ -204,9 +204,7 @@ def encoded(spark, sf) -> DataFrame:
 def q_levels(spark, sf):
     f = feats(spark, sf)
     cols = EN.encode_order(f, SPEC.categorical_columns, SPEC.target)
-    t = EN.level_table(f, cols)
-    w = Window.partitionBy("column").orderBy("level")
-    return t.withColumn("position", F.row_number().over(w))
+    return EN.level_positions(EN.level_table(f, cols))
 
 
 @register("E2_one_hot_drop_first")
@@ -214,6 +212,17 @@ def q_onehot(spark, sf):
     return encoded(spark, sf)
 
 
+MANY_LEVELS = 100       # the names below have 150 levels in the smallest tables
+
+
+@register("E2_sparse_many_levels")
+def q_many_levels(spark, sf):
+    """A text column with far more levels than dummies are made for, in long form: the dummy of every row that is 1."""
+    d = spark.read.parquet(table_path(sf, "customer")).select(F.col("c_custkey").alias("row_id"), "c_name", "c_mktsegment")
+    levels = EN.fit_levels(d, (), SPEC.target, MANY_LEVELS)
+    return levels.sparse.long_form(d)
+
+
 @register("E3_encoding_gate")
 def q_enc_gate(spark, sf):
     enc = encoded(spark, sf)
@@ -830,6 +839,16 @@ def q_shap(spark, sf):
     return _phi(spark, sf)[2]
 
 
+@register("X1_shapley_forest")
+def q_shap_forest(spark, sf):
+    """X1 of the forest's own probability for every validation row, from the trees' paths."""
+    from cohortlens.operators.tree_paths import UncalibratedModel
+    mf = _mf(spark, sf)
+    val = mf.frame.where(F.col("split") == "val")
+    forest = UncalibratedModel(PM.fit_model(mf, "RandomForest"))
+    return XA.explain(forest, val, mf.features, None, SHAP_BACKGROUND, SHAP_PERMUTATIONS, SPEC.seed)[0]
+
+
 @register("X2_global_importance")
 def q_shap_importance(spark, sf):
     return XA.global_importance(_phi(spark, sf)[2], 20)

@@ -85,11 +85,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def materialize(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
+def materialize(df: DataFrame, mode: str | None = "checkpoint", schema=None) -> DataFrame:
     """Stage boundary for a frame that several actions or branches reuse.
 
     ``table`` writes it as Parquet under the shared checkpoint folder and reads
-    it back (lineage cut; later scans prune columns and push filters);
+    it back (lineage cut; later scans prune columns and push filters), with
+    ``schema`` if one is given;
     ``checkpoint`` uses ``DataFrame.checkpoint`` in the same folder;
     ``persist`` keeps it in executor memory/disk; ``None`` leaves the plan lazy.
     An executor loss after the boundary re-reads files instead of replaying
@@ -100,7 +101,7 @@ def materialize(df: DataFrame, mode: str | None = "checkpoint") -> DataFrame:
         spark = df.sparkSession
         path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{uuid.uuid4().hex}"
         df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if mode == "checkpoint":
         return cut_lineage(df)
     if mode == "persist":

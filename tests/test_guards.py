@@ -4,6 +4,7 @@ import math
 
 import pytest
 from pyspark.errors import PythonException  # noqa: F401
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators import clean as C
@@ -34,26 +35,55 @@ def test_label_normalisation_strips_tabs_and_case(spark):
 def test_unknown_and_null_labels_raise(spark):
     bad = spark.createDataFrame([(1, "yes"), (2, "maybe"), (3, "zzz"), (4, "no")],
                                 "row_id long, readmitted string")
-    with pytest.raises(ValueError, match="Unexpected target label"):
-        C.check_target(bad, SPEC)
+    report = C.check_target(bad, SPEC)
+    assert (report.n_null, report.n_unknown, report.samples) == (0, 2, ("maybe", "zzz"))
+    with pytest.raises(ValueError, match="2 unmapped.*maybe"):
+        C.map_target(bad, SPEC, validate=True)
     msg = _spark_error(lambda: C.map_target(bad, SPEC).collect())
     assert "maybe" in msg or "zzz" in msg
     nul = spark.createDataFrame([(1, "yes"), (2, None)], "row_id long, readmitted string")
-    with pytest.raises(ValueError, match="missing"):
-        C.check_target(nul, SPEC)
+    with pytest.raises(ValueError, match="1 null"):
+        C.map_target(nul, SPEC, validate=True)
+
+
+def test_guards_survive_pruning(spark):
+    """Unknown labels, brackets and residual nulls fail a job that reads other columns or none."""
+    jobs = (lambda d: d.select("row_id").collect(), lambda d: d.count(), lambda d: d.drop("readmitted").agg(F.max("row_id")).collect())
+    for kind, values in (("string", ("yes", "maybe")), ("string", ("no", None)), ("int", (1, 2)), ("double", (0.0, None))):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"row_id long, readmitted {kind}")
+        for job in jobs:
+            assert "readmitted is null or unmapped" in _spark_error(lambda: job(C.map_target(df, SPEC)))
+    for v in ("zzz", None):
+        df = spark.createDataFrame([(1, "[40-50)", 1), (2, v, 0)], "row_id long, age string, n_inpatient int")
+        for job in (lambda d: d.select("any_n_inpatient").collect(), lambda d: d.count(), lambda d: d.select("row_id").count()):
+            assert "age has no ordinal" in _spark_error(lambda: job(FE.create_features(df, SPEC)))
+
+
+def test_residual_nulls_of_a_scoring_batch(spark):
+    spec = SPEC.with_(required_columns=())
+    kind = "row_id long, readmitted string, x double, cat string"
+    train = spark.createDataFrame([(1, "yes", 5.0, "a"), (2, "no", None, "b"), (3, "no", 1.0, "b")], kind)
+    _, fit = C.clean_data(train, spec, materialize_mode=None)
+    assert set(fit.imputer.medians) == {"x"} and not fit.imputer.modes
+    batch = spark.createDataFrame([(7, "yes", None, "a"), (8, "no", 2.0, None)], kind)
+    out, _ = C.clean_data(batch, spec, imputer=fit.imputer, materialize_mode=None)
+    for job in (lambda: out.count(), lambda: out.select("row_id").collect(), lambda: out.collect()):
+        assert "missing values are left in cat" in _spark_error(job)
+    fine, _ = C.clean_data(batch.where("row_id = 7"), spec, imputer=fit.imputer, materialize_mode=None)
+    assert fine.first()["x"] == 3.0
 
 
 def test_numeric_target_rules(spark):
     ok = spark.createDataFrame([(1, 0), (2, 1)], "row_id long, readmitted int")
     assert [r[1] for r in C.map_target(ok, SPEC).orderBy("row_id").collect()] == [0, 1]
     two = spark.createDataFrame([(1, 0), (2, 2)], "row_id long, readmitted int")
-    with pytest.raises(ValueError, match="only 0/1"):
-        C.check_target(two, SPEC)
+    with pytest.raises(ValueError, match=r"1 unmapped.*\[2\]"):
+        C.map_target(two, SPEC, validate=True)
 
 
 def test_same_positive_and_negative_config_raises(spark):
     df = spark.createDataFrame([(1, "yes")], "row_id long, readmitted string")
-    with pytest.raises(ValueError, match="distinct"):
+    with pytest.raises(ValueError, match="two different labels"):
         C.map_target(df, SPEC.with_(negative_value=" YES"))
 
 
@@ -81,7 +111,7 @@ def test_median_mode_rules(spark):
     df = spark.createDataFrame(rows, "row_id long, readmitted string, odd int, even double, "
                                      "tie string, allnull string")
     spec = SPEC.with_(required_columns=())
-    with pytest.raises(ValueError, match="all-null"):
+    with pytest.raises(ValueError, match="without any value"):
         C.clean_data(df, spec, materialize_mode=None)
     out, fit = C.clean_data(df.drop("allnull"), spec, materialize_mode=None)
     assert fit.imputer.medians == {"odd": 2.5, "even": 6.0}   # NaN counts as missing
@@ -95,7 +125,7 @@ def test_unknown_or_null_bracket_raises(spark):
     for v in ("[10-20)", None):
         df = spark.createDataFrame([(1, "[40-50)"), (2, v)], "row_id long, age string")
         msg = _spark_error(lambda: FE.create_features(df, SPEC).collect())
-        assert "Unmapped age value" in msg
+        assert "age has no ordinal" in msg
     ok = spark.createDataFrame([(1, "[90-100)")], "row_id long, age string")
     assert FE.create_features(ok, SPEC).first()["age_ordinal"] == 6
 
@@ -135,10 +165,35 @@ def test_one_level_column_fails_encoding_check(spark):
     assert rows["configured_categoricals_encoded"] == 0
 
 
-def test_too_many_levels_guard(spark):
-    df = spark.range(50).select(F.col("id").alias("row_id"), F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="too many levels"):
-        EN.fit_levels(df, ["c"], "readmitted", max_levels=10)
+def test_many_levels_become_sparse_vectors(spark):
+    n = 100_000
+    df = spark.range(n).select(F.col("id").alias("row_id"), F.format_string("v%06d", F.col("id") % (n - 7)).alias("wide"),
+                               F.element_at(F.array(F.lit("a"), F.lit("b"), F.lit(None)), (F.col("id") % 3 + 1).cast("int")).alias("few"))
+    lv = EN.fit_levels(df, ["wide", "few"], "readmitted", max_levels=1000)
+    assert lv.columns == ["few"] and lv.sparse.sizes == {"wide": n - 7} and lv.feature_names() == ["few_b", "wide__onehot"]
+    batch = spark.createDataFrame([(1, "v000000", "b"), (2, "v000001", "a"), (3, "v099992", None), (4, "unseen", "zzz"), (5, None, "b")],
+                                  "row_id long, wide string, few string")
+    got = {r["row_id"]: (r["wide__onehot"], r["few_b"]) for r in EN.encode_features(batch, lv, "readmitted").collect()}
+    assert {k: (v.size, v.indices.tolist(), v.values.tolist(), f) for k, (v, f) in got.items()} == {
+        1: (n - 8, [], [], 1), 2: (n - 8, [0], [1.0], 0), 3: (n - 8, [n - 9], [1.0], 0), 4: (n - 8, [], [], 0), 5: (n - 8, [], [], 1)}
+    from pyspark.ml.feature import VectorAssembler
+    v = VectorAssembler(inputCols=lv.feature_names(), outputCol="f").transform(EN.encode_features(batch, lv, "readmitted"))
+    assert v.first()["f"].size == n - 7
+    seen = EN.unseen_levels(batch, lv.as_dataframe(spark), ["wide", "few"], small=False)
+    assert sorted(tuple(r) for r in seen.collect()) == [("few", "zzz"), ("wide", "unseen")]
+
+
+def test_running_totals_equal_plain_windows(spark):
+    from cohortlens.functions.ranges import running_totals
+    df = spark.range(5000).select("id", F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 < 9, F.col("id").cast("string")).alias("g"),
+                                  (F.col("id") * 7919 % 5003).alias("o"), (F.col("id") % 13).alias("x"))
+    w = Window.partitionBy("g").orderBy(F.desc("o"))
+    want = {r["id"]: (r["n"], r["s"]) for r in df.select("id", F.row_number().over(w).alias("n"), F.sum("x").over(w).alias("s")).collect()}
+    got = running_totals(df, ["g"], [F.col("o").desc()], {"n": F.lit(1), "s": F.col("x")})
+    assert {r["id"]: (r["n"], r["s"]) for r in got.collect()} == want
+    out = running_totals(df, ["g"], [F.col("o").desc()], {"n": F.lit(1), "s": F.col("x")}, inclusive=False)
+    assert {r["id"]: (r["n"] + 1, r["s"] + r["x"]) for r in out.collect()} == want
+    assert running_totals(df.where("1 = 0"), ["g"], [F.col("o").asc()], {"n": F.lit(1)}).count() == 0
 
 
 # ------------------------------------------------------------------ scores_ties
@@ -247,13 +302,6 @@ def test_csv_scan_missing_path_raises_and_markers_become_null(spark, tmp_path):
     assert [r["a"] for r in rows] == [None, "Missing", None]
 
 
-def test_sparse_encoder_for_high_cardinality(spark):
-    df = spark.range(30).select(F.col("id").alias("row_id"),
-                                (F.col("id") % 7).cast("string").alias("c"))
-    out = EN.sparse_encoder(["c"]).fit(df).transform(df)
-    assert out.select(F.max(F.col("c__idx"))).first()[0] == 6.0
-
-
 def test_assign_row_id_is_consecutive(spark):
     from cohortlens.sources.tables import assign_row_id, read_table
     from tests.conftest import SMOKE

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import attribution as XA
+from cohortlens.operators import tree_paths as TP
 from cohortlens.operators import calibrate as CA
 from cohortlens.operators import metrics as ME
 from cohortlens.operators import models as MD
@@ -132,6 +133,99 @@ def test_shapley_short_path_equals_scored_points(spark, planted, method):
     assert math.isclose(base_short, base_full, abs_tol=1e-9)
 
 
+def _phi_of(df):
+    return {(r["row_id"], r["feature"]): r["phi"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("family,params,method", [
+    ("RandomForest", {"n_estimators": 7, "max_depth": 6}, None), ("RandomForest", {"n_estimators": 5, "max_depth": 5}, "sigmoid"),
+    ("GradientBoosting", {"max_iter": 9, "max_depth": 4}, None), ("GradientBoosting", {"max_iter": 6, "max_depth": 3}, "isotonic")])
+def test_tree_paths_equal_scored_points(spark, planted, family, params, method):
+    """X1 of tree ensembles: the path table gives what scoring every masked point gives."""
+    val = planted.where(F.col("split") == "val")
+    base = MD.fit(family, planted.where(F.col("split") == "train"), FEATS, "y", params)
+    model = TP.UncalibratedModel(base) if method is None else CA.calibrate(base, val, "y", methods=(method,), features=FEATS)[0]
+    sample = SP.uniform_sample(val, 10)
+    background = SP.uniform_sample(sample, 6, seed=43).unionByName(SP.uniform_sample(sample, 2, seed=43))    # repeated rows
+    short, base_short = XA.shapley_values(model, sample, background, FEATS, n_perm=4)
+    trees = model.paths(FEATS)
+    assert len(trees.trees) == base.stages[-1].getNumTrees and (trees.link is None) == (family == "RandomForest" and method is None)
+    short = _phi_of(short)
+    scores = {r[0]: r[1] for r in model.transform(sample).select("row_id", "score").collect()}
+    for row, score in scores.items():
+        assert math.isclose(sum(v for (r, _), v in short.items() if r == row) + base_short, score, abs_tol=1e-9)
+    model.paths = lambda features: None                 # score every masked point
+    full, base_full = XA.shapley_values(model, sample, background, FEATS, n_perm=4)
+    full = _phi_of(full)
+    assert full.keys() == short.keys() and len(full) == 10 * len(FEATS)
+    assert all(math.isclose(full[k], short[k], abs_tol=1e-9) for k in full)
+    assert math.isclose(base_short, base_full, abs_tol=1e-9)
+
+
+def test_tree_paths_beyond_one_word_of_features():
+    """More than 64 features: sets of several words, against the definition row by row."""
+    import numpy as np
+    r = np.random.default_rng(8)
+    n = 70
+    tree = TP.Tree(np.array([68, 3, -1, -1, 68, -1, -1]), np.array([0.5, 0.2, 0, 0, 0.8, 0, 0]), np.array([1, 2, -1, -1, 5, -1, -1]),
+                   np.array([4, 3, -1, -1, 6, -1, -1]), np.array([0, 0, 1.0, 2.0, 0, 4.0, 8.0]))
+
+    def value(x):
+        node = 0
+        while tree.feature[node] >= 0:
+            node = int(tree.left[node] if x[tree.feature[node]] <= tree.threshold[node] else tree.right[node])
+        return tree.value[node]
+
+    background, x = r.random((9, n)), r.random((4, n))
+    perms = np.stack([np.stack([r.permutation(n) for _ in range(5)]) for _ in range(4)])
+    for link in (None, lambda m: 1 / (1 + np.exp(-m))):
+        paths = TP.PathTable([tree, tree], background)
+        _, failed = TP.failed_splits(tree, x)
+        score = (lambda p: 2 * value(p)) if link is None else (lambda p: link(2 * value(p)))
+        assert math.isclose(paths.base(link), np.mean([score(b) for b in background]), abs_tol=1e-12)
+        for i in range(4):
+            got = paths.attribute(np.concatenate([failed[i], failed[i]]), perms[i], link)
+            want = np.zeros(n)
+            for perm in perms[i]:
+                points = background.copy()
+                last = np.mean([score(b) for b in points])
+                for f in perm:
+                    points[:, f] = x[i, f]
+                    now = np.mean([score(b) for b in points])
+                    want[f] += (now - last) / 5
+                    last = now
+            assert np.allclose(got, want, atol=1e-12)
+
+
+def test_boosting_rounds(spark, planted):
+    """M5: every round without early stopping; with it the best prefix of the staged losses, after ten flat rounds."""
+    train = planted.where(F.col("split") == "train")
+    params = {"max_iter": 14, "max_depth": 2, "learning_rate": 0.5, "min_samples_leaf": 5}
+    whole = MD.fit("GradientBoosting", train, FEATS, "y", params)
+    assert whole.stages[-1].getNumTrees == 14             # fewer rows than the library's bound: no early stop
+    on = MD.EarlyStop(enabled=True, first_run=4)
+    data = MD.with_class_weights(train, "y")
+    stopped = MD.fit_boosting(data, FEATS, "y", {**params, "max_iter": 30}, stop=on)
+    n = stopped.stages[-1].getNumTrees
+    held = MD.assembler(FEATS).transform(MD.early_stop_indicator(data).where("is_early_stop"))
+    rest = MD.early_stop_indicator(data).where("not is_early_stop")
+    longest = MD.gradient_boosting(FEATS, "y", **{**params, "max_iter": 30}).fit(rest).stages[-1]
+    losses = MD.staged_losses(longest, held, "y")
+    best, over = MD.stop_round(losses, on.patience, on.tolerance)
+    assert n == best and (n == losses.index(min(losses[:n + on.patience])) + 1 or not over)
+    a = {r[0]: r[1] for r in MD.score(stopped, train, "m", "y").select("row_id", "score").collect()}
+    short = MD.truncated(longest, n)
+    b = {r[0]: r[1] for r in MD.score(MD.PipelineModel([stopped.stages[0], short]), train, "m", "y").select("row_id", "score").collect()}
+    assert all(math.isclose(a[k], b[k], abs_tol=1e-12) for k in a) and len(a) == len(b)
+
+
+def test_stop_round():
+    assert MD.stop_round([3, 2, 1], 10, 1e-7) == (3, False)
+    assert MD.stop_round([3, 2, 2, 2.5, 1], 2, 1e-7) == (2, True)
+    assert MD.stop_round([3, 2, 2 - 1e-9, 2 - 2e-9, 1], 3, 1e-7) == (5, False)
+    assert MD.stop_round([1, 2, 3], 2, 1e-7) == (1, True)
+
+
 def test_streaming_scores_match_batch(spark):
     from cohortlens.plans import registry as R
     from cohortlens.streaming.scoring import order_stream, run_to_table, score_frame
