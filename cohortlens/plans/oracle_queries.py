@@ -293,6 +293,16 @@ SQL["V2_threshold_metrics"] = with_(SCORED, f""",
 cm AS ({confusion_sql("sc", "0.5")})
 SELECT model, split, tn, fp, fn, tp, {TMETRICS.replace(" AS ", "##").replace(", ", ",,")}
 FROM cm""".replace("##", " AS ").replace(",,", ", "))
+SQL["T2_isotonic_pools"] = with_(SCORED, """,
+d AS (SELECT score, count(*) AS n, sum(label) AS s FROM sc WHERE split = 'val' GROUP BY score),
+c AS (SELECT row_number() OVER w AS i, score, n, s, sum(n) OVER w AS nn, sum(s) OVER w AS ss FROM d WINDOW w AS (ORDER BY score)),
+m AS (
+  SELECT b.i, min((b.ss - a.ss + a.s) / (b.nn - a.nn + a.n)::DOUBLE)
+    OVER (PARTITION BY a.i ORDER BY b.i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS v
+  FROM c a JOIN c b ON a.i <= b.i),
+f AS (SELECT i, max(v) AS v FROM m GROUP BY i)
+SELECT round(min(score), 6) AS lo, round(max(score), 6) AS hi, round(any_value(v), 6) AS value, sum(n)::BIGINT AS n
+FROM c JOIN f ON f.i = c.i GROUP BY round(v, 12)""")
 SQL["V3_brier"] = with_(SCORED, """
 SELECT model, split, round(avg(pow(score - label, 2)), 6) AS brier FROM sc GROUP BY model, split""")
 SQL["V4_V5_roc_auc_average_precision"] = with_(DIST, """

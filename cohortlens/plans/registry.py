@@ -794,6 +794,13 @@ def q_calibrated_scores(spark, sf):
     return PM.calibrated_scores(mf, cal)
 
 
+@register("T2_isotonic_pools")
+def q_pools(spark, sf):
+    """T2 on given scores: the pools of the increasing fit of the surrogate scores' validation rows."""
+    from cohortlens.operators.isotonic import pools
+    return pools(scored(spark, sf).where(F.col("split") == "val"), "score", "label")
+
+
 @register("T5_calibrated_vs_raw")
 def q_cal_vs_raw(spark, sf):
     mf, base, cal, _ = _calibrated(spark, sf)

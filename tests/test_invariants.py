@@ -133,6 +133,39 @@ def test_shapley_short_path_equals_scored_points(spark, planted, method):
     assert math.isclose(base_short, base_full, abs_tol=1e-9)
 
 
+def test_isotonic_pools_equal_plain_pooling(spark):
+    """Hulls merged over ranges give what pooling neighbours one by one gives, ties and one-sided labels included."""
+    from pyspark.ml.regression import IsotonicRegression
+
+    from cohortlens.operators.isotonic import fit_isotonic, pools
+    rng = random.Random(4)
+    rows = [(round(rng.random(), 3), int(rng.random() < 0.3 + 0.4 * (i % 2))) for i in range(4000)]
+    rows = [(s, y if s < 0.8 else 1) for s, y in rows] + [(0.5, i % 2) for i in range(3000)]       # a hot score
+    df = spark.createDataFrame(rows, "raw_score double, label int").repartition(5)
+    points = {}
+    for s, y in rows:
+        n, p = points.get(s, (0, 0))
+        points[s] = (n + 1, p + y)
+    stack = []
+    for s in sorted(points):
+        stack.append([s, s, *points[s]])
+        while len(stack) > 1 and stack[-2][3] * stack[-1][2] >= stack[-1][3] * stack[-2][2]:
+            lo, _, n, p = stack.pop(-2)
+            stack[-1] = [lo, stack[-1][1], stack[-1][2] + n, stack[-1][3] + p]
+    got = sorted((r["lo"], r["hi"], r["n"], r["value"]) for r in pools(df).collect())
+    assert [g[:3] for g in got] == [tuple(x[:3]) for x in stack]
+    assert all(math.isclose(g[3], x[3] / x[2], abs_tol=1e-12) for g, x in zip(got, stack))
+    mine, theirs = fit_isotonic(df), IsotonicRegression(featuresCol="raw_score", labelCol="label").fit(df)
+    probe = spark.createDataFrame([(k / 777 - 0.1,) for k in range(950)], "raw_score double")
+    a, b = ([r["prediction"] for r in m.transform(probe).orderBy("raw_score").collect()] for m in (mine, theirs))
+    assert all(math.isclose(x, y, abs_tol=1e-9) for x, y in zip(a, b)) and len(a) == 950
+    one = pools(spark.createDataFrame([(0.3, 1), (0.7, 1), (0.3, 1)], "raw_score double, label int")).collect()
+    assert [tuple(r) for r in one] == [(0.3, 0.7, 1.0, 3)]
+    assert pools(df.where("1 = 0")).count() == 0
+    with pytest.raises(Exception, match="null or NaN"):
+        pools(spark.createDataFrame([(None, 1), (0.2, 0)], "raw_score double, label int")).count()
+
+
 def _phi_of(df):
     return {(r["row_id"], r["feature"]): r["phi"] for r in df.collect()}
 
