@@ -114,11 +114,11 @@ def stop_round(losses: list[float], patience: int, tolerance: float) -> tuple[in
     return max(at, 1), False
 
 
-def truncated(model: GBTClassificationModel, n_trees: int) -> GBTClassificationModel:
+def truncated(model: GBTClassificationModel, n_trees: int, spark: SparkSession) -> GBTClassificationModel:
     """The ensemble of the first ``n_trees`` trees."""
     if n_trees >= model.getNumTrees:
         return model
-    sc = SparkSession.getActiveSession().sparkContext
+    sc = spark.sparkContext                    # a search's threads have no active session
     jvm, gateway = sc._jvm, sc._gateway
     trees = gateway.new_array(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, n_trees)
     weights = gateway.new_array(jvm.double, n_trees)
@@ -155,7 +155,7 @@ def fit_boosting(data: DataFrame, features: list[str], label: str, params: dict,
         trees = model.stages[-1]
         best, over = stop_round(staged_losses(trees, held, label), stop.patience, stop.tolerance)
         if over or rounds == most:
-            return PipelineModel([model.stages[0], truncated(trees, best)])
+            return PipelineModel([model.stages[0], truncated(trees, best, data.sparkSession)])
         rounds = min(2 * rounds, most)
 
 
@@ -187,12 +187,17 @@ def build_estimator(name: str, features: list[str], label: str, params: dict, n_
 def fit(name: str, train: DataFrame, features: list[str], label: str, params: dict,
         seed: int = 42, balanced: bool = True) -> PipelineModel:
     """M9: fit as configured (no search). Returns a PipelineModel."""
-    data = with_class_weights(train, label, balanced)
+    return fit_weighted(name, with_class_weights(train, label, balanced), features, label, params, seed)
+
+
+def fit_weighted(name: str, data: DataFrame, features: list[str], label: str, params: dict,
+                 seed: int = 42, n_weight: float | None = None) -> PipelineModel:
+    """A fit on rows that carry their ``weight``; ``n_weight`` is its sum where the caller has it."""
     if name == "GradientBoosting":
-        stop = params.get("early_stop", EarlyStop())
-        return fit_boosting(data, features, label, params, seed, stop)
-    n_weight = float(data.agg(F.sum("weight")).first()[0]) if name == "LogisticRegression" else 1.0
-    return build_estimator(name, features, label, params, n_weight, seed).fit(data)
+        return fit_boosting(data, features, label, params, seed, params.get("early_stop", EarlyStop()))
+    if name == "LogisticRegression" and n_weight is None:
+        n_weight = float(data.agg(F.sum("weight")).first()[0])
+    return build_estimator(name, features, label, params, n_weight or 1.0, seed).fit(data)
 
 
 # ------------------------------------------------------------------ M10 / M11 scoring
@@ -298,24 +303,72 @@ class ExactAUCEvaluator(Evaluator):
         return True
 
 
+@dataclass
+class Fold:
+    """Training rows of one fold, written once with their weights, and the rows held out."""
+    number: int
+    train: DataFrame
+    n_weight: float
+    held: DataFrame
+
+
+def fold_frames(train: DataFrame, features: list[str], label: str, k: int, fold_col: str = "fold") -> list[Fold]:
+    """The k folds of a search: every draw reads the same tables instead of weighting the rows anew."""
+    from cohortlens.session import materialize
+    columns = ["row_id", label, *features]
+    out = []
+    for f in range(k):
+        rows = materialize(with_class_weights(train.where(F.col(fold_col) != f).select(columns), label), "table")
+        held = train.where(F.col(fold_col) == f).select(columns).withColumn("split", F.lit(f"fold{f}"))
+        out.append(Fold(f, rows, float(rows.agg(F.sum("weight")).first()[0] or 0.0), held))
+    return out
+
+
+def search_scores(name: str, draws: list[dict], folds: list[Fold], features: list[str], label: str,
+                  seed: int = 42, parallelism: int = 4) -> list[float]:
+    """Mean exact ROC-AUC of each draw over the folds.
+
+    All (draw, fold) pairs are independent: they run as concurrent jobs of
+    ``parallelism`` threads, each writes its scored rows, and one grouped pass over
+    all of them gives every AUC.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    from cohortlens.operators.metrics import ranking_metrics
+    from cohortlens.session import materialize
+
+    def one(pair):
+        i, fold = pair
+        model = fit_weighted(name, fold.train, features, label, draws[i], seed, fold.n_weight)
+        return materialize(score(model, fold.held, f"draw{i}", label), "table")
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        parts = list(pool.map(one, [(i, f) for i in range(len(draws)) for f in folds]))
+    paths = [p.inputFiles()[0].rsplit("/", 1)[0] for p in parts if p.inputFiles()]
+    per = ranking_metrics(parts[0].sparkSession.read.parquet(*paths))
+    got = {r["model"]: r["a"] for r in per.groupBy("model").agg(F.avg("roc_auc").alias("a")).collect()}
+    return [float(got.get(f"draw{i}") or 0.0) for i in range(len(draws))]
+
+
 def random_search(name: str, train: DataFrame, features: list[str], label: str, spaces: dict,
                   n_draws: int = 20, k: int = 5, seed: int = 42, fold_col: str = "fold",
-                  parallelism: int = 4) -> dict:
-    """M8: seeded draws from the grid, k-fold CV on exact ROC-AUC, refit best on all of train.
+                  parallelism: int = 4, fixed: dict | None = None, folds: list[Fold] | None = None) -> dict:
+    """M8: seeded draws from the grid of any family, k-fold CV on exact ROC-AUC, refit best on all of train.
 
-    Returns the refitted model, the winning parameters, its CV score and a
-    (draw, params, cv_roc_auc) list. Ties go to the earlier draw.
+    ``fixed`` parameters join every draw; ``folds`` (of :func:`fold_frames`) are
+    shared by the searches of several families. Returns the refitted model, the
+    winning parameters, its CV score and a (draw, params, cv_roc_auc) list. Ties go
+    to the earlier draw.
     """
+    fixed = fixed or {}
     draws = sample_draws(search_space(name, spaces), n_draws, seed)
     if not draws:                                                     # M9 fallback
-        return {"model": fit(name, train, features, label, {}, seed), "params": {},
+        return {"model": fit(name, train, features, label, fixed, seed), "params": {},
                 "cv_score": None, "draws": []}
-    scores = []
-    for params in draws:
-        per = cross_validate(name, train, features, label, params, fold_col, k, seed, parallelism)
-        scores.append(float(per.agg(F.avg("roc_auc")).first()[0]))
+    folds = folds or fold_frames(train, features, label, k, fold_col)
+    scores = search_scores(name, [{**fixed, **d} for d in draws], folds, features, label, seed, parallelism)
     best = max(range(len(draws)), key=lambda i: (scores[i], -i))
-    return {"model": fit(name, train, features, label, draws[best], seed),
+    return {"model": fit(name, train, features, label, {**fixed, **draws[best]}, seed),
             "params": draws[best], "cv_score": scores[best],
             "draws": [(i, draws[i], scores[i]) for i in range(len(draws))]}
 

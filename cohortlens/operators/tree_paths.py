@@ -79,74 +79,101 @@ def failed_splits(tree: Tree, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class PathTable:
     """Per leaf and distinct set A: the background rows whose failed splits on the path are A."""
 
-    def __init__(self, trees: list[Tree], background: np.ndarray):
+    def __init__(self, trees: list[Tree], background: np.ndarray, linked: bool = True):
         self.trees, self.n_background = trees, len(background)
-        leaf, mask, value, members, first = [], [], [], [], [0]
+        leaf, mask, value, members, size = [], [], [], [], []
         at = 0
         for tree in trees:
             leaves, failed = failed_splits(tree, background)
-            for k, node in enumerate(leaves):
+            for k in range(len(leaves)):
                 sets, which = np.unique(failed[:, k], axis=0, return_inverse=True)
-                order = np.argsort(which.ravel(), kind="stable")
-                members.append(order)
-                first += (first[-1] + np.cumsum(np.bincount(which.ravel(), minlength=len(sets)))).tolist()
-                leaf += [at + k] * len(sets)
+                members.append(np.argsort(which.ravel(), kind="stable").astype(np.int32))
+                size.append(np.bincount(which.ravel(), minlength=len(sets)))
+                leaf.append(np.full(len(sets), at + k, dtype=np.int32))
                 mask.append(sets)
-                value += [float(tree.value[node])] * len(sets)
+            value.append(tree.value[leaves])
             at += len(leaves)
-        self.leaf, self.mask, self.value = np.array(leaf), np.concatenate(mask), np.array(value)
-        self.members, self.first = np.concatenate(members).astype(np.int32), np.array(first)
+        self.leaf, self.mask, self.value = np.concatenate(leaf), np.concatenate(mask), np.concatenate(value)
+        self.size = np.concatenate(size).astype(np.int32)
+        self.first = np.cumsum(self.size) - self.size
+        self.members = np.concatenate(members)
+        self.total = np.zeros(self.n_background)
+        for k in np.flatnonzero(~self.mask.any(axis=1)):
+            self.total[self.members[self.first[k]:self.first[k] + self.size[k]]] += self.value[self.leaf[k]]
+        if not linked:                                  # only counts of background rows matter
+            self.members = self.first = None
 
     def base(self, link: Callable | None) -> float:
         """Mean score of the background."""
-        own = ~self.mask.any(axis=1)
-        total = np.zeros(self.n_background)
-        for k in np.flatnonzero(own):
-            total[self.members[self.first[k]:self.first[k + 1]]] += self.value[k]
-        return float((link(total) if link else total).mean())
-
-    def _unpacked(self, masks: np.ndarray, n: int) -> np.ndarray:
-        return np.unpackbits(masks.view(np.uint8).reshape(len(masks), -1), axis=1, bitorder="little")[:, :n].astype(bool)
+        return float((link(self.total) if link else self.total).mean())
 
     def attribute(self, failed: np.ndarray, perms: np.ndarray, link: Callable | None) -> np.ndarray:
         """Attributions (features) of one row from its failed splits per leaf and its permutations (perms x features)."""
         n_perm, n = perms.shape
-        position = np.argsort(perms, axis=1)                                    # feature -> place, per permutation
-        alive = np.flatnonzero(~(failed[self.leaf] & self.mask).any(axis=1))
-        sets, a = np.unique(self.mask[alive], axis=0, return_inverse=True)
-        other, b = np.unique(failed[self.leaf[alive]], axis=0, return_inverse=True)
-        last = np.where(self._unpacked(sets, n)[:, None, :], position[None], -1).max(axis=2)     # sets x perms: last of A
-        start = np.where(self._unpacked(other, n)[:, None, :], position[None], n).min(axis=2)    # first of B
-        on, off = last[a.ravel()] + 1, start[b.ravel()] + 1
+        words = self.mask.shape[1]
+        clash = failed[self.leaf, 0] & self.mask[:, 0]
+        for w in range(1, words):
+            clash |= failed[self.leaf, w] & self.mask[:, w]
+        alive = np.flatnonzero(clash == 0)
+        leaf = self.leaf[alive]
+        a = self.mask[alive].view(np.uint8).reshape(len(alive), -1)
+        b = failed.view(np.uint8).reshape(len(failed), -1)
+        size, worth = self.size[alive], self.value[leaf]
         if link:
-            size = np.diff(self.first)[alive]
             row = np.repeat(np.arange(len(alive)), size)
             inside = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
-            group = self.members[self.first[alive][row] + inside]
-            value = self.value[alive][row]
-            on, off, groups = on[row], off[row], self.n_background
+            group, value, groups = self.members[self.first[alive][row] + inside], worth, self.n_background
         else:
-            group, groups = np.zeros(len(alive), dtype=np.int64), 1
-            value = self.value[alive] * np.diff(self.first)[alive] / self.n_background
-        counts = on < off
-        cell = (group[:, None] * n_perm + np.arange(n_perm)[None]) * (n + 2)
-        weight = np.where(counts, value[:, None], 0.0).ravel()
-        steps = np.bincount((cell + on).ravel(), weights=weight, minlength=groups * n_perm * (n + 2))
-        steps -= np.bincount((cell + off).ravel(), weights=weight, minlength=groups * n_perm * (n + 2))
-        run = np.cumsum(steps.reshape(groups, n_perm, n + 2)[:, :, :n + 1], axis=2)
+            value, groups = worth * (size / self.n_background), 1
+        steps = np.zeros((groups, n_perm, n + 2))
+        for p, perm in enumerate(perms):
+            place = np.empty(n, dtype=np.int16)
+            place[perm] = np.arange(n)
+            last, first = _byte_tables(place, 8 * words)
+            on = last[0, a[:, 0]]
+            off = first[0, b[:, 0]]
+            for k in range(1, a.shape[1]):
+                np.maximum(on, last[k, a[:, k]], out=on)
+                np.minimum(off, first[k, b[:, k]], out=off)
+            ends = off[leaf]
+            good = np.flatnonzero(on < ends)                    # complete before the first feature of B comes
+            if link:
+                chosen = np.zeros(len(alive), dtype=bool)
+                chosen[good] = True
+                keep = chosen[row]
+                r, base = row[keep], group[keep].astype(np.int64) * (n + 2)
+                weight, start, end = value[r], base + on[r] + 1, base + ends[r] + 1
+            else:
+                weight, start, end = value[good], on[good] + 1, ends[good] + 1
+            length = groups * (n + 2)
+            move = np.bincount(start, weights=weight, minlength=length) - np.bincount(end, weights=weight, minlength=length)
+            steps[:, p] = move.reshape(groups, n + 2)
+        run = np.cumsum(steps[:, :, :n + 1], axis=2)
         v = (link(run) if link else run).mean(axis=0)
         phi = np.zeros(n)
         np.add.at(phi, perms.ravel(), np.diff(v, axis=1).ravel())
         return phi / n_perm
 
 
+def _byte_tables(place: np.ndarray, n_bytes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Latest and earliest place of the features in each value of each byte of a bit set (-1 and len(place) for none)."""
+    n = len(place)
+    bits = (np.arange(256)[:, None] >> np.arange(8)) & 1
+    padded = np.full(8 * n_bytes, -1, dtype=np.int16)
+    padded[:n] = place
+    grid = padded.reshape(n_bytes, 1, 8)
+    last = np.where(bits[None] == 1, grid, -1).max(axis=2).astype(np.int16)
+    first = np.where((bits[None] == 1) & (grid >= 0), grid, n).min(axis=2).astype(np.int16)
+    return last, first
+
+
 def path_values(score: TreeScore, sample: DataFrame, background: np.ndarray, features: list[str],
                 n_perm: int, seed: int, key: str = "row_id") -> tuple[DataFrame, float]:
     """X1 (row_id, feature, value, phi) and the base value; the permutations are those of the masked points."""
     from cohortlens.operators.attribution import permutation
     from cohortlens.session import parallelism
     spark, n = sample.sparkSession, len(features)
-    table, link = PathTable(score.trees, background), score.link
+    table, link = PathTable(score.trees, background, score.link is not None), score.link
     shared = spark.sparkContext.broadcast(table)
     perms = F.array(*[permutation(F.col(key), F.lit(p), n, seed) for p in range(n_perm)])
     x = F.array(*[F.col(c).cast("double") for c in features])

@@ -479,29 +479,29 @@ SELECT level, round(coalesce(fp / sum(fp) OVER (), 0), 6) AS fp_share,
 _RAW_NO_ID = ("age, time_in_hospital, n_medications, n_outpatient, n_inpatient, n_emergency, "
               "medical_specialty, c_mktsegment, n_name, min_returnflag, readmitted")
 _Q_ROWS = {
-    "Q1": """SELECT 'required_columns' AS name, 1 AS passed, 'Missing required columns=[]' AS detail,
+    "Q1": """SELECT 'required_columns' AS name, 1 AS passed, 'required but absent: []' AS detail,
        'error' AS severity
-UNION ALL SELECT 'target_present', 1, 'target=readmitted', 'error'""",
+UNION ALL SELECT 'target_present', 1, 'target column: readmitted', 'error'""",
     "Q2": """SELECT 'target_binary' AS name, 1 AS passed,
-       printf('Target present and binary; positive rate=%.3f', avg(CAST(readmitted AS DOUBLE)))
+       printf('0/1 target, share of 1: %.3f', avg(CAST(readmitted AS DOUBLE)))
          AS detail, 'error' AS severity FROM clean""",
     "Q3": f"""SELECT 'duplicates_removed' AS name, CAST(c.n = 0 AS INTEGER) AS passed,
-       CASE WHEN c.n = 0 THEN printf('Raw duplicates=%d; cleaned duplicates=%d', r.n, c.n)
-            ELSE printf('Cleaned data still contains %d duplicate rows', c.n) END AS detail,
+       CASE WHEN c.n = 0 THEN printf('repeated rows: %d before cleaning, %d after', r.n, c.n)
+            ELSE printf('%d repeated rows are left after cleaning', c.n) END AS detail,
        'error' AS severity
 FROM (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS n FROM
         (SELECT count(*) AS k FROM raw GROUP BY {_RAW_NO_ID})) r,
      (SELECT CAST(coalesce(sum(k - 1), 0) AS BIGINT) AS n FROM
         (SELECT count(*) AS k FROM clean GROUP BY {_RAW_NO_ID})) c""",
     "Q4": """SELECT 'missing_numeric_after_cleaning' AS name, CAST(mn = 0 AS INTEGER) AS passed,
-       printf('Remaining numeric missing values=%d', mn) AS detail, 'error' AS severity FROM
+       printf('empty numeric cells: %d', mn) AS detail, 'error' AS severity FROM
   (SELECT count(*) FILTER (WHERE time_in_hospital IS NULL OR isnan(time_in_hospital))
         + count(*) FILTER (WHERE n_medications IS NULL OR isnan(n_medications))
         + count(*) FILTER (WHERE n_outpatient IS NULL) + count(*) FILTER (WHERE n_inpatient IS NULL)
         + count(*) FILTER (WHERE n_emergency IS NULL) AS mn FROM clean)
 UNION ALL
 SELECT 'missing_categorical_after_cleaning', CAST(mc = 0 AS INTEGER),
-       printf('Remaining categorical missing values=%d', mc), 'error' FROM
+       printf('empty text cells: %d', mc), 'error' FROM
   (SELECT count(*) FILTER (WHERE age IS NULL) + count(*) FILTER (WHERE medical_specialty IS NULL)
         + count(*) FILTER (WHERE c_mktsegment IS NULL) + count(*) FILTER (WHERE n_name IS NULL)
         + count(*) FILTER (WHERE min_returnflag IS NULL) AS mc FROM clean)""",
@@ -511,16 +511,16 @@ SELECT 'missing_categorical_after_cleaning', CAST(mc = 0 AS INTEGER),
                   "specialty_known", "n_inpatient_x_time_in_hospital",
                   "n_medications_x_time_in_hospital")),
     "Q6": """SELECT 'remaining_categorical_after_encoding' AS name, 1 AS passed,
-       'Remaining categorical columns=[]' AS detail, 'error' AS severity
-UNION ALL SELECT 'configured_categoricals_encoded', 1, 'Missing encoded groups=[]', 'error'""",
+       'text columns left: []' AS detail, 'error' AS severity
+UNION ALL SELECT 'configured_categoricals_encoded', 1, 'categoricals without a dummy: []', 'error'""",
     "Q78": """SELECT 'analysis_encoded_row_count_match' AS name, CAST(na = ne AS INTEGER) AS passed,
-       printf('analysis_rows=%d, encoded_rows=%d', na, ne) AS detail, 'error' AS severity FROM
+       printf('rows: %d analysed, %d encoded', na, ne) AS detail, 'error' AS severity FROM
   (SELECT count(a.row_id) AS na, count(b.row_id) AS ne,
           count(*) FILTER (WHERE a.row_id IS NULL OR b.row_id IS NULL) AS bad
    FROM feats a FULL OUTER JOIN enc b ON a.row_id = b.row_id)
 UNION ALL
 SELECT 'analysis_encoded_index_match', CAST(bad = 0 AS INTEGER),
-       CASE WHEN bad = 0 THEN 'row_id index alignment preserved'
+       CASE WHEN bad = 0 THEN 'both tables hold the same row_id values'
             ELSE 'row_id index alignment mismatch between analysis and encoded artifacts' END,
        'error' FROM
   (SELECT count(*) FILTER (WHERE a.row_id IS NULL OR b.row_id IS NULL) AS bad
@@ -590,7 +590,7 @@ SELECT "column", level, n, round(pos / n, 6) AS rate,
 FROM g WHERE level IS NOT NULL""")
 SQL["Q2_target_check_documents"] = with_(_DOCS, """
 SELECT 'target_binary' AS name, 1 AS passed,
-       printf('Target present and binary; positive rate=%.3f', avg(CAST(quality AS DOUBLE)))
+       printf('0/1 target, share of 1: %.3f', avg(CAST(quality AS DOUBLE)))
          AS detail, 'error' AS severity FROM dl""")
 SQL["K1_stratified_split_documents"] = with_(_DOC_SPLIT, """
 SELECT row_id, quality, split, CAST(split_rank AS BIGINT) AS split_rank FROM dsp""")

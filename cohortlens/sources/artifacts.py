@@ -9,9 +9,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cohortlens.operators.clean import drop_columns, sanitize_column_names
+from cohortlens.operators.clean import ROW_ID
 from cohortlens.session import ensure_checkpoint_dir
+from cohortlens.sources.tables import assign_row_id
 
 
 def artifact_dir(spark: SparkSession, name: str, base: str | None = None) -> str:
@@ -31,18 +33,21 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> str:
 
 def load_features(spark: SparkSession, path: str, target: str, exclude=(), redundant=(),
                   fmt: str = "parquet") -> tuple[DataFrame, list[str]]:
-    """S3: read the encoded table, sanitise names, drop leakage + redundant columns.
+    """S3: an encoded table as (row_id, features..., target), and the feature names.
 
-    Returns the frame (row_id, features..., target) and the feature names.
+    One ``select`` over the columns that stay, so a scan reads nothing else. A
+    table that was written without ``row_id`` gets one by position in its files.
     """
-    if fmt == "csv":
-        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
-    else:
-        df = spark.read.parquet(path)
-    df = sanitize_column_names(df)
-    df = drop_columns(df, [c.replace(" ", "_") for c in exclude])
-    df = drop_columns(df, [c.replace(" ", "_") for c in redundant])
-    if target not in df.columns:
-        raise KeyError(f"Target '{target}' not found. Available: {df.columns}")
-    features = [c for c in df.columns if c not in (target, "row_id")]
-    return df, features
+    stored = (spark.read.option("header", True).option("inferSchema", True).csv(path) if fmt == "csv"
+              else spark.read.parquet(path))
+    if ROW_ID not in stored.columns:
+        stored = assign_row_id(stored, ROW_ID)
+    plain = {c: c.replace(" ", "_") for c in stored.columns}
+    if len(set(plain.values())) < len(plain):
+        raise ValueError(f"{path}: column names that differ only in spaces: {sorted(plain)}")
+    if target not in plain.values():
+        raise KeyError(f"{path} has no column {target}, only {sorted(plain.values())}")
+    unwanted = {c.replace(" ", "_") for c in (*exclude, *redundant)} - {ROW_ID, target}
+    features = [new for new in plain.values() if new not in unwanted and new not in (ROW_ID, target)]
+    old = {new: c for c, new in plain.items()}
+    return stored.select(*[F.col(f"`{old[c]}`").alias(c) for c in (ROW_ID, *features, target)]), features

@@ -355,9 +355,9 @@ def test_target_check_counts_text_and_fractions(spark):
     assert QA.target_check(txt, "y").first()["passed"] == 0
     frac = spark.createDataFrame([(1, 0.5), (2, 1.0)], "row_id long, y double")
     r = QA.target_check(frac, "y").first()
-    assert r["passed"] == 0 and "non-integer" in r["detail"]
+    assert r["passed"] == 0 and "no integers" in r["detail"]
     ok = spark.createDataFrame([(1, 0), (2, 1)], "row_id long, y int")
-    assert QA.target_check(ok, "y").first()["detail"].endswith("positive rate=0.500")
+    assert QA.target_check(ok, "y").first()["detail"].endswith("share of 1: 0.500")
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 40_000])
@@ -437,3 +437,16 @@ def test_quartiles_by_group_equal_numpy_nulls_included(spark):
     assert len(got) == 3
     for k, t in (('{"c":"a","t":1}', 1), ('{"c":"a","t":2}', 2), ('{"c":"a"}', None)):
         assert np.allclose(got[k], np.percentile([v for c, x, v in rows if c == "a" and x == t], [25, 50, 75]))
+
+
+def test_feature_table_without_row_id(spark, tmp_path):
+    from cohortlens.sources.artifacts import load_features, write_table
+    df = spark.createDataFrame([(0.5, 1, 0), (1.5, 2, 1), (2.5, 3, 0)], "`a b` double, leak int, y int").coalesce(1)
+    out, names = load_features(spark, write_table(df, str(tmp_path / "t")), "y", exclude=("leak", "absent"))
+    assert names == ["a_b"] and out.columns == ["row_id", "a_b", "y"]
+    assert sorted(tuple(r) for r in out.collect()) == [(0, 0.5, 0), (1, 1.5, 1), (2, 2.5, 0)]
+    with pytest.raises(KeyError, match="no column z"):
+        load_features(spark, str(tmp_path / "t"), "z")
+    clash = spark.createDataFrame([(1, 2, 0)], "`a b` int, a_b int, y int")
+    with pytest.raises(ValueError, match="differ only in spaces"):
+        load_features(spark, write_table(clash, str(tmp_path / "u")), "y")

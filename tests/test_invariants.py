@@ -96,6 +96,12 @@ def test_calibration_and_persistence(spark, planted, tmp_path):
     a = {r[0]: r[1] for r in model.transform(val).select("row_id", "score").collect()}
     b = {r[0]: r[1] for r in loaded.transform(val).select("row_id", "score").collect()}
     assert a == b
+    base.write().overwrite().save(f"{path}-bare")
+    bare = CA.CalibratedModel.load(f"{path}-bare")
+    assert (bare.threshold, bare.method) == (0.5, "none")
+    c = {r[0]: r[1:] for r in bare.predict(val).select("row_id", "score", "prediction").collect()}
+    d = {r[0]: r[1] for r in raw.select("row_id", "score").collect()}
+    assert {k: v[0] for k, v in c.items()} == d and all(v[1] == int(v[0] >= 0.5) for v in c.values())
 
 
 def test_shapley_additivity(spark, planted):
@@ -212,7 +218,7 @@ def test_tree_paths_beyond_one_word_of_features():
     background, x = r.random((9, n)), r.random((4, n))
     perms = np.stack([np.stack([r.permutation(n) for _ in range(5)]) for _ in range(4)])
     for link in (None, lambda m: 1 / (1 + np.exp(-m))):
-        paths = TP.PathTable([tree, tree], background)
+        paths = TP.PathTable([tree, tree], background, link is not None)
         _, failed = TP.failed_splits(tree, x)
         score = (lambda p: 2 * value(p)) if link is None else (lambda p: link(2 * value(p)))
         assert math.isclose(paths.base(link), np.mean([score(b) for b in background]), abs_tol=1e-12)
@@ -247,7 +253,7 @@ def test_boosting_rounds(spark, planted):
     best, over = MD.stop_round(losses, on.patience, on.tolerance)
     assert n == best and (n == losses.index(min(losses[:n + on.patience])) + 1 or not over)
     a = {r[0]: r[1] for r in MD.score(stopped, train, "m", "y").select("row_id", "score").collect()}
-    short = MD.truncated(longest, n)
+    short = MD.truncated(longest, n, spark)
     b = {r[0]: r[1] for r in MD.score(MD.PipelineModel([stopped.stages[0], short]), train, "m", "y").select("row_id", "score").collect()}
     assert all(math.isclose(a[k], b[k], abs_tol=1e-12) for k in a) and len(a) == len(b)
 

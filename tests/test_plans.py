@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from cohortlens.operators.calibrate import CalibratedModel
+from cohortlens.operators.models import EarlyStop
 from cohortlens.plans.rerun import run_all
 from cohortlens.plans.validation import run_validation
 from cohortlens.sources.binding import orders_patient_frame
@@ -25,13 +27,23 @@ def test_full_rerun(spark):
                        n_search_draws=2, cv_folds=2)
     res = run_all(orders_patient_frame(spark, SMOKE), light,
                   source_paths=[table_path(SMOKE, t) for t in ("orders", "lineitem")],
-                  shap_rows=20, shap_background=5, shap_permutations=2)
+                  shap_rows=20, shap_background=5, shap_permutations=2, early_stop=EarlyStop(enabled=True, patience=2, first_run=4),
+                  spaces={"LogisticRegression": {"C": [0.1, 1.0]}, "RandomForest": {"n_estimators": [8], "max_depth": [3, 5]},
+                          "GradientBoosting": {"max_iter": [8], "max_depth": [2]}})
     assert res.best_model in ("LogisticRegression", "RandomForest", "GradientBoosting")
     assert 0.05 <= res.threshold <= 0.95 and res.calibration_method in ("sigmoid", "isotonic")
     for name in ("encoded", "metrics_baseline", "threshold_sweep", "metrics_tuned",
                  "attribution_importance", "error_groups", "error_group_means"):
         assert spark.read.parquet(res.tables[name]).count() > 0, name
     assert spark.read.parquet(res.tables["threshold_sweep"]).count() == 19
+    search = spark.read.parquet(res.tables["search"]).collect()
+    assert sorted((r["model"], r["chosen"]) for r in search) == [
+        ("GradientBoosting", 1), ("LogisticRegression", 0), ("LogisticRegression", 1), ("RandomForest", 0), ("RandomForest", 1)]
+    ranked = spark.read.parquet(res.tables["metrics_search"]).collect()
+    assert len(ranked) == 3 and max(ranked, key=lambda r: r["roc_auc"])["roc_auc"] == next(r["roc_auc"] for r in ranked if r["model"] == res.best_model)
     tuned = spark.read.parquet(res.tables["metrics_tuned"])
     assert sorted(r["split"] for r in tuned.collect()) == ["test", "val"]
+    saved = CalibratedModel.load(res.tables["model"])
+    assert set(saved.metrics) == {"val", "test"} and saved.threshold == res.threshold
+    assert 0 <= saved.metrics["test"]["roc_auc"] <= 1
     assert spark.read.parquet(res.tables["error_groups"]).agg(F.sum("n")).first()[0] > 0
