@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cohortlens.session import materialize
@@ -19,6 +19,11 @@ def stored(df: DataFrame) -> DataFrame:
     return materialize(df, mode="table")
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def numbered(df: DataFrame, group: list[str], order: list[str], name: str,
              weight: str | None = None, per_bucket: int = 50_000) -> DataFrame:
     """Running position inside each group: row number from 0, or the sum of ``weight`` before the row.

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm.common import once
+
 ROUNDS = 8
 KEY = "cohortlens-pseudonym-key"
 EPOCH = "1900-01-01"
@@ -99,18 +101,13 @@ def _digits(v: Column) -> Column:
     return F.regexp_replace(v, "[^0-9]", "")
 
 
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` names it."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _refilled(v: Column, digits: Column) -> Column:
     """``v`` with its digits replaced in order by ``digits``."""
     def filled(new):
         def fill(c, i):
             return F.when(c.rlike("[0-9]"), F.substr(new, F.length(_digits(F.substr(v, F.lit(1), i + 1))), F.lit(1))).otherwise(c)
         return F.array_join(F.transform(F.split(v, ""), fill), "")
-    return _once(digits, filled)
+    return once(digits, filled)
 
 
 def _luhn_sum(digits: Column, doubled_from_right: int) -> Column:
@@ -140,7 +137,7 @@ def _phone(v: Column, key: str) -> Column:
     def parts(d):
         kind = F.when(v.rlike(r"^(?:\+|00)"), F.when(d.rlike("^(?:00)?1[0-9]{10}$"), plain).otherwise(nation)).when(
             d.rlike("^1[0-9]{10}$") | v.rlike(f"^(?:{_FORMATTED}|[0-9]{{10}})$"), plain).otherwise(F.lit("trunk"))
-        return _once(kind, lambda kind: _once(
+        return once(kind, lambda kind: once(
             F.when(kind == nation, F.length(F.regexp_extract(d, rf"^(?:00)?{_COUNTRY}", 0)) + F.when(v.rlike(r"^[+0-9]+[ .-]?\(0\)"), 1).otherwise(0))
             .when(kind == plain, F.length(d) - 10).otherwise(1),
             lambda n: F.struct(kind.alias("kind"), F.substr(d, F.lit(1), n).alias("code"), F.substr(d, n + 1, F.length(d)).alias("own"))))
@@ -150,9 +147,9 @@ def _phone(v: Column, key: str) -> Column:
         lead = lambda i: F.translate(at(i, 1), "0123456789", _LEAD)
         classed = F.when(p["kind"] == nation, p["own"]).when(p["kind"] == plain, F.concat(lead(1), at(2, 2), lead(4), at(5, 6))).otherwise(
             F.concat(F.translate(at(1, 1), "123456789", _NO_ZERO), at(2, 20)))
-        return F.concat(p["code"], _once(classed, lambda x: F.translate(permuted_text(x, key, "phone"), _LEAD + _NO_ZERO, "0123456789123456789")))
+        return F.concat(p["code"], once(classed, lambda x: F.translate(permuted_text(x, key, "phone"), _LEAD + _NO_ZERO, "0123456789123456789")))
 
-    return _refilled(v, _once(_once(_digits(v), parts), moved))
+    return _refilled(v, once(once(_digits(v), parts), moved))
 
 
 def _ssn(v: Column, key: str) -> Column:
