@@ -151,6 +151,16 @@ def test_licences_are_found_and_near_misses_left(spark):
     assert license_scan.scan(empty(spark)).count() == 0
 
 
+def test_licence_edges_and_long_lines(spark):
+    """Every edge row and a line of 30,000 words pass; a notice inside a long text is found, repeated rows are each reported."""
+    notice = "Released under the MIT License."
+    rows = edge_rows() + [(20, " ".join(words(30_000, 7, 5000)), "en", "a"), (21, " ".join(words(20_000, 8, 5000)) + "\n" + notice, "en", "a"),
+                          (22, notice, "en", "a"), (22, notice, "en", "a"), (None, notice, "en", "a")]
+    got = license_scan.scan(documents(spark, rows)).collect()
+    assert {r["doc_id"] for r in got} == {21, 22, None} and {r["family"] for r in got} == {next(r["family"] for r in got if r["doc_id"] == 22)}
+    assert sum(r["doc_id"] == 22 for r in got) == 2 and [r["paragraph"] for r in got if r["doc_id"] == 21] == [1]
+
+
 def test_licence_texts_without_an_anchor_and_wrapped_headers_are_found(spark):
     mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files, to deal in the\nSoftware without restriction"
     bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:"
