@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -316,3 +317,52 @@ def test_rows_without_a_label_stay_in_the_split(spark):
 def test_boosting_keeps_more_than_one_tree(planted):
     model = MD.fit("GradientBoosting", planted.where("split = 'train'"), FEATS, "y", {"max_iter": 20, "max_depth": 3})
     assert model.stages[-1].getNumTrees > 5
+
+
+def test_margin_gains_evaluate_moved_sums_only():
+    """X1 of a margin equals running sums of every pair; the link sees no pair whose sum a feature left as it was."""
+    r = np.random.default_rng(3)
+    n, n_back, n_rows, n_perm = 30, 40, 25, 4
+    x, back = ((r.integers(0, 20, (m, n)) == 0).astype(float) for m in (n_rows, n_back))
+    x[:, 0], back[:, 0] = r.normal(size=n_rows), r.normal(size=n_back)
+    w = r.normal(size=n)
+    perms = np.stack([np.stack([r.permutation(n) for _ in range(n_perm)]) for _ in range(n_rows)])
+    seen = []
+
+    def link(m):
+        seen.append(m.size)
+        return 1 / (1 + np.exp(-m))
+
+    for given in (link, None):
+        got = XA.margin_gains(XA.AdditiveMargin(w, 0.5, given), x, back, perms)
+        want = np.zeros_like(x)
+        for i in range(n_rows):
+            for perm in perms[i]:
+                at = back.copy()
+                v = [(link if given else np.array)(at @ w + 0.5).mean()]
+                if given:
+                    seen.pop()
+                for j in perm:
+                    at[:, j] = x[i, j]
+                    v.append((link if given else np.array)(at @ w + 0.5).mean())
+                    if given:
+                        seen.pop()
+                want[i, perm] += np.diff(v)
+        assert np.allclose(got, want / n_perm, atol=1e-12)
+    assert sum(seen) < 0.3 * n_rows * n_perm * n_back * n
+
+
+def test_orders_both_ways_are_the_permutations(spark):
+    one = spark.range(3).select(F.col("id").alias("row_id"))
+    for n_perm in (3, 4):
+        want = one.select(F.array(*[XA.permutation(F.col("row_id"), F.lit(p), 5, 7) for p in range(n_perm)])).collect()
+        orders = one.select(XA.drawn_orders(F.col("row_id"), n_perm, 5, 7).alias("o")).toArrow().column(0).combine_chunks()
+        assert XA.both_ways(orders, n_perm, 5).tolist() == [r[0] for r in want]
+
+
+def test_cuts_below_counts_like_a_scan(spark):
+    from cohortlens.functions.quantile import CUTS, cuts_below
+    cuts = sorted(float(v) for v in range(0, 3 * CUTS, 3))
+    for some in (cuts, cuts[:1], cuts[:100]):
+        rows = spark.range(-2, 3 * CUTS + 2).select(F.col("id").cast("double").alias("v"), F.array(*map(F.lit, some)).alias("c"))
+        assert all(r["b"] == sum(c < r["v"] for c in some) for r in rows.select("v", cuts_below(F.col("c"), F.col("v")).alias("b")).collect())
