@@ -366,3 +366,34 @@ def test_cuts_below_counts_like_a_scan(spark):
     for some in (cuts, cuts[:1], cuts[:100]):
         rows = spark.range(-2, 3 * CUTS + 2).select(F.col("id").cast("double").alias("v"), F.array(*map(F.lit, some)).alias("c"))
         assert all(r["b"] == sum(c < r["v"] for c in some) for r in rows.select("v", cuts_below(F.col("c"), F.col("v")).alias("b")).collect())
+
+
+def test_search_fits_together_equal_single_fits(spark, planted):
+    """M8 of logistic regression: fits that advance together score held-out rows as fits of their own do,
+    and l1 points meet the optimality condition that the objective sets."""
+    from cohortlens.operators import logistic_search as LS
+    train = planted.where(F.col("split") == "train").withColumn("fold", F.pmod(F.col("row_id"), F.lit(3)).cast("int"))
+    train = train.withColumn("flat", F.lit(2.0)).withColumn("twice", F.col("x1") * 2)     # a constant and a collinear feature
+    feats = [*FEATS, "flat", "twice"]
+    folds = MD.fold_frames(train, feats, "y", 3)
+    draws = [{"C": c, "penalty": p} for c in (0.01, 5.0) for p in ("l1", "l2")]
+    together = {(r["model"], r["row_id"]): r["score"] for r in LS.held_scores(folds, draws, feats, "y").collect()}
+    n = 0
+    for i, draw in enumerate(draws):
+        for fold in folds[:2]:
+            model = MD.fit_weighted("LogisticRegression", fold.train, feats, "y", draw, 42, fold.n_weight)
+            for r in MD.score(model, fold.held, "m", "y").collect():
+                assert math.isclose(together[f"draw{i}", r["row_id"]], r["score"], abs_tol=2e-3)
+                n += 1
+    assert n > 100 and len(together) == len(draws) * train.count()
+    fits, scale = LS.fit_all(folds[:1], draws, feats, "y")
+    rows = folds[0].train.select(F.lit(0).alias("fold"), F.col("y").cast("double"), "weight", *[F.col(c).cast("double") for c in feats])
+    got = LS.pass_over(rows, {0: [(i, fits[0, i].at) for i in range(len(draws))]}, scale)
+    for i, draw in enumerate(draws):
+        at, sums = fits[0, i].at, got[0, i]
+        slope, reg = sums[2:2 + len(at)] / sums[0], fits[0, i].reg
+        assert fits[0, i].passes < 40 and abs(slope[-1]) < 1e-6
+        if draw["penalty"] == "l1":
+            assert all(abs(g + reg * np.sign(b)) < 1e-5 if b else abs(g) <= reg + 1e-6 for g, b in zip(slope[:-1], at[:-1]))
+        else:
+            assert np.allclose(slope[:-1] + reg * at[:-1], 0, atol=1e-6)
