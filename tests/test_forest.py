@@ -66,3 +66,12 @@ def test_registered_fit_grows_without_mllibs_levels(rows, monkeypatch):
     monkeypatch.setattr(RandomForestClassifier, "_fit", lambda *a, **k: pytest.fail("MLlib's level-wise fit was called"))
     model = MD.fit("RandomForest", rows.drop("weight", "features_vec"), ["a", "b", "c"], "l", {"n_estimators": 5, "min_samples_leaf": 10}, 42)
     assert model.stages[-1].getNumTrees == 5 and model.stages[-1].getMaxDepth() == 30
+
+
+def test_baselines_score_each_row_once(spark, monkeypatch):
+    """The metrics of M9 read written scores: no model is applied again in their plan."""
+    from cohortlens.plans import registry as RG
+    monkeypatch.setattr(RG, "SPEC", RG.SPEC.with_(rf_params={"n_estimators": 3, "max_depth": 4}))
+    out = RG.REGISTRY["M9_M10_evaluate_baselines"](spark, "/root/testdata/sf0.001")
+    assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["model"] for r in out.collect()} == {"LogisticRegression", "RandomForest"}
