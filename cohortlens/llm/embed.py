@@ -98,8 +98,8 @@ def fit(units: DataFrame, rows: int, cells: int, dim: int, sample: int = SAMPLE,
     return centroids
 
 
-def _assigned(classes: DataFrame, centroids: np.ndarray, similar: float) -> DataFrame:
-    """(cell, home, rep, n, dim, u): each vector at home, and as a guest in lower cells that a partner may be in."""
+def _assigned(classes: DataFrame, centroids: np.ndarray, similar: float, places_only: bool = False) -> DataFrame:
+    """(cell, home, rep, n, dim, u): each vector at home, and as a guest in lower cells that a partner may be in; (cell, home) if ``places_only``."""
     shared = classes.sparkSession.sparkContext.broadcast(centroids)
     reach = np.sqrt(max(0.0, 2 - 2 * similar)) + 1e-6
 
@@ -115,10 +115,14 @@ def _assigned(classes: DataFrame, centroids: np.ndarray, similar: float) -> Data
                 near = (s[row, home][:, None] - s <= reach * apart[home]) & (np.arange(len(c)) < home[:, None])
                 near[row, home] = True
                 row, cell = near.nonzero()
+                if places_only:
+                    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(home[row] == cell)], names=["cell", "home"])
+                    continue
                 yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(home[row] == cell), *(x.take(pa.array(row)) for x in batch.columns)],
                                                  names=["cell", "home", "rep", "n", "dim", "u"])
 
-    return classes.select("rep", "n", "dim", "u").mapInArrow(run, "cell long, home boolean, rep long, n long, dim long, u array<double>")
+    schema = "cell long, home boolean" + ("" if places_only else ", rep long, n long, dim long, u array<double>")
+    return classes.select("rep", "n", "dim", "u").mapInArrow(run, schema)
 
 
 def _compare(table: pa.Table, similar: float) -> pa.Table:
@@ -142,35 +146,46 @@ def _compare(table: pa.Table, similar: float) -> pa.Table:
         rows = a[lo:lo + 512]
         cos = x32[rows] @ x32[b].T
         hit = cos >= similar - CLOSE
-        if not hit.any():
+        # only rows and columns with a hit go on, whose number the pairs found bound
+        if i == j:
+            hit[np.arange(len(rows)), np.arange(lo, lo + len(rows))] = False
+        some = np.flatnonzero(hit.any(axis=1))
+        if not len(some):
             continue
-        hit &= home[rows][:, None] | home[b][None, :]
-        hit &= rows[:, None] != b[None, :]
+        cols = np.flatnonzero(hit[some].any(axis=0))
+        at = np.ix_(some, cols)
+        hit, cos, rows, cols = hit[at], cos[at], rows[some], b[cols]
+        hit &= home[rows][:, None] | home[cols][None, :]
         if mixed:
-            hit &= dims[rows][:, None] == dims[b][None, :]
+            hit &= dims[rows][:, None] == dims[cols][None, :]
         p, q = np.nonzero(hit & (cos < similar + CLOSE))
         for s in range(0, len(p), 65536):
             u, v = p[s:s + 65536], q[s:s + 65536]
-            hit[u, v] = np.einsum("ij,ij->i", x[rows[u]], x[b[v]]) >= similar
-        links[rows] += hit @ n[b]
+            hit[u, v] = np.einsum("ij,ij->i", x[rows[u]], x[cols[v]]) >= similar
+        links[rows] += hit @ n[cols]
         if i != j:
-            links[b] += n[rows] @ hit
-        hits.append((rows, np.packbits(hit, axis=1)))
+            links[cols] += n[rows] @ hit
+        hits.append((rows, cols, np.packbits(hit, axis=1)))
     while hits:
         before = label.copy()
-        for rows, packed in hits:
-            hit = np.unpackbits(packed, axis=1, count=len(b)).astype(bool)
-            some = hit.any(axis=1)
-            low = np.where(hit, label[b][None, :], len(rep)).min(axis=1)
-            label[rows] = np.where(some, np.minimum(label[rows], low), label[rows])
+        for rows, cols, packed in hits:
+            hit = np.unpackbits(packed, axis=1, count=len(cols)).astype(bool)
+            low = np.where(hit, label[cols][None, :], len(rep)).min(axis=1)
+            label[rows] = np.minimum(label[rows], low)
             low = np.where(hit, label[rows][:, None], len(rep)).min(axis=0)
-            label[b] = np.minimum(label[b], low)
+            label[cols] = np.minimum(label[cols], low)
         if (label == before).all():
             break
     at = np.flatnonzero(links)
     return pa.table([pa.array(rep[at]), pa.array(links[at]), pa.array(rep[order][label[at]])], names=["rep", "links", "least"])
 
 
+def _pairs_in_cells(classes: DataFrame, centroids: np.ndarray, similar: float) -> int:
+    """Products that the cells would ask for, each pair twice."""
+    sizes = _assigned(classes, centroids, similar, places_only=True).groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    return int(sizes.agg(F.sum(F.col("n") * F.col("n"))).first()[0] or 0)
+
+
 def near_duplicates(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding): vec_id, n_links, component_id, kept.
 
@@ -183,8 +198,10 @@ def near_duplicates(vectors: DataFrame, similar: float = SIMILAR) -> DataFrame:
     classes = stored(units.groupBy("h1", "h2", "dim").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("u").alias("u")))
     rows, dim = classes.agg(F.count(F.lit(1)), F.max("dim")).first()
     cells = max(1, min(MOST_CELLS, -(-rows // PER_CELL)))
-    if cells > 1:
-        assigned = stored(_assigned(classes, fit(classes, rows, cells, dim), similar))
+    centroids = fit(classes, rows, cells, dim) if cells > 1 else None
+    # guests of vectors without clusters may make the cells dearer than one cell that holds every vector once
+    if centroids is not None and _pairs_in_cells(classes, centroids, similar) < rows * rows:
+        assigned = stored(_assigned(classes, centroids, similar))
     else:
         assigned = classes.select(F.lit(0).cast("long").alias("cell"), F.lit(True).alias("home"), "rep", "n", "dim", "u")
     sizes = assigned.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
