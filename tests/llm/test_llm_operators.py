@@ -173,6 +173,61 @@ def test_licence_texts_without_an_anchor_and_wrapped_headers_are_found(spark):
     assert all(2 <= r["paragraph"] <= 4 and r["doc_id"] < 3 for r in got), got
 
 
+def licence_paragraphs(text):
+    """(place, whole, text) of the lines and of the blocks of several lines."""
+    out, block = [], []
+    for i, t in enumerate([*re.split("\r\n|\r|\n", text or ""), ""]):
+        if t.strip(" "):
+            block.append((i, False, t))
+            continue
+        out += block + ([(block[0][0], True, " ".join(x[2] for x in block))] if len(block) > 1 else [])
+        block = []
+    return out
+
+
+def test_licence_features_equal_those_cut_one_by_one(spark):
+    """Known n-grams, powers of the length and the kind of every paragraph; anchors may run over a line's end."""
+    rows = edge_rows() + [(30, "The boat is provided with\nthe sail, as Is\r\n\n\t\nAll rights\nreserved by us\n \nnow cc\nby the sea\rin the PUBLIC domain", "en", "a"),
+                          (31, "released under the\nmit license\n\nSchöne Straße\nthe software is\nprovided as it was", "en", "a"), (32, "of this software\nand the rest of a sentence", "en", "a")]
+    v = license_scan.Vocabulary.of()
+    known = {t: i for i, t in enumerate(v.terms)}
+    want = []
+    for d, text, *_ in rows:
+        for place, whole, t in licence_paragraphs(text):
+            w = re.findall(r"[^\W_]+", t.lower())
+            runs = [" ".join(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1)]
+            got = {known[r] for r in runs if r in known} | {known[f"#{2 ** p}"] for p in range(license_scan.FIRST_POWER, license_scan.FIRST_POWER + license_scan.POWERS) if len(w) >= 2 ** p}
+            shared = sum(v.first_of_licence <= x < v.first_power for x in got)
+            anchored = bool(re.search(license_scan.ANCHORS, t)) or shared > 1 or shared == 1 and len(w) <= 5
+            want.append((d, place, whole, anchored, tuple(sorted(got))))
+    got = license_scan.featured(documents(spark, rows), v).select("doc_id", "paragraph", "whole", "kind", license_scan._terms().alias("t")).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[2], r[4])
+    assert sorted(((*r[:3], r["kind"] == license_scan.NEITHER, tuple(r["t"])) for r in got), key=key) == sorted(want, key=key)
+    assert any(r[3] for r in want) and {r["kind"] for r in got} == {license_scan.NEITHER, license_scan.LEARNT, license_scan.HELD}
+
+
+def test_licences_are_learnt_from_every_paragraph(spark, monkeypatch):
+    """No sample: each paragraph of each document is learnt from or held out for the threshold; together they weigh as 2,000 given texts."""
+    r = random.Random(5)
+    v = license_scan.Vocabulary.of()
+    rows = [(i, "\n".join(" ".join(r.choice(words(12, i)) for _ in range(12)) for _ in range(6)), "en", "a") for i in range(700)]
+    docs = documents(spark, rows)
+    seen, fit = [], license_scan.LogisticRegression.fit
+
+    def counted(self, df, *args):
+        seen.append(df.agg(F.count(F.lit(1)), F.sum("weight")).first() if "weight" in df.columns else None)
+        return fit(self, df, *args)
+
+    monkeypatch.setattr(license_scan.LogisticRegression, "fit", counted)
+    packed = license_scan.featured(docs, v)
+    model = license_scan.train(docs, rows=packed)
+    kinds = {x["kind"]: x["count"] for x in packed.groupBy("kind").count().collect()}
+    given = len(license_scan._given(license_scan.NOTICES, license_scan.BODIES))
+    assert sum(kinds.values()) == 700 * 7 and kinds[license_scan.LEARNT] > license_scan.CORPUS_WEIGHT
+    assert seen[0][0] == given + kinds[license_scan.LEARNT] and abs(seen[0][1] - given - license_scan.CORPUS_WEIGHT) < 1e-6
+    assert model.least == license_scan.LEAST_PROBABILITY and license_scan.scan(docs, model).count() == 0
+
+
 # ------------------------------------------------------------------ 5
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
