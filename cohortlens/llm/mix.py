@@ -152,6 +152,12 @@ def _planned(docs: DataFrame, weights=WEIGHTS) -> tuple[DataFrame, list[Source],
     return stored(placed.join(names, F.col("source").eqNullSafe(F.col("name"))).drop("name")), sources, block
 
 
+def _sorted(side: DataFrame) -> DataFrame:
+    """One side of a join of two tables that grow with the corpus: files of a few numbers a row pack so small that
+    their size asks for a broadcast, which the driver would hold unpacked."""
+    return side.hint("merge")
+
+
 def _pieces(rows: DataFrame, sources: list[Source], block: int) -> DataFrame:
     """(k, start, block, a, b, n): words a..b of a row lie in a block that the mix takes n times."""
     spark = rows.sparkSession
@@ -160,7 +166,7 @@ def _pieces(rows: DataFrame, sources: list[Source], block: int) -> DataFrame:
     cut = own.select("k", "start", "block", F.greatest(F.col("block") * block, "start").alias("a"),
                      F.least((F.col("block") + 1) * block, F.col("start") + F.col("size")).alias("b"))
     taken = slots(spark, sources).groupBy("k", "block").agg(F.count(F.lit(1)).alias("n"))
-    return cut.join(taken, ["k", "block"]).select("k", "start", "block", (F.col("a") - F.col("start")).alias("a"),
+    return cut.join(_sorted(taken), ["k", "block"]).select("k", "start", "block", (F.col("a") - F.col("start")).alias("a"),
                                                   (F.col("b") - F.col("start")).alias("b"), "n")
 
 
@@ -173,7 +179,7 @@ def mix(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     rows, sources, block = _planned(docs, weights)
     taken = _pieces(rows, sources, block).groupBy("k", "start").agg(F.sum((F.col("b") - F.col("a")) * F.col("n")).alias("t"))
     none = rows.where("size = 0").withColumn("t", F.lit(0).cast("long"))
-    some = rows.where("size > 0").join(taken, ["k", "start"], "left")
+    some = rows.where("size > 0").join(_sorted(taken), ["k", "start"], "left")
     return some.unionByName(none).select("doc_id", "size", "source_size", "target", F.coalesce("t", F.lit(0)).cast("long").alias("taken"))
 
 
@@ -188,12 +194,12 @@ def mixed_documents(docs: DataFrame, weights=WEIGHTS) -> DataFrame:
     rows, sources, block = _planned(docs, weights)
     same = ["source", "doc_id", "h"]
     lists = (_pieces(rows, sources, block).groupBy("k", "start").agg(F.collect_list(F.struct("a", "b", "n")).alias("pieces"))
-             .join(rows.where("size > 0").select("k", "start", *same), ["k", "start"])
+             .join(_sorted(rows.where("size > 0").select("k", "start", *same)), ["k", "start"])
              .withColumn("rn", F.row_number().over(Window.partitionBy(*same).orderBy("start"))).drop("k", "start"))
     lists = lists.select(F.col("rn").alias("__rn"), F.col("pieces").alias("__pieces"), *(F.col(c).alias(f"__{c}") for c in same))
     own = docs.withColumn("__hash", F.xxhash64("text"))
     own = own.withColumn("__row", F.row_number().over(Window.partitionBy("source", "doc_id", "__hash").orderBy("__hash")))
-    both = own.join(lists, F.col("source").eqNullSafe(F.col("__source")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
+    both = own.join(_sorted(lists), F.col("source").eqNullSafe(F.col("__source")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
                     & (F.col("__hash") == F.col("__h")) & (F.col("__row") == F.col("__rn")))
     columns = docs.columns
 

@@ -273,3 +273,12 @@ def test_toxicity_without_both_classes(spark):
 def test_smoke_tables(spark):
     got = stringkernel.toxicity(table(spark, SMOKE, "documents"), table(spark, SMOKE, "labels"))
     assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.count() == 200
+
+
+def test_mixing_broadcasts_no_table_of_the_corpus(spark):
+    """Files of a few numbers a row look small enough to broadcast at any size; blocks and rows meet by sorting."""
+    from cohortlens.llm import mix
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+    for out in (mix.mix(docs), mix.mixed_documents(docs)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
