@@ -75,3 +75,26 @@ def test_baselines_score_each_row_once(spark, monkeypatch):
     out = RG.REGISTRY["M9_M10_evaluate_baselines"](spark, "/root/testdata/sf0.001")
     assert "UDF" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert {r["model"] for r in out.collect()} == {"LogisticRegression", "RandomForest"}
+
+
+def test_fitted_forest_is_not_loaded(rows, monkeypatch):
+    """Scores, importances and attributions of a forest come from its table of subtrees: the driver loads no model."""
+    from pyspark.ml.classification import RandomForestClassificationModel
+    from cohortlens.operators import attribution as XA
+    from cohortlens.operators import tree_paths as TP
+    data = rows.drop("weight", "features_vec")
+    params = {"n_estimators": 5, "min_samples_leaf": 10}
+    whole = MD.fit("RandomForest", data, ["a", "b", "c"], "l", params, 42).stages[-1].mllib()
+    want = {r[0]: r[1] for r in whole.transform(rows).select("row_id", vector_to_array("probability")[1]).collect()}
+    monkeypatch.setattr(FO, "NODE_ROWS", 500)
+    monkeypatch.setattr(FO, "SLICE_BYTES", 4000)
+    monkeypatch.setattr(TP, "PATH_BYTES", 4000)
+    monkeypatch.setattr(RandomForestClassificationModel, "load", lambda *a, **k: pytest.fail("the whole forest was loaded"))
+    model = MD.fit("RandomForest", data, ["a", "b", "c"], "l", params, 42)
+    got = {r[0]: r[1] for r in MD.score(model, data.selectExpr("*", "'s' split"), "m", "l").select("row_id", "score").collect()}
+    assert got.keys() == want.keys() and np.mean([abs(got[k] - want[k]) for k in got]) < 0.05       # other draws of features below upper nodes
+    assert abs(sum(r["importance"] for r in MD.feature_importance(model, ["a", "b", "c"]).collect()) - 1) < 1e-9
+    sample = data.where("row_id < 40")
+    phi, base = XA.shapley_values(TP.UncalibratedModel(model), sample, data.where("row_id < 7"), ["a", "b", "c"], 4, 42)
+    for r in phi.groupBy("row_id").agg(F.sum("phi").alias("s")).collect():
+        assert abs(r["s"] + base - got[r["row_id"]]) < 1e-9
