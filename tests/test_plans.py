@@ -47,3 +47,22 @@ def test_full_rerun(spark):
     assert set(saved.metrics) == {"val", "test"} and saved.threshold == res.threshold
     assert 0 <= saved.metrics["test"]["roc_auc"] <= 1
     assert spark.read.parquet(res.tables["error_groups"]).agg(F.sum("n")).first()[0] > 0
+
+
+def test_search_of_all_families_is_the_configured_one(spark, monkeypatch):
+    """M8's query draws as often as configured from the configured grids, over all folds."""
+    from cohortlens.operators import models as MD
+    from cohortlens.plans import registry as RG
+    from cohortlens.spec import SEARCH_SPACES
+    asked = []
+
+    def scores(name, draws, folds, features, label, seed=42, parallelism=4):
+        asked.append((name, draws, len(folds)))
+        return [0.5 + i / 100 for i in range(len(draws))]
+
+    monkeypatch.setattr(MD, "search_scores", scores)
+    monkeypatch.setattr(MD, "fit", lambda *a, **k: None)
+    rows = RG.REGISTRY["M8_search_all_families"](spark, SMOKE).collect()
+    assert [(n, len(d), k) for n, d, k in asked] == [("LogisticRegression", 14, 5), ("RandomForest", 20, 5), ("GradientBoosting", 20, 5)]
+    assert all(d in MD.search_space(n, SEARCH_SPACES) for n, draws, _ in asked for d in draws)
+    assert len(rows) == 54 and sum(r["chosen"] for r in rows) == 3
