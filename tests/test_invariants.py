@@ -397,3 +397,20 @@ def test_search_fits_together_equal_single_fits(spark, planted):
             assert all(abs(g + reg * np.sign(b)) < 1e-5 if b else abs(g) <= reg + 1e-6 for g, b in zip(slope[:-1], at[:-1]))
         else:
             assert np.allclose(slope[:-1] + reg * at[:-1], 0, atol=1e-6)
+
+
+def test_search_adds_few_hessians(planted, monkeypatch):
+    """One Hessian per fold at the common start leads most draws on; before, every fit added its own in every pass."""
+    from cohortlens.operators import logistic_search as LS
+    train = planted.where(F.col("split") == "train")
+    folds = MD.fold_frames(train, FEATS, "y", 5)
+    draws = [{"C": c, "penalty": p} for c in (0.1, 1.0, 5.0, 10.0) for p in ("l1", "l2")]
+    plain, asked = LS.pass_over, []
+
+    def counted(rows, points, scale, curved=frozenset()):
+        asked.append((sum(len(p) for p in points.values()), len(curved)))
+        return plain(rows, points, scale, curved)
+
+    monkeypatch.setattr(LS, "pass_over", counted)
+    LS.fit_all(folds, draws, FEATS, "y")
+    assert asked[0] == (40, 5) and sum(c for _, c in asked) < 0.5 * sum(n for n, _ in asked)
