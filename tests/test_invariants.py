@@ -414,3 +414,18 @@ def test_search_adds_few_hessians(planted, monkeypatch):
     monkeypatch.setattr(LS, "pass_over", counted)
     LS.fit_all(folds, draws, FEATS, "y")
     assert asked[0] == (40, 5) and sum(c for _, c in asked) < 0.5 * sum(n for n, _ in asked)
+
+
+def test_l1_step_meets_its_optimum_on_collinear_features(monkeypatch):
+    """Nearly collinear features: coordinates alone creep and stop short of the model's minimum."""
+    import numpy as np
+    from cohortlens.operators import logistic_search as LS
+    r = np.random.default_rng(5)
+    z = r.normal(size=(500, 4))
+    z = np.column_stack([z, z[:, :3].sum(axis=1) + 1e-3 * r.normal(size=500), np.ones(500)])
+    curve = z.T @ z / 2000
+    slope, reg, at = z.T @ r.normal(size=500) / 500, 1e-6, np.zeros(6)
+    monkeypatch.setattr(LS, "SWEEPS", 200)
+    new = LS.newton_target(at, slope, curve, reg, True)
+    left = slope + curve @ new
+    assert all(abs(g + reg * np.sign(b)) < 1e-9 if b else abs(g) <= reg + 1e-9 for g, b in zip(left[:-1], new[:-1])) and abs(left[-1]) < 1e-9
