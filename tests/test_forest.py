@@ -98,3 +98,12 @@ def test_fitted_forest_is_not_loaded(rows, monkeypatch):
     phi, base = XA.shapley_values(TP.UncalibratedModel(model), sample, data.where("row_id < 7"), ["a", "b", "c"], 4, 42)
     for r in phi.groupBy("row_id").agg(F.sum("phi").alias("s")).collect():
         assert abs(r["s"] + base - got[r["row_id"]]) < 1e-9
+
+
+def test_stored_forest_is_saved_and_loaded_in_a_pipeline(rows, tmp_path):
+    from pyspark.ml import PipelineModel
+    data = rows.drop("weight", "features_vec").selectExpr("*", "'s' split")
+    model = MD.fit("RandomForest", data, ["a", "b", "c"], "l", {"n_estimators": 3, "max_depth": 4}, 42)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    a, b = (MD.score(m, data, "m", "l").select("row_id", "score") for m in (model, PipelineModel.load(str(tmp_path / "m"))))
+    assert a.join(b.withColumnRenamed("score", "q"), "row_id").agg(F.max(F.abs(F.col("score") - F.col("q")))).first()[0] < 1e-12
